@@ -29,6 +29,7 @@ def weekly_sums(df: DataFrame, by: list[str], ds: str, y: str) -> DataFrame:
 def future_frame(df: DataFrame, by: list[str], ds: str, periods: int, step: str = "1 DAY") -> DataFrame:
     """The ``periods`` steps after the last time of every group. The step is explicit: hourly
     histories are continued day by day unless told otherwise."""
-    last = df.groupBy(*by).agg(F.max(ds).alias("_last"))
-    days = F.expr(f"sequence(_last + INTERVAL {step}, _last + {periods} * INTERVAL {step}, INTERVAL {step})")
-    return last.select(*by, F.explode(days).alias(ds))
+    kind = df.schema[ds].dataType
+    last = df.groupBy(*by).agg(F.max(ds).cast("timestamp_ntz").alias("_last"))
+    steps = F.expr(f"sequence(_last + INTERVAL {step}, _last + {int(periods)} * INTERVAL {step}, INTERVAL {step})")
+    return last.select(*by, F.explode(steps).alias(ds)).withColumn(ds, F.col(ds).cast(kind))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleet.queries import registry, relational
+from fleet.queries import media, registry, relational, series, vectors  # noqa: F401
 
 
 def all_queries():

@@ -48,6 +48,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def list_folder(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names in a folder that start with ``prefix``."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    names = sorted(status.getPath().getName() for status in found)
+    return [name for name in names if name.startswith(prefix)]
+
+
 def write_shards(df: DataFrame, path: str, shard: str = "shard") -> None:
     """One directory per shard in one job; shards that already have data are skipped."""
     spark = df.sparkSession
