@@ -154,7 +154,7 @@ def route_predict(
             for pdf in frames:
                 pdf["prediction"] = None
                 for key, part in pdf.groupby(group_columns, dropna=False, sort=False):
-                    model = shared.value.get(key)
+                    model = shared.value.get(tuple(None if pd.isna(v) else v for v in key))
                     if model is not None:
                         pdf.loc[part.index, "prediction"] = predict(model, part[features])
                 yield pdf[out.names].astype({"prediction": "float64"})
@@ -162,10 +162,11 @@ def route_predict(
         return source.mapInPandas(by_batch, out)
 
     def by_block(left: pa.Table, right: pa.Table) -> pa.Table:
-        pdf = left.to_pandas()
-        model = right.column("model")[0].as_py() if right.num_rows else None
-        pdf["prediction"] = predict(model, pdf[features]) if model is not None else None
-        return pa.Table.from_pandas(pdf[out.names].astype({"prediction": "float64"}), preserve_index=False)
+        values = pa.nulls(left.num_rows, pa.float64())
+        model = right["model"][0].as_py() if right.num_rows else None
+        if model is not None:
+            values = pa.array(predict(model, left.select(features).to_pandas()), pa.float64(), from_pandas=True)
+        return left.select(out.names[:-1]).append_column("prediction", values)
 
     pairs = models.select(*group_columns, "model")
     return block_cogroup(

@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleet.functions.draws import uniform
 from fleet.operators.keys import join_on
@@ -69,24 +69,29 @@ METRICS = {"mlogloss": "min", "merror": "min", "accuracy": "max", "rmse": "min",
 # --- bins, gradients and splits as data frames -----------------------------------
 
 
+def feature_array(features: list[str] | str) -> Column:
+    """The features as one array: several columns, or one array column."""
+    if isinstance(features, str):
+        return F.col(features).cast("array<double>")
+    return F.array(*[F.col(f).cast("double") for f in features])
+
+
 def quantile_bins(
-    df: DataFrame, features: list[str], max_bin: int = 256, by: list[str] | None = None, exact: bool = False
+    df: DataFrame, features: list[str] | str, max_bin: int = 256, by: list[str] | None = None, exact: bool = False
 ) -> DataFrame:
-    """Bin edges of every feature: the keys and one array of rising edges per feature.
+    """Bin edges: the keys, the ``feature`` number and its rising ``edges``.
 
-    The sketch needs one pass; ``exact`` ranks the values instead.
+    Sketches are merged from all tasks in one pass; ``exact`` ranks the values instead.
     """
     keys = list(by or [])
     probs = [i / max_bin for i in range(1, max_bin)]
+    cells = df.select(*keys, F.posexplode(feature_array(features)).alias("feature", "value"))
     if exact:
-        found = None
-        for name in features:
-            edges = exact_percentiles(df, name, probs, keys).withColumnRenamed("percentiles", name)
-            edges = edges.withColumn(name, F.array_distinct(name))
-            found = edges if found is None else join_on(found, edges, keys)
-        return found
-    sketches = [F.array_distinct(F.percentile_approx(F.col(f).cast("double"), probs, 10_000)).alias(f) for f in features]
-    return df.groupBy(*keys).agg(*sketches)
+        edges = exact_percentiles(cells, "value", probs, [*keys, "feature"])
+        return edges.select(*keys, "feature", F.array_distinct("percentiles").alias("edges"))
+    levels = ", ".join(map(repr, probs))
+    sketch = F.expr(f"array_distinct(percentile_approx(value, array({levels}), 10000))")
+    return cells.groupBy(*keys, "feature").agg(sketch.alias("edges"))
 
 
 def bin_of(value: Column, edges: Column) -> Column:
@@ -102,31 +107,30 @@ def sum_histogram(partials: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def best_split(
-    histogram: DataFrame, node: list[str], reg_lambda: Column | float = 1.0, gamma: Column | float = 0.0,
-    min_child_weight: Column | float = 1.0,
+    histogram: DataFrame, node: list[str], reg_lambda: str | float = 1.0, gamma: str | float = 0.0,
+    min_child_weight: str | float = 1.0,
 ) -> DataFrame:
     """The split with the highest gain of every node: feature, bin, gain and the sums left and in all.
 
     Rows of a bin up to ``bin`` go left. Ties go to the lowest feature, then bin. A
-    node that no split divides has a gain of minus infinity.
+    node that no split divides has a gain of minus infinity. Settings are numbers or
+    SQL expressions over the node columns.
     """
-    lam, gam, least = (x if isinstance(x, Column) else F.lit(float(x)) for x in (reg_lambda, gamma, min_child_weight))
-    parts = Window.partitionBy(*node, "feature")
-    upto = parts.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = histogram.select(
-        "*",
-        F.sum("g").over(upto).alias("gl"), F.sum("h").over(upto).alias("hl"),
-        F.sum("g").over(parts).alias("ga"), F.sum("h").over(parts).alias("ha"),
+    group = ", ".join(node)
+    place = f"PARTITION BY {group}, feature"
+    score = lambda g, h: f"pow({g}, 2) / ({h} + {reg_lambda})"
+    allowed = f"hl >= {min_child_weight} AND ha - hl >= {min_child_weight}"
+    gain = f"0.5D * ({score('gl', 'hl')} + {score('(ga - gl)', '(ha - hl)')} - {score('ga', 'ha')}) - {gamma}"
+    sums = histogram.selectExpr(
+        *node, "feature", "bin",
+        *[f"sum({c}) OVER ({place} ORDER BY bin) AS {c}l" for c in "gh"],
+        *[f"sum({c}) OVER ({place}) AS {c}a" for c in "gh"],
+    )
+    gains = sums.selectExpr("*", f"CASE WHEN {allowed} THEN {gain} ELSE double('-Infinity') END AS gain")
+    best = gains.groupBy(*node).agg(
+        F.expr("max_by(struct(feature, bin, gain, gl, hl, ga, ha), struct(gain, -feature, -bin))").alias("_s")
     )
-    gl, hl, ga, ha = (F.col(c) for c in ("gl", "hl", "ga", "ha"))
-    gr, hr = ga - gl, ha - hl
-    score = lambda g, h: g * g / (h + lam)
-    gain = F.lit(0.5) * (score(gl, hl) + score(gr, hr) - score(ga, ha)) - gam
-    allowed = (hl >= least) & (hr >= least)
-    gain = F.when(allowed, gain).otherwise(F.lit(float("-inf")))
-    row = F.struct("feature", "bin", gain.alias("gain"), "gl", "hl", "ga", "ha")
-    order = F.struct(gain, -F.col("feature"), -F.col("bin"))
-    return sums.groupBy(*node).agg(F.max_by(row, order).alias("_s")).select(*node, "_s.*")
+    return best.select(*node, "_s.*")
 
 
 # --- trees on the driver ----------------------------------------------------------
@@ -207,6 +211,7 @@ class Tree:
 class _Model:
     params: BoostParams
     base: float = 0.0
+    trial: int = 0
     trees: list[list[dict]] = field(default_factory=list)
     stored: int = 0
     history: list[float] = field(default_factory=list)
@@ -334,8 +339,8 @@ def _sample_score(params: BoostParams, grad: np.ndarray, hess: np.ndarray) -> np
 class _Trainer:
     """Training of all trials of one wave of groups over its stored, binned rows."""
 
-    def __init__(self, state: DataFrame, models: dict[tuple[int, int], _Model], features: int, bins: int, scratch: Scratch):
-        self.state, self.models, self.scratch = state, models, scratch
+    def __init__(self, state: DataFrame, models: dict[tuple[int, int], _Model], features: int, bins: int, scratch: Scratch, name: str):
+        self.state, self.models, self.scratch, self.name = state, models, scratch, name
         self.features, self.bins = features, bins
         self.trials = 1 + max(t for _, t in models)
         self.outputs = max(m.params.outputs for m in models.values())
@@ -428,7 +433,7 @@ class _Trainer:
                 current = {
                     key: [tree.arrays(nodes=n) for tree, n in zip(trees[key], asked[key])] for key in pack
                 }
-                for row in self._best_splits(pack, current, asked):
+                for row in self._best_splits(pack, current):
                     key, k = (row["_g"], row["_t"]), row["_k"]
                     trees[key][k].record(asked[key][k][row["node"]], row)
                 for key in pack:  # nodes that no row reached stay leaves
@@ -453,7 +458,8 @@ class _Trainer:
         if pack:
             yield pack
 
-    def _best_splits(self, pack, current, asked) -> list:
+    def histogram(self, pack, current) -> DataFrame:
+        """Gradient and hessian sums of the open nodes of ``current``, per feature and bin."""
         shared = self._work(pack, current)
 
         def histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -502,17 +508,19 @@ class _Trainer:
 
         schema = "_g int, _t int, _k int, node int, feature int, bin int, g double, h double"
         partials = self._rows(False, pack).mapInArrow(histograms, schema)
-        node = ["_g", "_t", "_k", "node"]
-        per_trial = {t: self.models[g, t].params for g, t in pack}
+        return sum_histogram(partials, ["_g", "_t", "_k", "node", "feature"])
 
-        def setting(name: str) -> Column:
-            values = {t: float(getattr(p, name)) for t, p in per_trial.items()}
+    def _best_splits(self, pack, current) -> list:
+        def setting(name: str) -> str:
+            values = {(g, t): float(getattr(self.models[g, t].params, name)) for g, t in pack}
             if len(set(values.values())) == 1:
-                return F.lit(next(iter(values.values())))
-            return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col("_t"))
+                return f"{next(iter(values.values()))!r}D"
+            pairs = ", ".join(f"struct({g}, {t}), {v!r}D" for (g, t), v in values.items())
+            return f"element_at(map({pairs}), struct(_g, _t))"
 
-        summed = sum_histogram(partials, [*node, "feature"])
-        return best_split(summed, node, setting("reg_lambda"), setting("gamma"), setting("min_child_weight")).collect()
+        names = ("reg_lambda", "gamma", "min_child_weight")
+        found = best_split(self.histogram(pack, current), ["_g", "_t", "_k", "node"], *map(setting, names))
+        return found.collect()
 
     def _evaluate(self, active) -> dict[tuple[int, int], float]:
         shared = self._work(active)
@@ -558,9 +566,9 @@ class _Trainer:
                 columns = [lists if n == "_m" else batch.column(n) for n in batch.schema.names]
                 yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-        old = f"state{self.versions}"
+        old = f"{self.name}-{self.versions}"
         self.versions += 1
-        self.state = self.scratch.store(self.state.mapInArrow(apply, self.state.schema), f"state{self.versions}")
+        self.state = self.scratch.store(self.state.mapInArrow(apply, self.state.schema), f"{self.name}-{self.versions}")
         self.scratch.drop(old)
         for model in self.models.values():
             model.stored = len(model.trees)
@@ -576,28 +584,30 @@ class BoostResult:
 
 def boost_many(
     df: DataFrame,
-    features: list[str],
+    features: list[str] | str,
     label: str,
-    params: list[BoostParams] | Callable[[tuple], list[BoostParams]],
+    params: list[BoostParams] | DataFrame,
     group_columns: list[str] | None = None,
     validation: Column | None = None,
     max_bin: int = 256,
+    base: BoostParams = BoostParams(),
     on_round: Callable[[_Trainer], None] | None = None,
+    exact_bins: bool = False,
 ) -> BoostResult:
     """Train all ``params`` on every group of ``df`` at once.
 
-    ``params`` may be a function of the group's key, with one list length for all
-    groups. ``validation`` marks the held-out rows. Keys are never features.
+    ``params`` is a list for all groups, or a trial table (group columns, ``trial_id``,
+    ``params map<string,double>``) whose values change ``base``. ``features`` are columns or one array column. ``validation`` marks the
+    held-out rows. Keys are never features.
     """
     if not 2 <= max_bin <= 256:
         raise ValueError("max_bin is between 2 and 256")
     spark, keys = df.sparkSession, list(group_columns or [])
     results, work = Scratch(spark), Scratch(spark)
     held = F.lit(False) if validation is None else F.coalesce(validation, F.lit(False))
-    rows = df.select(
-        *keys, F.col(label).cast("double").alias("_y"), held.alias("_val"), *[F.col(f).cast("double").alias(f) for f in features]
-    )
-    per_wave = max(EDGE_BYTES // (len(features) * max_bin * 8), 1)
+    rows = df.select(*keys, F.col(label).cast("double").alias("_y"), held.alias("_val"), feature_array(features).alias("_x"))
+    width = len(features) if isinstance(features, list) else rows.select(F.size("_x")).first()[0]
+    per_wave = max(EDGE_BYTES // (width * max_bin * 8), 1)
     if keys:
         groups = global_ordinal(df.select(*keys).distinct(), keys, "_n")
         groups = groups.select(
@@ -611,12 +621,14 @@ def boost_many(
 
     for wave in waves:
         if keys:
-            members = {r["_g"]: tuple(r[k] for k in keys) for r in groups.where(F.col("_wave") == wave).collect()}
+            here = groups.where(F.col("_wave") == wave)
+            members = {r["_g"]: tuple(r[k] for k in keys) for r in here.collect()}
             part = rows.where(F.col("_wave") == wave).drop("_wave")
         else:
-            members, part = {0: ()}, rows.withColumn("_g", F.lit(0))
-        models, state, edges = _prepare(part, members, features, params, max_bin, work, f"wave{wave}")
-        trainer = _Trainer(state, models, len(features), max_bin, work)
+            here, members, part = None, {0: ()}, rows.withColumn("_g", F.lit(0))
+        wanted = _wanted(params, here, members, keys, base)
+        models, state, edges = _prepare(part, members, width, wanted, max_bin, work, f"wave{wave}", exact_bins)
+        trainer = _Trainer(state, models, width, max_bin, work, f"wave{wave}")
         trainer.run((lambda _: on_round(trainer)) if on_round else None)
         _write_models(spark, models, members, edges, features, df.select(*keys).schema, results)
     work.drop()
@@ -625,49 +637,82 @@ def boost_many(
 
 
 def boost(
-    train: DataFrame, val: DataFrame | None, features: list[str], label: str, params: BoostParams, max_bin: int = 256
+    train: DataFrame, val: DataFrame | None, features: list[str] | str, label: str, params: BoostParams, max_bin: int = 256
 ) -> BoostResult:
     """Train one model on a whole table, with the metric of ``val`` after every round."""
-    rows = train.select(*features, label).withColumn("_held", F.lit(False))
+    columns = [label, *([features] if isinstance(features, str) else features)]
+    rows = train.select(*columns).withColumn("_held", F.lit(False))
     if val is not None:
-        rows = rows.unionByName(val.select(*features, label).withColumn("_held", F.lit(True)))
+        rows = rows.unionByName(val.select(*columns).withColumn("_held", F.lit(True)))
     return boost_many(rows, features, label, [params], validation=F.col("_held"), max_bin=max_bin)
 
 
-def _prepare(part: DataFrame, members: dict, features, params, max_bin: int, scratch: Scratch, name: str):
+def _wanted(params, here: DataFrame | None, members: dict, keys: list[str], base: BoostParams) -> dict:
+    """The (trial id, settings) of every group of a wave."""
+    if isinstance(params, list):
+        return {g: list(enumerate(params)) for g in members}
+    trials = join_on(params, here, keys) if keys else params.withColumn("_g", F.lit(0))
+    wanted: dict[int, list] = {}
+    for row in trials.select("_g", "trial_id", "params").orderBy("_g", "trial_id").collect():
+        wanted.setdefault(row["_g"], []).append((row["trial_id"], with_params(base, **row["params"])))
+    return wanted
+
+
+def root_histogram(
+    df: DataFrame, features: list[str] | str, label: str, params: BoostParams, max_bin: int = 256, exact_bins: bool = False
+) -> DataFrame:
+    """Gradient and hessian sums of a first tree's root: ``class``, ``node``, ``feature``, ``bin``, ``g``, ``h``."""
+    part = df.select(
+        F.lit(0).alias("_g"), F.col(label).cast("double").alias("_y"), F.lit(False).alias("_val"), feature_array(features).alias("_x")
+    )
+    width = len(features) if isinstance(features, list) else part.select(F.size("_x")).first()[0]
+    scratch = Scratch(df.sparkSession)
+    models, state, _ = _prepare(part, {0: ()}, width, {0: [(0, params)]}, max_bin, scratch, "root", exact_bins)
+    trainer = _Trainer(state, models, width, max_bin, scratch, "root")
+    current = {(0, 0): [Tree().arrays(nodes=[0]) for _ in range(params.outputs)]}
+    return trainer.histogram([(0, 0)], current).withColumnRenamed("_k", "class").drop("_g", "_t")
+
+
+def _prepare(
+    part: DataFrame, members: dict, width: int, wanted: dict, max_bin: int, scratch: Scratch, name: str, exact: bool = False
+):
     """Bin edges from the training rows, models with their start value, and the stored binned rows."""
-    sketched = quantile_bins(part.where(~F.col("_val")), features, max_bin, ["_g"])
-    means = part.where(~F.col("_val")).groupBy("_g").agg(F.avg("_y").alias("_mean"))
-    found = {r["_g"]: r for r in join_on(sketched, means, ["_g"]).collect()}
-    edges = {g: [np.unique(np.asarray(r[f] or [], float)) for f in features] for g, r in found.items()}
-    models = {}
-    for g in edges:
-        wanted = params(members[g]) if callable(params) else params
-        for t, p in enumerate(wanted):
-            models[g, t] = _Model(p, found[g]["_mean"] if p.objective == "reg:squarederror" else 0.0)
+    training = part.where(~F.col("_val"))
+    edges: dict[int, list[np.ndarray]] = {}
+    for row in quantile_bins(training, "_x", max_bin, ["_g"], exact).collect():
+        found = edges.setdefault(row["_g"], [np.empty(0)] * width)
+        found[row["feature"]] = np.unique(np.asarray(row["edges"] or [], float))
+    wanted = {g: trials for g, trials in wanted.items() if g in edges}
+    means: dict[int, float] = {}
+    if any(p.objective == "reg:squarederror" for trials in wanted.values() for _, p in trials):
+        means = {r["_g"]: r["_mean"] for r in training.groupBy("_g").agg(F.avg("_y").alias("_mean")).collect()}
+    models = {
+        (g, t): _Model(p, means[g] if p.objective == "reg:squarederror" else 0.0, trial)
+        for g, trials in wanted.items()
+        for t, (trial, p) in enumerate(trials)
+    }
     shared = part.sparkSession.sparkContext.broadcast(edges)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             groups = batch.column("_g").to_numpy()
-            codes = np.zeros((len(groups), len(features)), np.uint8)
+            values = batch.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(len(groups), -1)
+            codes = np.zeros((len(groups), width), np.uint8)
             for g in np.unique(groups):
                 at = np.flatnonzero(groups == g)
-                for i, f in enumerate(features):
-                    if g in shared.value:
-                        column = batch.column(f).to_numpy(zero_copy_only=False)[at]
-                        codes[at, i] = np.searchsorted(shared.value[g][i], column, side="right")
-            offsets = pa.py_buffer(np.arange(0, codes.size + 1, max(len(features), 1), dtype=np.int32))
+                for i in range(width):
+                    codes[at, i] = np.searchsorted(shared.value[g][i], values[at, i], side="right")
+            offsets = pa.py_buffer(np.arange(0, codes.size + 1, width, dtype=np.int32))
             bins = pa.Array.from_buffers(pa.binary(), len(groups), [None, offsets, pa.py_buffer(codes.tobytes())])
             empty = pa.ListArray.from_arrays(pa.array(np.zeros(len(groups) + 1), pa.int32()), pa.array([], pa.float64()))
             kept = [batch.column(c) for c in ("_row", "_g", "_y", "_val")]
             yield pa.RecordBatch.from_arrays([*kept, bins, empty], ["_row", "_g", "_y", "_val", "_bins", "_m"])
 
-    numbered = part.withColumn("_row", F.monotonically_increasing_id())
+    numbered = part.where(F.col("_g").isin(list(edges))).withColumn("_row", F.monotonically_increasing_id())
     state = numbered.mapInArrow(encode, "_row long, _g int, _y double, _val boolean, _bins binary, _m array<double>")
     if len(members) > 1:  # few groups per task; a large group still has many tasks
         state = state.repartitionByRange("_g", F.xxhash64("_row"))
-    return models, scratch.store(state.where(F.col("_g").isin(list(edges))), "state0" if name == "wave0" else f"{name}"), edges
+    return models, scratch.store(state, f"{name}-0"), edges
 
 
 def _write_models(spark: SparkSession, models, members, edges, features, key_schema, results: Scratch) -> None:
@@ -677,8 +722,8 @@ def _write_models(spark: SparkSession, models, members, edges, features, key_sch
     for (g, t), m in models.items():
         best = m.best_round()
         last = m.history[-1] if m.history else None
-        texts.append((*members[g], t, best, last, _as_text(m, edges[g], features)))
-        history += [(*members[g], t, i, m.params.eval_metric, float(v)) for i, v in enumerate(m.history)]
+        texts.append((*members[g], m.trial, best, last, _as_text(m, edges[g], features)))
+        history += [(*members[g], m.trial, i, m.params.eval_metric, float(v)) for i, v in enumerate(m.history)]
     spark.createDataFrame(texts, f"{head}trial_id int, best_round int, value double, model string").write.mode(
         "append"
     ).parquet(f"{results.path}/models")
@@ -690,7 +735,7 @@ def _write_models(spark: SparkSession, models, members, edges, features, key_sch
 # --- stored models ----------------------------------------------------------------
 
 
-def _as_text(model: _Model, edges: list[np.ndarray], features: list[str]) -> str:
+def _as_text(model: _Model, edges: list[np.ndarray], features: list[str] | str) -> str:
     """A model as JSON, with thresholds in place of bins: a row goes left below the threshold."""
     rounds = []
     for trees in model.trees:
@@ -720,7 +765,8 @@ def _parsed(text: str) -> dict:
 def model_margin(text: str, pdf: pd.DataFrame) -> np.ndarray:
     """Summed leaf values of every row and output."""
     model = _parsed(text)
-    x = pdf[model["features"]].to_numpy(float)
+    names = model["features"]
+    x = np.array(pdf[names].tolist(), float) if isinstance(names, str) else pdf[names].to_numpy(float)
     rows = np.arange(len(x))
     margin = np.full((len(x), model["outputs"]), float(model["base"]))
     for trees in model["rounds"]:
@@ -744,8 +790,10 @@ def model_predict(text: str, pdf: pd.DataFrame) -> pd.Series:
     return pd.Series(out, index=pdf.index)
 
 
-def predict(df: DataFrame, model: str, keep: list[str], features: list[str], out: str = "prediction") -> DataFrame:
+def predict(df: DataFrame, model: str, keep: list[str], out: str = "prediction") -> DataFrame:
     """Predict a whole table with one model; ``keep`` columns are carried along, nothing is shuffled."""
+    named = json.loads(model)["features"]
+    features = [named] if isinstance(named, str) else named
     shared = df.sparkSession.sparkContext.broadcast(model)
     source = df.select(*dict.fromkeys([*keep, *features]))
     schema = df.select(*keep).withColumn(out, F.lit(0.0)).schema
@@ -765,6 +813,9 @@ def held_out(keys: list[str], test_size: float = 0.25, seed: int = 42) -> Column
 
 
 def with_params(base: BoostParams, **values) -> BoostParams:
-    """Settings changed by a trial; whole-number settings are rounded from the trial's values."""
+    """Settings changed by a trial. Names may be nested (``params.gamma``); those that are no setting
+    of a model are left to the caller."""
     whole = {"num_estimators", "max_depth", "max_leaves", "early_stopping_rounds", "num_class", "seed"}
-    return replace(base, **{k: int(v) if k in whole else v for k, v in values.items()})
+    known = {k.rsplit(".", 1)[-1]: v for k, v in values.items()}
+    known = {k: v for k, v in known.items() if k in BoostParams.__dataclass_fields__}
+    return replace(base, **{k: int(v) if k in whole else v for k, v in known.items()})

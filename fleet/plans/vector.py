@@ -311,13 +311,13 @@ def ivf_build(
         books = spark.createDataFrame([], "sub int, code int, centroid array<double>")
     books.write.mode("overwrite").parquet(f"{path}/codebooks")
     index = IvfIndex(spark, path)
-    _placed(index, rows).withColumn("batch", F.lit(-1)).write.mode("overwrite").partitionBy("batch", "cell").parquet(
+    place_vectors(index, rows).withColumn("batch", F.lit(-1)).write.mode("overwrite").partitionBy("batch", "cell").parquet(
         f"{path}/vectors"
     )
     return index
 
 
-def _placed(index: IvfIndex, rows: DataFrame) -> DataFrame:
+def place_vectors(index: IvfIndex, rows: DataFrame) -> DataFrame:
     """Rows with their cell and, where the index has codebooks, their code."""
     placed = assign_cells(rows, index.centroids())
     books = index.codebooks()

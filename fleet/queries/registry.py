@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleet.session import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -14,7 +17,12 @@ def query(sql: str | None = None):
     """Register a function of (session, table folder) under its name."""
 
     def register(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[fn.__name__] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, folder)
+
+        QUERIES[fn.__name__] = run
         if sql:
             SQL[fn.__name__] = sql
         return fn

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 
@@ -24,3 +28,23 @@ def build_session(app: str = "fleet", master: str | None = None, **conf: str) ->
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for functions that run in Python there."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="fleet-package-"), "fleet.zip")
+    with zipfile.ZipFile(archive, "w") as target:
+        for folder, _, names in os.walk(os.path.join(root, "fleet")):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    target.write(path, os.path.relpath(path, root))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
