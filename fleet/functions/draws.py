@@ -17,10 +17,23 @@ _SPAN = float(16**_HEX_DIGITS)
 
 def uniform(seed: int | str, *keys: Column | str) -> Column:
     """Uniform in [0, 1) from the seed and the keys (integers or strings)."""
-    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
-    text = F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in columns])
-    digits = F.substring(F.md5(text), 1, _HEX_DIGITS)
-    return F.conv(digits, 16, 10).cast("double") / F.lit(_SPAN)
+    return _share(_digest(seed, *keys), 1)
+
+
+def drawn_below(share: float, seed: int | str, *keys: Column | str) -> Column:
+    """Whether ``uniform(seed, *keys) < share``, decided on the digits of the digest."""
+    if share >= 1.0:
+        return F.lit(True)
+    if share <= 0.0:
+        return F.lit(False)
+    bound = format(math.ceil(share * _SPAN), f"0{_HEX_DIGITS}x")
+    return F.substring(_digest(seed, *keys), 1, _HEX_DIGITS) < F.lit(bound)
+
+
+def uniform_pair(seed: int | str, *keys: Column | str) -> tuple[Column, Column]:
+    """Two independent draws from one digest."""
+    digest = _digest(seed, *keys)
+    return _share(digest, 1), _share(digest, 1 + _HEX_DIGITS)
 
 
 def uniform_between(low: Column | float, high: Column | float, draw: Column) -> Column:
@@ -37,6 +50,15 @@ def integer_between(low: int, high: int, draw: Column) -> Column:
     return (F.lit(low) + F.floor(draw * F.lit(high - low))).cast("long")
 
 
+def _digest(seed: int | str, *keys: Column | str) -> Column:
+    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in columns]))
+
+
+def _share(digest: Column, start: int) -> Column:
+    return F.conv(F.substring(digest, start, _HEX_DIGITS), 16, 10).cast("double") / F.lit(_SPAN)
+
+
 def normal(first: Column, second: Column) -> Column:
     """Standard normal from two uniform draws."""
     radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - first))

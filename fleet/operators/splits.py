@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleet.functions.draws import uniform
+from fleet.functions.draws import drawn_below, uniform
 from fleet.operators.scans import global_ordinal
 
 
@@ -23,14 +23,14 @@ def split_hashed(
 
     Put the group columns among the keys for a separate split of every group.
     """
-    return df.withColumn(out, F.when(uniform(seed, *keys) < test_size, "val").otherwise("train"))
+    return df.withColumn(out, F.when(drawn_below(test_size, seed, *keys), "val").otherwise("train"))
 
 
 def sample_rows(
     df: DataFrame, keys: list[str], fraction: float, limit: int | None = None, seed: int = 42
 ) -> DataFrame:
     """Random sample without replacement, at most ``limit`` rows, reproducible by key."""
-    drawn = df.withColumn("_u", uniform(seed, *keys)).where(F.col("_u") < fraction)
+    drawn = df.where(drawn_below(fraction, seed, *keys))
     if limit is not None:
-        drawn = drawn.orderBy("_u", *keys).limit(limit)
-    return drawn.drop("_u")
+        drawn = drawn.orderBy(uniform(seed, *keys), *keys).limit(limit)
+    return drawn

@@ -10,22 +10,18 @@ and bin edges fit a stated size, and the rows of a group are spread over tasks.
 from __future__ import annotations
 
 import heapq
-import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fleet.functions.draws import uniform
-from fleet.operators.keys import join_on
-from fleet.operators.scans import exact_percentiles, global_ordinal
+from fleet.functions.draws import drawn_below
+from fleet.plans.bins import BinnedTable, Wave, spread_rows
+from fleet.plans.tree_models import model_text
 from fleet.scratch import Scratch
 
-EDGE_BYTES = 256 << 20
 HISTOGRAM_BYTES = 256 << 20
 STORE_EVERY = 10
 SAMPLE_BINS = 1024
@@ -69,36 +65,6 @@ METRICS = {"mlogloss": "min", "merror": "min", "accuracy": "max", "rmse": "min",
 # --- bins, gradients and splits as data frames -----------------------------------
 
 
-def feature_array(features: list[str] | str) -> Column:
-    """The features as one array: several columns, or one array column."""
-    if isinstance(features, str):
-        return F.col(features).cast("array<double>")
-    return F.array(*[F.col(f).cast("double") for f in features])
-
-
-def quantile_bins(
-    df: DataFrame, features: list[str] | str, max_bin: int = 256, by: list[str] | None = None, exact: bool = False
-) -> DataFrame:
-    """Bin edges: the keys, the ``feature`` number and its rising ``edges``.
-
-    Sketches are merged from all tasks in one pass; ``exact`` ranks the values instead.
-    """
-    keys = list(by or [])
-    probs = [i / max_bin for i in range(1, max_bin)]
-    cells = df.select(*keys, F.posexplode(feature_array(features)).alias("feature", "value"))
-    if exact:
-        edges = exact_percentiles(cells, "value", probs, [*keys, "feature"])
-        return edges.select(*keys, "feature", F.array_distinct("percentiles").alias("edges"))
-    levels = ", ".join(map(repr, probs))
-    sketch = F.expr(f"array_distinct(percentile_approx(value, array({levels}), 10000))")
-    return cells.groupBy(*keys, "feature").agg(sketch.alias("edges"))
-
-
-def bin_of(value: Column, edges: Column) -> Column:
-    """The number of edges that are not above the value."""
-    return F.size(F.filter(edges, lambda e: e <= value))
-
-
 def sum_histogram(partials: DataFrame, keys: list[str]) -> DataFrame:
     """Sum gradients and hessians per bin; placed by node and feature so that the split search
     needs no further shuffle."""
@@ -239,6 +205,13 @@ class _Model:
 # --- numpy helpers inside tasks ---------------------------------------------------
 
 
+def _bytes_of(column: pa.BinaryArray) -> np.ndarray:
+    """The bytes of all values of a binary column, one after another."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if len(column) and data else np.empty(0, np.uint8)
+
+
 def _leaf_of(tree: dict, bins: np.ndarray) -> np.ndarray:
     node = np.zeros(len(bins), np.int64)
     rows = np.arange(len(bins))
@@ -298,12 +271,13 @@ class _Work:
     def parts(self, batch: pa.RecordBatch):
         """The rows of each group of a batch: group, row ids, labels, bins, stored margins."""
         groups = batch.column("_g").to_numpy()
-        codes = np.frombuffer(b"".join(batch.column("_bins").to_pylist()), np.uint8).reshape(len(groups), -1)
+        codes = _bytes_of(batch.column("_bins")).reshape(len(groups), self.features)
         rows, y = batch.column("_row").to_numpy(), batch.column("_y").to_numpy()
         flat = batch.column("_m").flatten().to_numpy(zero_copy_only=False)
         stored = flat.reshape(len(groups), self.trials, self.outputs) if len(flat) else None
-        for g in np.unique(groups):
-            at = np.flatnonzero(groups == g)
+        distinct = np.unique(groups)
+        for g in distinct:
+            at = np.flatnonzero(groups == g) if len(distinct) > 1 else slice(None)
             yield int(g), rows[at], y[at], codes[at], None if stored is None else stored[at]
 
     def margin(self, g: int, t: int, codes: np.ndarray, stored: np.ndarray | None) -> np.ndarray:
@@ -340,7 +314,9 @@ class _Trainer:
     """Training of all trials of one wave of groups over its stored, binned rows."""
 
     def __init__(self, state: DataFrame, models: dict[tuple[int, int], _Model], features: int, bins: int, scratch: Scratch, name: str):
-        self.state, self.models, self.scratch, self.name = state, models, scratch, name
+        self.models, self.scratch, self.name = models, scratch, name
+        self.grouped = len({g for g, _ in models}) > 1
+        self.start = self.state = state
         self.features, self.bins = features, bins
         self.trials = 1 + max(t for _, t in models)
         self.outputs = max(m.params.outputs for m in models.values())
@@ -378,8 +354,10 @@ class _Trainer:
                 self.models[key].advance(metrics.get(key))
             if on_round:
                 on_round(self.round)
-            if self.round % STORE_EVERY == 0:
+            if self.round % STORE_EVERY == 0 and any(m.active for m in self.models.values()):
                 self._store_margins()
+        if self.state is not self.start:
+            self.state.unpersist()
 
     def _set_thresholds(self, active) -> None:
         """For gradient-based sampling: the score from which rows are always kept, such that the
@@ -568,8 +546,13 @@ class _Trainer:
 
         old = f"{self.name}-{self.versions}"
         self.versions += 1
-        self.state = self.scratch.store(self.state.mapInArrow(apply, self.state.schema), f"{self.name}-{self.versions}")
-        self.scratch.drop(old)
+        held = self.state
+        stored = self.scratch.store(held.mapInArrow(apply, held.schema), f"{self.name}-{self.versions}")
+        self.state = spread_rows(stored, self.grouped)
+        self.state.count()
+        if held is not self.start:
+            held.unpersist()
+            self.scratch.drop(old)
         for model in self.models.values():
             model.stored = len(model.trees)
 
@@ -582,6 +565,35 @@ class BoostResult:
     history: DataFrame
 
 
+def train(
+    table: BinnedTable,
+    params: list[BoostParams] | DataFrame,
+    base: BoostParams = BoostParams(),
+    on_round: Callable[[_Trainer], None] | None = None,
+) -> BoostResult:
+    """Train all ``params`` on every group of a binned table.
+
+    ``params`` is a list for all groups, or a trial table (group columns, ``trial_id``,
+    ``params map<string,double>``) whose values change ``base``.
+    """
+    spark = table.spark
+    results, work = Scratch(spark), Scratch(spark)
+    for number in table.waves:
+        wave = table.wave(number)
+        models = {}
+        for g, trials in _wanted(params, table, wave, base).items():
+            for t, (trial, p) in enumerate(trials):
+                models[g, t] = _Model(p, wave.means[g] if p.objective == "reg:squarederror" else 0.0, trial)
+        trainer = _Trainer(wave.rows, models, table.width, table.max_bin, work, f"wave{number}")
+        trainer.run((lambda _: on_round(trainer)) if on_round else None)
+        _write_models(spark, models, wave, table.features, table.key_schema, results)
+        if len(table.waves) > 1:
+            table.release(number)
+    work.drop()
+    read = lambda name: spark.read.parquet(f"{results.path}/{name}")
+    return BoostResult(read("models"), read("history"))
+
+
 def boost_many(
     df: DataFrame,
     features: list[str] | str,
@@ -594,46 +606,16 @@ def boost_many(
     on_round: Callable[[_Trainer], None] | None = None,
     exact_bins: bool = False,
 ) -> BoostResult:
-    """Train all ``params`` on every group of ``df`` at once.
+    """Bin ``df`` and train all ``params`` on every group of it at once.
 
-    ``params`` is a list for all groups, or a trial table (group columns, ``trial_id``,
-    ``params map<string,double>``) whose values change ``base``. ``features`` are columns or one array column. ``validation`` marks the
-    held-out rows. Keys are never features.
+    ``features`` are columns or one array column; ``validation`` marks the held-out
+    rows. Keys are never features.
     """
-    if not 2 <= max_bin <= 256:
-        raise ValueError("max_bin is between 2 and 256")
-    spark, keys = df.sparkSession, list(group_columns or [])
-    results, work = Scratch(spark), Scratch(spark)
-    held = F.lit(False) if validation is None else F.coalesce(validation, F.lit(False))
-    rows = df.select(*keys, F.col(label).cast("double").alias("_y"), held.alias("_val"), feature_array(features).alias("_x"))
-    width = len(features) if isinstance(features, list) else rows.select(F.size("_x")).first()[0]
-    per_wave = max(EDGE_BYTES // (width * max_bin * 8), 1)
-    if keys:
-        groups = global_ordinal(df.select(*keys).distinct(), keys, "_n")
-        groups = groups.select(
-            *keys, F.floor(F.col("_n") / per_wave).cast("int").alias("_wave"), F.pmod("_n", F.lit(per_wave)).cast("int").alias("_g")
-        )
-        groups = work.store(groups, "groups")
-        rows = work.store(join_on(rows, groups, keys).drop(*keys), "rows", ["_wave"])
-        waves = [r["_wave"] for r in groups.select("_wave").distinct().orderBy("_wave").collect()]
-    else:
-        waves = [0]
-
-    for wave in waves:
-        if keys:
-            here = groups.where(F.col("_wave") == wave)
-            members = {r["_g"]: tuple(r[k] for k in keys) for r in here.collect()}
-            part = rows.where(F.col("_wave") == wave).drop("_wave")
-        else:
-            here, members, part = None, {0: ()}, rows.withColumn("_g", F.lit(0))
-        wanted = _wanted(params, here, members, keys, base)
-        models, state, edges = _prepare(part, members, width, wanted, max_bin, work, f"wave{wave}", exact_bins)
-        trainer = _Trainer(state, models, width, max_bin, work, f"wave{wave}")
-        trainer.run((lambda _: on_round(trainer)) if on_round else None)
-        _write_models(spark, models, members, edges, features, df.select(*keys).schema, results)
-    work.drop()
-    read = lambda name: spark.read.parquet(f"{results.path}/{name}")
-    return BoostResult(read("models"), read("history"))
+    table = BinnedTable(df, features, label, group_columns, validation, max_bin, exact_bins)
+    try:
+        return train(table, params, base, on_round)
+    finally:
+        table.close()
 
 
 def boost(
@@ -647,14 +629,15 @@ def boost(
     return boost_many(rows, features, label, [params], validation=F.col("_held"), max_bin=max_bin)
 
 
-def _wanted(params, here: DataFrame | None, members: dict, keys: list[str], base: BoostParams) -> dict:
-    """The (trial id, settings) of every group of a wave."""
+def _wanted(params: list[BoostParams] | DataFrame, table: BinnedTable, wave: Wave, base: BoostParams) -> dict:
+    """The (trial id, settings) of every group of a wave that has training rows."""
     if isinstance(params, list):
-        return {g: list(enumerate(params)) for g in members}
-    trials = join_on(params, here, keys) if keys else params.withColumn("_g", F.lit(0))
+        return {g: list(enumerate(params)) for g in wave.edges}
+    rows = table.trials(params, wave.number).select("_g", "trial_id", "params").orderBy("_g", "trial_id").collect()
     wanted: dict[int, list] = {}
-    for row in trials.select("_g", "trial_id", "params").orderBy("_g", "trial_id").collect():
-        wanted.setdefault(row["_g"], []).append((row["trial_id"], with_params(base, **row["params"])))
+    for row in rows:
+        if row["_g"] in wave.edges:
+            wanted.setdefault(row["_g"], []).append((row["trial_id"], with_params(base, **row["params"])))
     return wanted
 
 
@@ -662,68 +645,23 @@ def root_histogram(
     df: DataFrame, features: list[str] | str, label: str, params: BoostParams, max_bin: int = 256, exact_bins: bool = False
 ) -> DataFrame:
     """Gradient and hessian sums of a first tree's root: ``class``, ``node``, ``feature``, ``bin``, ``g``, ``h``."""
-    part = df.select(
-        F.lit(0).alias("_g"), F.col(label).cast("double").alias("_y"), F.lit(False).alias("_val"), feature_array(features).alias("_x")
-    )
-    width = len(features) if isinstance(features, list) else part.select(F.size("_x")).first()[0]
-    scratch = Scratch(df.sparkSession)
-    models, state, _ = _prepare(part, {0: ()}, width, {0: [(0, params)]}, max_bin, scratch, "root", exact_bins)
-    trainer = _Trainer(state, models, width, max_bin, scratch, "root")
+    table = BinnedTable(df, features, label, max_bin=max_bin, exact_bins=exact_bins)
+    trainer = _Trainer(table.wave(0).rows, {(0, 0): _Model(params)}, table.width, max_bin, table.scratch, "root")
     current = {(0, 0): [Tree().arrays(nodes=[0]) for _ in range(params.outputs)]}
     return trainer.histogram([(0, 0)], current).withColumnRenamed("_k", "class").drop("_g", "_t")
 
 
-def _prepare(
-    part: DataFrame, members: dict, width: int, wanted: dict, max_bin: int, scratch: Scratch, name: str, exact: bool = False
-):
-    """Bin edges from the training rows, models with their start value, and the stored binned rows."""
-    training = part.where(~F.col("_val"))
-    edges: dict[int, list[np.ndarray]] = {}
-    for row in quantile_bins(training, "_x", max_bin, ["_g"], exact).collect():
-        found = edges.setdefault(row["_g"], [np.empty(0)] * width)
-        found[row["feature"]] = np.unique(np.asarray(row["edges"] or [], float))
-    wanted = {g: trials for g, trials in wanted.items() if g in edges}
-    means: dict[int, float] = {}
-    if any(p.objective == "reg:squarederror" for trials in wanted.values() for _, p in trials):
-        means = {r["_g"]: r["_mean"] for r in training.groupBy("_g").agg(F.avg("_y").alias("_mean")).collect()}
-    models = {
-        (g, t): _Model(p, means[g] if p.objective == "reg:squarederror" else 0.0, trial)
-        for g, trials in wanted.items()
-        for t, (trial, p) in enumerate(trials)
-    }
-    shared = part.sparkSession.sparkContext.broadcast(edges)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            groups = batch.column("_g").to_numpy()
-            values = batch.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(len(groups), -1)
-            codes = np.zeros((len(groups), width), np.uint8)
-            for g in np.unique(groups):
-                at = np.flatnonzero(groups == g)
-                for i in range(width):
-                    codes[at, i] = np.searchsorted(shared.value[g][i], values[at, i], side="right")
-            offsets = pa.py_buffer(np.arange(0, codes.size + 1, width, dtype=np.int32))
-            bins = pa.Array.from_buffers(pa.binary(), len(groups), [None, offsets, pa.py_buffer(codes.tobytes())])
-            empty = pa.ListArray.from_arrays(pa.array(np.zeros(len(groups) + 1), pa.int32()), pa.array([], pa.float64()))
-            kept = [batch.column(c) for c in ("_row", "_g", "_y", "_val")]
-            yield pa.RecordBatch.from_arrays([*kept, bins, empty], ["_row", "_g", "_y", "_val", "_bins", "_m"])
-
-    numbered = part.where(F.col("_g").isin(list(edges))).withColumn("_row", F.monotonically_increasing_id())
-    state = numbered.mapInArrow(encode, "_row long, _g int, _y double, _val boolean, _bins binary, _m array<double>")
-    if len(members) > 1:  # few groups per task; a large group still has many tasks
-        state = state.repartitionByRange("_g", F.xxhash64("_row"))
-    return models, scratch.store(state, f"{name}-0"), edges
-
-
-def _write_models(spark: SparkSession, models, members, edges, features, key_schema, results: Scratch) -> None:
+def _write_models(spark: SparkSession, models, wave: Wave, features, key_schema, results: Scratch) -> None:
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_schema)
     head = f"{fields}, " if fields else ""
     texts, history = [], []
     for (g, t), m in models.items():
         best = m.best_round()
         last = m.history[-1] if m.history else None
-        texts.append((*members[g], m.trial, best, last, _as_text(m, edges[g], features)))
-        history += [(*members[g], m.trial, i, m.params.eval_metric, float(v)) for i, v in enumerate(m.history)]
+        p = m.params
+        text = model_text(p.objective, p.outputs, m.base, features, m.trees, wave.edges[g])
+        texts.append((*wave.members[g], m.trial, best, last, text))
+        history += [(*wave.members[g], m.trial, i, m.params.eval_metric, float(v)) for i, v in enumerate(m.history)]
     spark.createDataFrame(texts, f"{head}trial_id int, best_round int, value double, model string").write.mode(
         "append"
     ).parquet(f"{results.path}/models")
@@ -732,84 +670,12 @@ def _write_models(spark: SparkSession, models, members, edges, features, key_sch
     ).parquet(f"{results.path}/history")
 
 
-# --- stored models ----------------------------------------------------------------
-
-
-def _as_text(model: _Model, edges: list[np.ndarray], features: list[str] | str) -> str:
-    """A model as JSON, with thresholds in place of bins: a row goes left below the threshold."""
-    rounds = []
-    for trees in model.trees:
-        kept = []
-        for tree in trees:
-            inner = tree["feature"] >= 0
-            thresholds = [float(edges[f][b]) if i else 0.0 for i, f, b in zip(inner, tree["feature"], tree["bin"])]
-            kept.append({
-                "feature": tree["feature"].tolist(), "threshold": thresholds, "left": tree["left"].tolist(),
-                "right": tree["right"].tolist(), "value": [round(float(v), 12) for v in tree["value"]],
-            })
-        rounds.append(kept)
-    p = model.params
-    return json.dumps({"objective": p.objective, "outputs": p.outputs, "base": model.base, "features": features, "rounds": rounds})
-
-
-@lru_cache(maxsize=64)
-def _parsed(text: str) -> dict:
-    model = json.loads(text)
-    for trees in model["rounds"]:
-        for tree in trees:
-            for name in tree:
-                tree[name] = np.asarray(tree[name])
-    return model
-
-
-def model_margin(text: str, pdf: pd.DataFrame) -> np.ndarray:
-    """Summed leaf values of every row and output."""
-    model = _parsed(text)
-    names = model["features"]
-    x = np.array(pdf[names].tolist(), float) if isinstance(names, str) else pdf[names].to_numpy(float)
-    rows = np.arange(len(x))
-    margin = np.full((len(x), model["outputs"]), float(model["base"]))
-    for trees in model["rounds"]:
-        for k, tree in enumerate(trees):
-            node = np.zeros(len(x), np.int64)
-            while True:
-                feature = tree["feature"][node]
-                inner = feature >= 0
-                if not inner.any():
-                    break
-                left = x[rows, np.maximum(feature, 0)] < tree["threshold"][node]
-                node = np.where(inner, np.where(left, tree["left"][node], tree["right"][node]), node)
-            margin[:, k] += tree["value"][node]
-    return margin
-
-
-def model_predict(text: str, pdf: pd.DataFrame) -> pd.Series:
-    """The class with the highest margin, or the value."""
-    margin = model_margin(text, pdf)
-    out = margin.argmax(1).astype(float) if _parsed(text)["objective"] == "multi:softmax" else margin[:, 0]
-    return pd.Series(out, index=pdf.index)
-
-
-def predict(df: DataFrame, model: str, keep: list[str], out: str = "prediction") -> DataFrame:
-    """Predict a whole table with one model; ``keep`` columns are carried along, nothing is shuffled."""
-    named = json.loads(model)["features"]
-    features = [named] if isinstance(named, str) else named
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    source = df.select(*dict.fromkeys([*keep, *features]))
-    schema = df.select(*keep).withColumn(out, F.lit(0.0)).schema
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            found = pdf[keep].copy()
-            found[out] = model_predict(shared.value, pdf) if len(pdf) else 0.0
-            yield found
-
-    return source.mapInPandas(run, schema)
+# --- settings ---------------------------------------------------------------------
 
 
 def held_out(keys: list[str], test_size: float = 0.25, seed: int = 42) -> Column:
     """A validation mark from a hash of key columns."""
-    return uniform(seed, *keys) < test_size
+    return drawn_below(test_size, seed, *keys)
 
 
 def with_params(base: BoostParams, **values) -> BoostParams:

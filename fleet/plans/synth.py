@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fleet.functions.draws import label_below, normal, uniform, uniform_between
+from fleet.functions.draws import label_below, normal, uniform, uniform_between, uniform_pair
 from fleet.functions.names import numbered_name
 from fleet.operators.groups import expand_rows
 
@@ -15,9 +15,7 @@ COEFFICIENT_RANGE = (0.0, 100.0)
 
 def with_series_target(df: DataFrame, group: str, keys: list[str], features: int = 2, seed: int = 0) -> DataFrame:
     """Add ``features_i`` (standard normal) and ``y``, their linear form with coefficients of the group, cut to int."""
-    exact = [
-        normal(uniform(seed, *keys, F.lit(f"a{i}")), uniform(seed, *keys, F.lit(f"b{i}"))) for i in range(features)
-    ]
+    exact = [normal(*uniform_pair(seed, *keys, F.lit(f"x{i}"))) for i in range(features)]
     weights = [uniform_between(*COEFFICIENT_RANGE, uniform(seed, group, F.lit(f"c{i}"))) for i in range(features)]
     target = sum((w * x for w, x in zip(weights, exact)), F.lit(0.0))
     columns = [x.cast("float").alias(f"features_{i}") for i, x in enumerate(exact)]

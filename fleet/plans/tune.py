@@ -14,7 +14,8 @@ from fleet.operators.groups import pair_trials
 from fleet.operators.history import best_trial, last_rows
 from fleet.operators.keys import block_cogroup, join_on
 from fleet.operators.scans import rank_cut
-from fleet.plans.boost import METRICS, BoostParams, boost_many
+from fleet.plans.bins import BinnedTable
+from fleet.plans.boost import METRICS, BoostParams, train
 from fleet.scratch import Scratch
 
 GOOD_SHARE = 0.25
@@ -238,8 +239,8 @@ def tune(
     keys, mode = list(group_columns or []), METRICS[base.eval_metric]
     batch = min(max_concurrent_trials or n_trials, n_trials)
     scratch = Scratch(spark)
-    groups = df.select(*keys).distinct() if keys else spark.range(1).select(F.lit(0).alias("_study"))
-    groups = scratch.store(groups, "groups")
+    table = BinnedTable(df, features, label, keys, validation, max_bin)
+    groups = table.groups.select(*keys) if keys else scratch.store(spark.range(1).select(F.lit(0).alias("_study")), "groups")
     runs, histories, finished = [], [], None
     for start in range(0, n_trials, batch):
         size = min(batch, n_trials - start)
@@ -249,9 +250,7 @@ def tune(
             trials = tpe_propose(finished, groups, space, size, mode, seed, start)
         trials = scratch.store(trials, f"trials{start}")
         hook = halving_rule(halving_eta) if halving_eta else None
-        found = boost_many(
-            df, features, label, trials if keys else trials.drop("_study"), keys, validation, max_bin, base, hook
-        )
+        found = train(table, trials if keys else trials.drop("_study"), base, hook)
         models = found.models if keys else found.models.withColumn("_study", F.lit(0))
         runs.append(join_on(trials, models, [*groups.columns, "trial_id"]))
         histories.append(found.history)
@@ -262,5 +261,7 @@ def tune(
     history = histories[0]
     for more in histories[1:]:
         history = history.unionByName(more)
+    finished, done = scratch.store(finished, "finished"), scratch.store(done, "done")
+    table.close()
     best = best_trial(done, groups.columns, "value", mode)
     return TuneResult(finished.drop("_study"), best.drop("_study"), history)

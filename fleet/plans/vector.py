@@ -15,7 +15,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from fleet.functions.draws import uniform
+from fleet.functions.draws import drawn_below, uniform
 from fleet.operators.keys import block_cogroup
 from fleet.operators.scans import global_ordinal
 from fleet.scratch import Scratch
@@ -213,7 +213,7 @@ def train_centroids(vectors: DataFrame, cells: int, seed: int = 1) -> DataFrame:
     """Coarse centroids by k-means on a sample: ``cell`` and ``centroid``."""
     total = vectors.count()
     share = min(1.0, cells * TRAIN_ROWS_PER_CELL / max(total, 1))
-    sample = vectors.where(uniform(seed, "id") < share).select(array_to_vector("vector").alias("features"))
+    sample = vectors.where(drawn_below(share, seed, "id")).select(array_to_vector("vector").alias("features"))
     model = KMeans(k=cells, seed=seed, maxIter=10).fit(sample)
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return vectors.sparkSession.createDataFrame(rows, "cell int, centroid array<double>")
@@ -242,7 +242,7 @@ def train_codebooks(vectors: DataFrame, sub_vectors: int, codes: int = CODES, se
     total = vectors.count()
     share = min(1.0, codes * TRAIN_ROWS_PER_CELL / max(total, 1))
     scratch = Scratch(spark)
-    sample = scratch.store(vectors.where(uniform(seed, "id") < share).select("id", "vector"), "sample")
+    sample = scratch.store(vectors.where(drawn_below(share, seed, "id")).select("id", "vector"), "sample")
     first = sample.orderBy(uniform(f"{seed}|start", "id"), "id").limit(codes).select("vector").toArrow()
     start = _matrix(first["vector"])
     books = start.reshape(len(start), sub_vectors, width).transpose(1, 0, 2).copy()

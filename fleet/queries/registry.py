@@ -34,7 +34,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def sql_uniform(seed: int | str, *keys: str) -> str:
+def sql_uniform(seed: int | str, *keys: str, start: int = 1) -> str:
     """The reproducible draw of ``fleet.functions.draws.uniform`` in SQL."""
     parts = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
-    return f"(CAST('0x' || substr(md5(concat_ws('|', '{seed}', {parts})), 1, 13) AS BIGINT) / 4503599627370496.0)"
+    return f"(CAST('0x' || substr(md5(concat_ws('|', '{seed}', {parts})), {start}, 13) AS BIGINT) / 4503599627370496.0)"

@@ -250,8 +250,8 @@ _TWO_PI = "6.283185307179586"
 
 
 def _sql_normal(i: int) -> str:
-    a = sql_uniform(0, "l_orderkey", "l_linenumber", "l_partkey", f"'a{i}'")
-    b = sql_uniform(0, "l_orderkey", "l_linenumber", "l_partkey", f"'b{i}'")
+    keys = ("l_orderkey", "l_linenumber", "l_partkey", f"'x{i}'")
+    a, b = sql_uniform(0, *keys), sql_uniform(0, *keys, start=14)
     return f"sqrt(-2.0 * ln(1.0 - {a})) * cos({_TWO_PI} * {b})"
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
-from fleet.functions.draws import uniform
 from fleet.operators.history import best_trial
-from fleet.plans.boost import BoostParams, best_split, boost_many, held_out, model_predict, predict, quantile_bins, root_histogram
+from fleet.plans.bins import quantile_bins
+from fleet.plans.boost import BoostParams, best_split, boost_many, held_out, root_histogram
+from fleet.plans.tree_models import model_margin, model_predict, predict
 from fleet.plans.tune import draw_loguniform, draw_randint, draw_uniform, halving_cut, sample_trials, tpe_scores, tune
 from fleet.operators.groups import route_predict
 from fleet.queries.registry import query, sql_uniform, table
@@ -68,10 +70,6 @@ def best_splits(spark, folder):
 )
 def boost_stump(spark, folder):
     """One round of one split per class, trained and applied: the summed margin of every class."""
-    import pandas as pd
-
-    from fleet.plans.boost import model_margin
-
     lines = _lines(spark, folder)
     model = boost_many(lines, _FEATURES, "target", [_CLASSES], max_bin=_BINS, exact_bins=True).models.first()["model"]
     shared = spark.sparkContext.broadcast(model)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleet.functions.metrics import log_loss
-from fleet.plans.boost import BoostParams, boost, boost_many, held_out, model_margin, model_predict, predict
+from fleet.plans.boost import BoostParams, boost, boost_many, held_out
+from fleet.plans.tree_models import model_margin, model_predict, predict
 from fleet.plans.forecast import _design, _penalty, fit_groups, forecast_groups, forecast_linear_seasonal
 from fleet.plans.synth import synth_series, synth_table, table_name
 from fleet.plans.tune import draw_loguniform, draw_randint, draw_uniform, halving_cut, sample_trials, tpe_propose, tune
@@ -139,12 +140,13 @@ def test_result_does_not_depend_on_stored_margins_or_partitions(wide, monkeypatc
 
 
 def test_waves_and_packs_give_the_same_models(wide, monkeypatch):
+    import fleet.plans.bins as bins
     import fleet.plans.boost as module
 
     params = [BoostParams(num_class=3, num_estimators=2, max_depth=2), BoostParams(num_class=3, num_estimators=2, max_depth=1)]
     runs = []
     for limit in (256 << 20, 1):
-        monkeypatch.setattr(module, "EDGE_BYTES", limit)
+        monkeypatch.setattr(bins, "EDGE_BYTES", limit)
         monkeypatch.setattr(module, "HISTOGRAM_BYTES", limit)
         found = boost_many(wide, FEATURES, "target", params, ["group_id"], held_out(["id"]), 32).history
         runs.append(found.orderBy("group_id", "trial_id", "round").toPandas())
