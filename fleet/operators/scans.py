@@ -51,23 +51,36 @@ _COMBINE = {
 
 
 def running(
-    df: DataFrame, by: list[str], order: list[str | Column], scans: dict[str, tuple[str, str]]
+    df: DataFrame,
+    by: list[str],
+    order: list[str | Column],
+    scans: dict[str, tuple[str, str]],
+    overall: dict[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Running aggregates up to the current row, e.g. ``{"best": ("min", "loss")}``.
 
-    Groups of any size are spread over many tasks.
+    ``overall`` adds aggregates of the whole group. Groups of any size are spread over
+    many tasks: only one row per slice and group is brought together.
     """
+    overall = overall or {}
     stored = _sorted_slices(df, by, order)
     keys = [*by, "_slice"]
-    totals = stored.groupBy(*keys).agg(*[_COMBINE[f][0](c).alias(f"_t_{n}") for n, (f, c) in scans.items()])
-    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(*_BEFORE)
-    carries = totals.select(*keys, *[_COMBINE[f][0](f"_t_{n}").over(before).alias(f"_c_{n}") for n, (f, _) in scans.items()])
+    both = {**{f"_t_{n}": v for n, v in scans.items()}, **{f"_o_{n}": v for n, v in overall.items()}}
+    totals = stored.groupBy(*keys).agg(*[_COMBINE[f][0](c).alias(n) for n, (f, c) in both.items()])
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_slice").rowsBetween(*_BEFORE)
+    carries = totals.select(
+        *keys,
+        *[_COMBINE[f][0](f"_t_{n}").over(before).alias(f"_c_{n}") for n, (f, _) in scans.items()],
+        *[_COMBINE[f][0](f"_o_{n}").over(group).alias(n) for n, (f, _) in overall.items()],
+    )
     local = Window.partitionBy(*keys).orderBy("_at").rowsBetween(*_UP_TO)
-    joined = join_on(stored.select("*", *[_COMBINE[f][0](c).over(local).alias(f"_l_{n}") for n, (f, c) in scans.items()]), carries, keys)
-    result = joined.select(
-        *df.columns, *[_COMBINE[f][1](F.col(f"_l_{n}"), F.col(f"_c_{n}")).alias(n) for n, (f, _) in scans.items()]
+    scanned = stored.select("*", *[_COMBINE[f][0](c).over(local).alias(f"_l_{n}") for n, (f, c) in scans.items()])
+    return join_on(scanned, carries, keys).select(
+        *df.columns,
+        *[_COMBINE[f][1](F.col(f"_l_{n}"), F.col(f"_c_{n}")).alias(n) for n, (f, _) in scans.items()],
+        *overall,
     )
-    return result
 
 
 def value_ranks(df: DataFrame, value: str, by: list[str] | None = None, descending: bool = False) -> DataFrame:
@@ -75,32 +88,28 @@ def value_ranks(df: DataFrame, value: str, by: list[str] | None = None, descendi
     keys = list(by or [])
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     order = F.col(value).desc() if descending else F.col(value)
-    ranked = running(counts, keys, [order], {"upto": ("sum", "n")})
-    totals = ranked.groupBy(*keys).agg(F.sum("n").alias("total"))
-    return join_on(ranked, totals, keys)
+    return running(counts, keys, [order], {"upto": ("sum", "n")}, {"total": ("sum", "n")})
 
 
 def exact_percentiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None) -> DataFrame:
     """Percentiles with linear interpolation, exact for groups of any size.
 
-    Values are counted first, then ranked by a distributed running sum, so that no
-    task collects a group. Returns the keys and ``percentiles array<double>``.
+    Values are counted first, then ranked by a distributed running sum; only the
+    values at the asked ranks are brought together. Returns the keys and
+    ``percentiles array<double>``.
     """
     keys = list(by or [])
-    ranks = value_ranks(df, value, keys)
-    v, upto, n = F.col(value).cast("double"), F.col("upto"), F.col("n")
-    picks = []
-    for i, p in enumerate(probs):
-        place = F.lit(float(p)) * (F.col("total") - 1)
-        for side, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
-            picks.append(F.max(F.when((upto - n <= rank) & (rank < upto), v)).alias(f"_{side}{i}"))
-    picked = ranks.groupBy(*keys).agg(F.max("total").alias("_total"), *picks)
-    values = []
-    for i, p in enumerate(probs):
-        place = F.lit(float(p)) * (F.col("_total") - 1)
-        share = place - F.floor(place)
-        values.append(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * share)
-    return picked.select(*keys, F.array(*values).alias("percentiles"))
+    levels = ", ".join(f"{float(p)!r}D" for p in probs)
+    places = F.expr(f"transform(array({levels}), (p, i) -> struct(i AS i, p * (total - 1) AS at))")
+    inside = lambda rank: f"({rank}(s.at) >= upto - n AND {rank}(s.at) < upto)"
+    ranks = value_ranks(df, value, keys).withColumn("_places", places)
+    hit = ranks.withColumn("_hits", F.expr(f"filter(_places, s -> {inside('floor')} OR {inside('ceil')})"))
+    rows = hit.where(F.size("_hits") > 0).select(*keys, F.col(value).cast("double").alias("_v"), "upto", "n", F.explode("_hits").alias("s"))
+    ends = rows.groupBy(*keys, "s").agg(
+        *[F.expr(f"max(CASE WHEN {inside(rank)} THEN _v END)").alias(out) for rank, out in (("floor", "_lo"), ("ceil", "_hi"))]
+    )
+    found = ends.select(*keys, F.struct("s.i", F.expr("_lo + (_hi - _lo) * (s.at - floor(s.at))").alias("v")).alias("_p"))
+    return found.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list("_p")), lambda p: p["v"]).alias("percentiles"))
 
 
 def rank_cut(
