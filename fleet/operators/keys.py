@@ -83,12 +83,14 @@ def block_cogroup(
     return a.groupBy(*cell).cogroup(b.groupBy(*cell)).applyInArrow(fn, schema)
 
 
-def key_product(left: DataFrame, right: DataFrame, spread: int = 64) -> DataFrame:
+def key_product(left: DataFrame, right: DataFrame, spread: int | None = None) -> DataFrame:
     """All combinations of two distinct key sets.
 
-    Written as an equi-join: every left key falls in one of ``spread`` buckets and
-    the right keys are repeated once per bucket, so that the work is shared out.
+    Written as an equi-join: every left key falls in one of ``spread`` buckets (the
+    number of shuffle partitions by default) and the right keys are repeated once per
+    bucket, so that the work is shared out.
     """
+    spread = spread or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lefts = left.distinct()
     lefts = lefts.withColumn("_bucket", F.pmod(F.xxhash64(*left.columns), F.lit(spread)))
     buckets = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")))

@@ -16,6 +16,7 @@ from fleet.scratch import Scratch
 
 EDGE_BYTES = 256 << 20
 ROWS_PER_TASK = 1_000_000
+GROUPS_PER_WAVE = 256
 STATE = "_row long, _g int, _y double, _val boolean, _bins binary, _m array<double>"
 
 
@@ -79,13 +80,15 @@ class Wave:
 class BinnedTable:
     """A feature table binned once per group.
 
-    Groups are numbered and cut in waves whose bin edges fit ``EDGE_BYTES``; edges and
-    rows of a wave are stored, so the driver holds those of one wave at a time.
+    Groups are numbered and cut in waves of ``groups_per_wave`` or fewer, such that the
+    bin edges of a wave fit ``EDGE_BYTES``. Waves are trained one after another, which
+    bounds the trees and edges that the driver holds, whatever the number of groups.
     """
 
     def __init__(
         self, df: DataFrame, features: list[str] | str, label: str, group_columns: list[str] | None = None,
         validation: Column | None = None, max_bin: int = 256, exact_bins: bool = False,
+        groups_per_wave: int = GROUPS_PER_WAVE,
     ):
         if not 2 <= max_bin <= 256:
             raise ValueError("max_bin is between 2 and 256")
@@ -102,7 +105,7 @@ class BinnedTable:
             self.groups, self.waves = None, [0]
             self._rows = rows.withColumn("_g", F.lit(0)).withColumn("_wave", F.lit(0))
             return
-        per_wave = max(EDGE_BYTES // (self.width * max_bin * 8), 1)
+        per_wave = max(min(EDGE_BYTES // (self.width * max_bin * 8), groups_per_wave), 1)
         groups = global_ordinal(df.select(*self.keys).distinct(), self.keys, "_n").select(
             *self.keys,
             F.floor(F.col("_n") / per_wave).cast("int").alias("_wave"),

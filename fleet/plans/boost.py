@@ -25,6 +25,9 @@ from fleet.scratch import Scratch
 HISTOGRAM_BYTES = 256 << 20
 STORE_EVERY = 10
 SAMPLE_BINS = 1024
+TEXT_BYTES = 32 << 20
+_MODEL_COLUMNS = "trial_id int, best_round int, value double, model string"
+_HISTORY_COLUMNS = "trial_id int, round int, metric string, value double"
 
 
 @dataclass(frozen=True)
@@ -652,22 +655,25 @@ def root_histogram(
 
 
 def _write_models(spark: SparkSession, models, wave: Wave, features, key_schema, results: Scratch) -> None:
+    """Append the models of a wave to the result tables, a bounded amount of text at a time."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_schema)
     head = f"{fields}, " if fields else ""
-    texts, history = [], []
-    for (g, t), m in models.items():
-        best = m.best_round()
-        last = m.history[-1] if m.history else None
-        p = m.params
+
+    def append(rows: list[tuple], columns: str, name: str) -> None:
+        spark.createDataFrame(rows, head + columns).write.mode("append").parquet(f"{results.path}/{name}")
+
+    texts, history, size = [], [], 0
+    for (g, _), m in models.items():
+        key, p = wave.members[g], m.params
         text = model_text(p.objective, p.outputs, m.base, features, m.trees, wave.edges[g])
-        texts.append((*wave.members[g], m.trial, best, last, text))
-        history += [(*wave.members[g], m.trial, i, m.params.eval_metric, float(v)) for i, v in enumerate(m.history)]
-    spark.createDataFrame(texts, f"{head}trial_id int, best_round int, value double, model string").write.mode(
-        "append"
-    ).parquet(f"{results.path}/models")
-    spark.createDataFrame(history, f"{head}trial_id int, round int, metric string, value double").write.mode(
-        "append"
-    ).parquet(f"{results.path}/history")
+        texts.append((*key, m.trial, m.best_round(), m.history[-1] if m.history else None, text))
+        history += [(*key, m.trial, i, p.eval_metric, float(v)) for i, v in enumerate(m.history)]
+        m.trees, size = [], size + len(text)
+        if size > TEXT_BYTES:
+            append(texts, _MODEL_COLUMNS, "models")
+            texts, size = [], 0
+    append(texts, _MODEL_COLUMNS, "models")
+    append(history, _HISTORY_COLUMNS, "history")
 
 
 # --- settings ---------------------------------------------------------------------

@@ -21,12 +21,13 @@ from fleet.operators.scans import global_ordinal
 from fleet.scratch import Scratch
 from fleet.sources.sinks import list_folder
 
-# Queries of one batch, and the size of a product code's alphabet.
-QUERY_BATCH = 250
+# Fixed value: the size of a product code's alphabet.
 CODES = 256
 
+# Rows of one block of each side. Equal blocks repeat both sides about equally often.
 VECTOR_ROWS = 20_000
-QUERY_ROWS = 1_000
+QUERY_ROWS = 20_000
+QUERY_STEP = 256  # queries of a block that are compared at a time
 BROADCAST_BYTES = 32 << 20
 TRAIN_ROWS_PER_CELL = 256
 HIT_SCHEMA = "query_id long, id long, distance double"
@@ -76,8 +77,8 @@ def _nearest(query_ids, queries, ids, vectors, k: int) -> tuple[np.ndarray, np.n
     """Exact best ``k`` of a block per query: a product narrows the block, differences decide."""
     out_q, out_i, out_d = [], [], []
     slack = 1e-9 * (1.0 + (vectors**2).sum(1).max(initial=0.0))
-    for start in range(0, len(queries), 256):
-        part = queries[start : start + 256]
+    for start in range(0, len(queries), QUERY_STEP):
+        part = queries[start : start + QUERY_STEP]
         rough = _distances(vectors, part)
         kth = np.partition(rough, min(k, rough.shape[1]) - 1, axis=1)[:, min(k, rough.shape[1]) - 1]
         for row in range(len(part)):
@@ -357,7 +358,7 @@ def ivf_search(
     cells = [r["cell"] for r in probes.select("cell").distinct().collect()]  # at most one per centroid
     stored = index.vectors().where(F.col("cell").isin(cells))
     if refine is None:
-        hits = _search_cells(probes, stored.select("id", "vector", "cell"), _block_search(k), query_rows, vector_rows)
+        hits = _search_cells(probes, stored.select("id", "vector", "cell"), _block_search(k), k, query_rows, vector_rows)
         return topk_merge(hits, k)
 
     books = spark.sparkContext.broadcast(index.codebooks())
@@ -366,15 +367,19 @@ def ivf_search(
     def by_code(left: pa.Table, right: pa.Table) -> pa.Table:
         tables, ids = books.value, _ints(left["id"])
         codes = _matrix(left["codes"]).astype(np.int64)
-        targets = _matrix(right["query"])
-        rough = np.zeros((len(targets), len(ids)))
-        for s in range(len(tables)):
-            part = targets[:, s * tables.shape[2] : (s + 1) * tables.shape[2]]
-            rough += _distances(tables[s], part)[:, codes[:, s]]
-        q = np.repeat(_ints(right["query_id"]), len(ids))
-        return pa.table(_hits(*_keep_best(q, np.tile(ids, len(targets)), rough.ravel(), wanted)))
-
-    rough = _search_cells(probes, stored.select("id", "codes", "cell"), by_code, min(query_rows, 64), vector_rows)
+        query_ids, targets = _ints(right["query_id"]), _matrix(right["query"])
+        found = []
+        for start in range(0, len(targets), QUERY_STEP // 4):
+            step = slice(start, start + QUERY_STEP // 4)
+            rough = np.zeros((len(targets[step]), len(ids)))
+            for s in range(len(tables)):
+                part = targets[step, s * tables.shape[2] : (s + 1) * tables.shape[2]]
+                rough += _distances(tables[s], part)[:, codes[:, s]]
+            q = np.repeat(query_ids[step], len(ids))
+            found.append(_keep_best(q, np.tile(ids, len(rough)), rough.ravel(), wanted))
+        return pa.table(_hits(*(np.concatenate(part) for part in zip(*found))))
+
+    rough = _search_cells(probes, stored.select("id", "codes", "cell"), by_code, wanted, query_rows, vector_rows)
     chosen = topk_merge(rough, wanted).select("query_id", "id")
     exact = chosen.join(stored.select("id", "vector"), "id").join(queries.select("query_id", "query"), "query_id")
     terms = F.zip_with("vector", "query", lambda a, b: F.pow(a.cast("double") - b.cast("double"), F.lit(2.0)))
@@ -382,7 +387,7 @@ def ivf_search(
     return topk_merge(exact.select("query_id", "id", distance.alias("distance")), k)
 
 
-def _search_cells(probes: DataFrame, stored: DataFrame, fn, query_rows: int, vector_rows: int) -> DataFrame:
+def _search_cells(probes: DataFrame, stored: DataFrame, fn, k: int, query_rows: int, vector_rows: int) -> DataFrame:
     """Hits of all probes: probes within the broadcast limit go to the stored cells, which then stay
     where they are; more probes meet the cells as a grid of blocks."""
     few = _small(probes, ["query_id", "query", "cell"], 8 * _dim(probes, "query") + 24)
@@ -392,19 +397,23 @@ def _search_cells(probes: DataFrame, stored: DataFrame, fn, query_rows: int, vec
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = _ints(shared.value["cell"])
+        best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
         for rows in batches:
             have = rows.column("cell").to_numpy(zero_copy_only=False)
             for cell in np.unique(have):
                 asked = shared.value.filter(pa.array(cells == cell))
                 held = pa.Table.from_batches([rows]).filter(pa.array(have == cell))
-                for start in range(0, asked.num_rows, query_rows):
-                    yield from fn(held, asked.slice(start, query_rows)).to_batches()
+                if asked.num_rows:
+                    hits = fn(held, asked)
+                    found = _ints(hits["query_id"]), _ints(hits["id"]), hits["distance"].to_numpy()
+                    best = _keep_best(*(np.concatenate(pair) for pair in zip(best, found)), k)
+        yield pa.RecordBatch.from_pydict(_hits(*best))
 
     return stored.mapInArrow(scan, HIT_SCHEMA)
 
 
-def search_to_table(queries: DataFrame, index: IvfIndex, k: int, path: str, nprobe: int = 1) -> DataFrame:
-    """Search any number of queries in batches of rows and write the hits; returns the written table."""
-    hits = ivf_search(queries, index, k, nprobe, query_rows=QUERY_BATCH)
+def search_to_table(queries: DataFrame, index: IvfIndex, k: int, path: str, nprobe: int = 1, batch: int = QUERY_ROWS) -> DataFrame:
+    """Search any number of queries in blocks of ``batch`` rows and write the hits; returns the written table."""
+    hits = ivf_search(queries, index, k, nprobe, query_rows=batch)
     hits.write.mode("overwrite").parquet(path)
     return queries.sparkSession.read.schema(hits.schema).parquet(path)
