@@ -39,7 +39,7 @@ def synth_series(spark: SparkSession, groups: int = 1000, points: int = 50_000,
 
 
 def table_name(rows: int, columns: int, labels: int, groups: int | None = None) -> str:
-    """The name under which writer and reader find a wide table."""
+    """The name under which writer and reader find a wide table (a fixed format)."""
     name = f"synthetic_data_{rows}_rows_{columns}_columns_{labels}_labels"
     return name if groups is None else f"{name}_{groups}_groups"
 

@@ -51,8 +51,8 @@ def fan_out(queries: DataFrame, shards: int) -> DataFrame:
 def topk_merge(hits: DataFrame, k: int) -> DataFrame:
     """The best ``k`` hits of every query over all shards; each task first keeps its own best."""
     order = Window.partitionBy("query_id").orderBy("distance", "id")
-    ranked = hits.withColumn("rank", F.row_number().over(order).cast("long"))
-    return ranked.where(F.col("rank") <= k)
+    ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.withColumn("rank", F.col("rank").cast("long"))
 
 
 # --- numpy helpers for one block -------------------------------------------------

@@ -36,6 +36,26 @@ def forecast_daily_sales(spark, folder):
     return found.select("l_returnflag", "ds", F.round("trend", 4).alias("trend"), F.round("yhat", 4).alias("yhat"))
 
 
+@query(
+    _LINE_SQL.replace("l_returnflag AS g", "(l_suppkey, l_returnflag) AS g").replace(
+        "ahead.g AS l_returnflag", "ahead.g[1] AS l_suppkey, ahead.g[2] AS l_returnflag"
+    )
+)
+def forecast_store_items(spark, folder):
+    """The closed form for every pair of two keys."""
+    keys = ["l_suppkey", "l_returnflag"]
+    found = forecast_linear_seasonal(table(spark, folder, "lineitem"), keys, "l_shipdate", "l_quantity")
+    return found.select(*keys, "ds", F.round("trend", 4).alias("trend"), F.round("yhat", 4).alias("yhat"))
+
+
+@query()
+def forecast_many_models(spark, folder):
+    """An additive model for every supplier."""
+    lines = table(spark, folder, "lineitem")
+    daily = lines.groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("ds")).agg(F.sum("l_quantity").alias("y"))
+    return forecast_groups(daily, ["l_suppkey"], "ds", "y").drop("error")
+
+
 @query()
 def forecast_additive(spark, folder):
     orders = table(spark, folder, "orders")

@@ -23,7 +23,9 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _LOCAL_ROOTS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="fleet-"))
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="fleet-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 class Scratch:
