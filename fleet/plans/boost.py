@@ -651,7 +651,10 @@ def root_histogram(
     table = BinnedTable(df, features, label, max_bin=max_bin, exact_bins=exact_bins)
     trainer = _Trainer(table.wave(0).rows, {(0, 0): _Model(params)}, table.width, max_bin, table.scratch, "root")
     current = {(0, 0): [Tree().arrays(nodes=[0]) for _ in range(params.outputs)]}
-    return trainer.histogram([(0, 0)], current).withColumnRenamed("_k", "class").drop("_g", "_t")
+    found = trainer.histogram([(0, 0)], current).withColumnRenamed("_k", "class").drop("_g", "_t")
+    stored = Scratch(df.sparkSession).store(found, "histogram")
+    table.close()
+    return stored
 
 
 def _write_models(spark: SparkSession, models, wave: Wave, features, key_schema, results: Scratch) -> None:

@@ -96,6 +96,13 @@ def ivf_trained(spark, folder):
     return _rounded(ivf_search(_means(spark, folder), index, 10, nprobe=4))
 
 
+@query(_EXACT_SQL)
+def ivf_all_cells(spark, folder):
+    """Trained cells, all of them probed: the exact result."""
+    index = ivf_build(_vectors(spark, folder), f"{Scratch(spark).path}/index", cells=11)
+    return _rounded(ivf_search(_means(spark, folder), index, 10, nprobe=11))
+
+
 @query()
 def pq_refined(spark, folder):
     """Trained cells and product codes, candidates ranked again by exact distance."""
