@@ -9,7 +9,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleet.llm import mixing, packing, records, sharding
+from fleet.llm import chunks, langid, mixing, packing, records, sharding
 from fleet.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,17 @@ WINDOW = 1024
 def op8_sum_of_squares_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.cut_pieces(documents(spark, folder), public_tokenizers.path(BPE), 0, WINDOW)
     return packing.pack(pieces, WINDOW)
+
+
+@query()
+def op10_chunk_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return chunks.fingerprint_and_edit(documents(spark, folder))
+
+
+@query()
+def op5_hyperdimensional_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    prototypes = langid.train_prototypes(docs.where(~F.coalesce(held_out, F.lit(False))), SEED)
+    thin = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
+    return langid.identify(thin, prototypes, SEED).drop("text")
