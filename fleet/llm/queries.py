@@ -9,7 +9,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleet.llm import chunks, langid, mixing, packing, records, sharding
+from fleet.llm import chunks, langid, licenses, mixing, packing, records, sharding
 from fleet.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,13 @@ def op5_hyperdimensional_language(spark: SparkSession, folder: str) -> DataFrame
     prototypes = langid.train_prototypes(docs.where(~F.coalesce(held_out, F.lit(False))), SEED)
     thin = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
     return langid.identify(thin, prototypes, SEED).drop("text")
+
+
+#: Documents lie as files in a directory per source and language.
+FILES_SQL = "SELECT doc_id, concat_ws('/', source, lang, CAST(doc_id AS VARCHAR) || '.txt') AS path, text FROM documents"
+
+
+@query(licenses.scan_sql(FILES_SQL))
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan(documents(spark, folder).select("doc_id", path.alias("path"), "text"))
