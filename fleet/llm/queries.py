@@ -9,7 +9,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleet.llm import chunks, langid, licenses, mixing, packing, records, sharding
+from fleet.llm import chunks, langid, licenses, mixing, neardup, packing, records, sharding
 from fleet.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,8 @@ FILES_SQL = "SELECT doc_id, concat_ws('/', source, lang, CAST(doc_id AS VARCHAR)
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     return licenses.scan(documents(spark, folder).select("doc_id", path.alias("path"), "text"))
+
+
+@query()
+def op6_chosen_path_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, folder), 4, 80)

@@ -1,18 +1,13 @@
 """Small tables for the operators: the awkward cases, and slices of none of the given tables."""
 
-import pytest
-
-WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda mu nu xi omikron pi rho sigma tau".split()
+import os
+import sys
 
+import pytest
 
-def sentence(seed: int, n: int) -> str:
-    """``n`` words, different for each seed."""
-    out, x = [], seed * 7919 + 17
-    for _ in range(n):
-        x = (x * 1103515245 + 12345) % (1 << 31)
-        out.append(WORDS[(x >> 12) % len(WORDS)] + WORDS[(x >> 20) % len(WORDS)])
-    return " ".join(out)
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from made_texts import sentence  # noqa: E402
 
 AWKWARD = [
     (0, None, "en", "a"), (1, "", "en", "a"), (2, " \n\t ", None, None), (3, "one", "en", "b"), (4, "Ünï cödé, très bien. Это тест 漢字", "fr", "b"),
