@@ -9,7 +9,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleet.llm import chunks, langid, licenses, mixing, neardup, packing, records, sharding
+from fleet.llm import chunks, langid, licenses, mixing, neardup, packing, records, sharding, suffixes
 from fleet.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,8 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op6_chosen_path_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, folder), 4, 80)
+
+
+@query()
+def op9_suffix_array_removal(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.removal_report(documents(spark, folder))
