@@ -9,7 +9,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleet.llm import chunks, langid, licenses, mixing, neardup, packing, records, sharding, suffixes
+from fleet.llm import chunks, langid, licenses, mixing, neardup, packing, quality, records, sharding, suffixes
 from fleet.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,8 @@ def op6_chosen_path_near_duplicates(spark: SparkSession, folder: str) -> DataFra
 @query()
 def op9_suffix_array_removal(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.removal_report(documents(spark, folder))
+
+
+@query()
+def op4_kneser_ney_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(documents(spark, folder))

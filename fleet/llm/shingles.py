@@ -26,9 +26,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """Hash of each word; A-Z count as a-z. Words are runs of other bytes than space and 09 to 0D."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+def word_hashes(text: str | None, lower: bool = True) -> np.ndarray:
+    """Hash of each word; with ``lower``, A-Z count as a-z. Words are runs of other bytes than space and 09 to 0D."""
+    data = (text or "").encode("utf-8", "surrogatepass")
+    words = (data.lower() if lower else data).split()
     if len(_CACHE) > _WORDS_KEPT:
         _CACHE.clear()
     return np.fromiter(map(_CACHE.__getitem__, words), np.uint64, len(words))
@@ -37,10 +38,13 @@ def word_hashes(text: str | None) -> np.ndarray:
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """Distinct shingle hashes, ascending. Fewer words than ``width`` are one shingle; no word gives none."""
     words = word_hashes(text)
-    if not len(words):
-        return words
-    width = min(width, len(words))
-    out = np.full(len(words) - width + 1, width, np.uint64)
+    return np.unique(windows(words, min(width, len(words)))) if len(words) else words
+
+
+def windows(words: np.ndarray, width: int) -> np.ndarray:
+    """Hash of every run of ``width`` words."""
+    n = max(0, len(words) - width + 1)
+    out = np.full(n, width, np.uint64)
     for place in range(width):
-        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + words[place : len(words) - width + 1 + place])
-    return np.unique(out)
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + words[place : n + place])
+    return out
