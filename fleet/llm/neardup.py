@@ -5,16 +5,18 @@ has ``TOKENS`` minwise tokens. A tree sends a vertex from a node to a child for
 node chooses, with chance 1 / (threshold * TOKENS); the child is named by the node, the position and the token. Pairs
 above the threshold then stay together somewhere in a tree with a chance that does not fall with the size of the table,
 and independent trees repeat the trial. A node of at most ``SMALL`` vertices is compared exhaustively, a larger one
-branches on; what still is large after ``DEPTH`` levels is compared exhaustively in a grid of blocks.
+branches on; what still is large after ``DEPTH`` levels is compared exhaustively on the full sets, in a grid of blocks.
+Such nodes come in numbers from one group of similar documents, so they are joined by their most frequent label first,
+and only rows outside that label meet the others.
 
 Only the links that components need are looked for. First every vertex of a node meets the node's first vertex (a
-star). Vertices linked with the same first vertex need not meet one another, and nodes in which nothing else is left
-are dropped. So a group of near copies costs a star, however large. Sketches of one bit per token sort out pairs that
+star). Vertices that these links connect need not meet one another, and nodes in which nothing else is left are
+dropped. So a group of near copies costs some stars, however large. Sketches of one bit per token sort out pairs that
 are far from the threshold (a pair at it is lost with a chance below one in a million); all others are confirmed on the
 full sets.
 
 With ``TREES`` = 16 a pair exactly at the threshold meets with a chance of 1 - 10^-7 if its nodes are small at the
-first level, and above 0.997 three levels down; pairs above the threshold meet more often.
+first level, and above 0.999 three levels down; pairs above the threshold meet more often.
 
 Null and empty texts have no shingle and stay alone. Rows with equal texts are in one component; its id is the smallest
 ``doc_id``. Null ids count as none: their rows can have a component but never name one.
@@ -38,8 +40,8 @@ from fleet.scratch import Scratch
 TOKENS = 128
 TREES = 16
 SMALL = 64
-DEPTH = 4
-GRID_ROWS = 2_000
+DEPTH = 3
+GRID_ROWS = 500
 #: Vertices whose texts are fetched by a broadcast of their ids; more are fetched by a shuffled join.
 BROADCAST_IDS = 1_000_000
 _CHUNK = 2_048
@@ -129,11 +131,13 @@ class Join:
         )
         placed = self._crowded(self.vertices.select("vertex", "n", "s0", "s1", F.explode("nodes").alias("node")), "1")
         stars = self._stars(placed)
-        links = self._confirm(stars, "stars")
-        self.labels = self.scratch.store(links.groupBy(F.col("b").alias("vertex")).agg(F.min("a").alias("label")), "labels")
-        pairs = self._below(placed)
-        if pairs is not None:
-            links = links.unionByName(self._confirm(pairs, "pairs"))
+        reached = smallest_reachable(self._confirm(stars, "stars"))
+        self.labels = self.scratch.store(reached.select(F.col("node").alias("vertex"), F.col("component").alias("label")), "labels")
+        links = self.labels.select(F.col("label").alias("a"), F.col("vertex").alias("b"))
+        pairs, confirmed = self._below(placed)
+        links = links.unionByName(self._confirm(pairs, "pairs"))
+        if confirmed is not None:
+            links = links.unionByName(confirmed)
         ends = lambda side: self.classes.select(F.col("vertex").alias(side), F.col("first_id").alias(f"{side}_id"))
         named = links.join(ends("a"), "a").join(ends("b"), "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
         components = smallest_reachable(named.where("a IS NOT NULL AND b IS NOT NULL")).withColumnRenamed("node", "first_id")
@@ -161,23 +165,23 @@ class Join:
         mixed = labelled.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("node")
         return labelled.join(mixed, "node")
 
-    def _below(self, placed: DataFrame) -> DataFrame | None:
-        """Pairs of different labels from all levels of the trees."""
-        found = None
+    def _below(self, placed: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """Pairs of different labels from small nodes of all levels, and links from what is large in the end."""
+        found, confirmed = None, None
         for level in range(1, DEPTH + 1):
             rows = self.scratch.store(self._labelled(placed), f"mixed-{level}")
             pairs = self._exhaustive(rows.where(F.col("size") <= SMALL))
             large = rows.where(F.col("size") > SMALL)
             more = not large.isEmpty()
             if level == DEPTH and more:
-                pairs = pairs.unionByName(self._grid(large)).distinct()
+                confirmed = self.scratch.store(self._grid(large), "grid-links")
             pairs = self.scratch.store(pairs, f"pairs-{level}")
             found = pairs if found is None else found.unionByName(pairs)
             if not more:
                 break
             if level < DEPTH:
                 placed = self._crowded(self._branch(large), str(level + 1))
-        return found.distinct()
+        return found.distinct(), confirmed
 
     def _branch(self, large: DataFrame) -> DataFrame:
         threshold = self.threshold
@@ -243,32 +247,42 @@ class Join:
         return close
 
     def _grid(self, large: DataFrame) -> DataFrame:
-        """Large nodes: the rows outside the most frequent label against all, in blocks of both sides."""
+        """Links in large nodes: of rows outside a most frequent label with all rows, one for each other label."""
         counts = large.groupBy("node", "label").agg(F.count(F.lit(1)).alias("k"))
         main = counts.groupBy("node").agg(F.max(F.struct("k", "label"))["label"].alias("main"))
-        rest = large.join(main, "node").where("label <> main").drop("main")
-        close = self._close()
+        members = self.scratch.store(large.join(main, "node").select("main", "vertex", "label").distinct(), "members")
+        full = self._sets(members.select("vertex").distinct(), "members")
+        rows = self.scratch.store(members.join(full, "vertex"), "member-rows")
+        percent = self.percent
 
         def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-            left, right = left.combine_chunks(), right.combine_chunks()
-            found = [], []
-            for k in range(left.num_rows):
-                i, j = close(left, np.full(right.num_rows, k), right, np.arange(right.num_rows))
-                for side, rows, at in ((found[0], left, i), (found[1], right, j)):
-                    side += rows.column("vertex").take(pa.array(at)).to_pylist()
-            a, b = zip(*sorted({(min(p), max(p)) for p in zip(*found)})) if found[0] else ((), ())
+            sets = [np.frombuffer(s, np.uint64) for s in right.column("shingles").to_pylist()]
+            sizes = np.array([len(s) for s in sets])
+            shingles, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            order = np.argsort(shingles, kind="stable")
+            shingles, owner = shingles[order], owner[order]
+            vertices, labels = right.column("vertex").to_pylist(), right.column("label").to_pylist()
+            found = set()
+            for row in left.select(["vertex", "label", "shingles"]).to_pylist():
+                own = np.frombuffer(row["shingles"], np.uint64)
+                first = np.searchsorted(shingles, own, "left")
+                times = np.searchsorted(shingles, own, "right") - first
+                at = np.repeat(first - np.cumsum(times) + times, times) + np.arange(times.sum())
+                common = np.bincount(owner[at], minlength=len(sets))
+                near = np.flatnonzero(100 * common >= percent * (sizes + len(own) - common))
+                partners = {labels[i]: vertices[i] for i in near.tolist() if labels[i] != row["label"]}
+                found |= {(min(row["vertex"], v), max(row["vertex"], v)) for v in partners.values()}
+            a, b = zip(*sorted(found)) if found else ((), ())
             return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-        columns = ["node", "vertex", "n", "s0", "s1", "label"]
-        rest = self.scratch.store(rest.select(*columns), "rest")
-        return block_cogroup(rest, large.select(*columns), ["node"], compare, "a binary, b binary", ["vertex"], ["vertex"], GRID_ROWS, GRID_ROWS)
+        rest = rows.where("label <> main")
+        again = rows.sparkSession.read.schema(rows.schema).parquet(f"{self.scratch.path}/member-rows")
+        return block_cogroup(rest, again, ["main"], compare, "a binary, b binary", ["vertex"], ["vertex"], GRID_ROWS, GRID_ROWS).distinct()
 
-    def _confirm(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs whose full sets reach the threshold."""
-        pairs = self.scratch.store(pairs, f"{name}-pairs")
-        width, percent = self.width, self.percent
-        ends = pairs.select(F.col("a").alias("vertex")).unionByName(pairs.select(F.col("b").alias("vertex"))).distinct()
-        wanted = self.scratch.store(ends.join(self.classes, "vertex").select(F.col("first_id").alias("doc_id"), "vertex"), f"{name}-ends")
+    def _sets(self, vertices: DataFrame, name: str) -> DataFrame:
+        """``vertex, shingles``: the full sets, ascending, from one text of each vertex."""
+        width = self.width
+        wanted = self.scratch.store(vertices.join(self.classes, "vertex").select(F.col("first_id").alias("doc_id"), "vertex"), f"{name}-ends")
         texts = self.docs.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, self.docs["doc_id"].eqNullSafe(wanted["doc_id"])).select("vertex", "text")
         schema = pa.schema([("vertex", pa.binary()), ("shingles", pa.binary())])
 
@@ -277,7 +291,14 @@ class Join:
             own = [(v, s) for v, s in zip(rows["vertex"], found) if xxhash.xxh3_128_digest(s) == v]  # an id may repeat
             return {"vertex": [v for v, _ in own], "shingles": [s for _, s in own]}
 
-        full = self.scratch.store(map_rows(texts, sets, schema, "vertex binary, shingles binary").dropDuplicates(["vertex"]), f"{name}-sets")
+        return self.scratch.store(map_rows(texts, sets, schema, "vertex binary, shingles binary").dropDuplicates(["vertex"]), f"{name}-sets")
+
+    def _confirm(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs whose full sets reach the threshold."""
+        pairs = self.scratch.store(pairs, f"{name}-pairs")
+        percent = self.percent
+        ends = pairs.select(F.col("a").alias("vertex")).unionByName(pairs.select(F.col("b").alias("vertex"))).distinct()
+        full = self._sets(ends, name)
         side = lambda v: full.select(F.col("vertex").alias(v), F.col("shingles").alias(f"set_{v}"))
         both = pairs.join(side("b"), "b").join(side("a"), "a")
 
