@@ -18,6 +18,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleet.operators.keys import join_on
+from fleet.scratch import Scratch
 
 THRESHOLD = 0.75
 #: Share of a file's words in licence lines that makes it a licence file.
@@ -79,24 +80,21 @@ def scan_lines(df: DataFrame, weights: dict[str, float], text: str = "text") ->
         )
         return F.filter(F.array(*[one(*t) for t in templates]), lambda x: x["minus"] <= -THRESHOLD)
 
-    def line(text: Column) -> Column:
-        words = _all_words(text)
-        return F.struct(F.size(words).alias("n"), F.array_intersect(words, _strings(VOCABULARY)).alias("known"))
-
-    lines = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), line)
+    line = lambda words: F.struct(F.size(words).alias("n"), F.array_intersect(words, _strings(VOCABULARY)).alias("known"))
+    words_of_lines = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), _all_words)
     scored = F.transform(F.col("_lines"), lambda x: F.struct(x["n"].alias("n"), F.when(F.size(x["known"]) > 1, cosines(x["known"])).otherwise(F.array().cast("array<struct<minus:double,name:string>>")).alias("hits")))
     words = lambda lines: F.aggregate(lines, F.lit(0).cast("long"), lambda sum_, x: sum_ + x["n"])
     hit = F.flatten(F.transform("_scored", lambda x: x["hits"]))
     best = F.array_min(F.col("_hits"))
     return (
         df.drop("licence", "score", "licences", "is_licence_file")
-        .withColumn("_lines", lines).withColumn("_scored", scored).withColumn("_hits", hit)
+        .withColumn("_words", words_of_lines).withColumn("_lines", F.transform("_words", line)).withColumn("_scored", scored).withColumn("_hits", hit)
         .withColumns({
             "licence": best["name"], "score": -best["minus"],
             "licences": F.array_join(F.array_sort(F.array_distinct(F.transform("_hits", lambda x: x["name"]))), ","),
             "is_licence_file": (F.size("_hits") > 0) & (words(F.filter("_scored", lambda x: F.size(x["hits"]) > 0)) >= FILE_SHARE * words(F.col("_scored"))),
         })
-        .drop("_lines", "_scored", "_hits")
+        .drop("_words", "_lines", "_scored", "_hits")
     )
 
 
@@ -120,8 +118,9 @@ def inherit(scanned: DataFrame, path: str = "path") -> DataFrame:
 
 
 def scan(df: DataFrame, text: str = "text", path: str = "path") -> DataFrame:
-    """Own and inherited licence of every file."""
-    return inherit(scan_lines(df, term_weights(df, text), text).drop(text), path)
+    """Own and inherited licence of every file. The scan of the texts is stored once; inheritance reads it three times."""
+    scanned = scan_lines(df, term_weights(df, text), text).drop(text)
+    return inherit(Scratch(df.sparkSession).store(scanned, "scanned"), path)
 
 
 def scan_sql(table: str) -> str:
