@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import traceback
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from fleet.operators.keys import ROWS_PER_BLOCK, block_cogroup, join_on, with_blocks
+from fleet.operators.keys import ROWS_PER_BLOCK, block_cogroup, with_blocks
 
 
 def _with_error(schema: str) -> T.StructType:
@@ -63,28 +64,46 @@ def grouped_map(
     fn: Callable[..., pd.DataFrame],
     schema: str,
     columns: list[str] | None = None,
-    max_group_rows: int = ROWS_PER_BLOCK,
     **kwargs,
 ) -> DataFrame:
     """Run ``fn(pdf, **kwargs)`` on whole groups, with an ``error`` column.
 
-    For functions that cannot be split. A group above ``max_group_rows`` is not
-    pulled into a task: it is reported as an error row, and ``grouped_fold`` serves it.
+    For functions that need all rows of a group at once; a task then holds its largest
+    group. Functions that work through the rows take ``grouped_stream``, those that work
+    on parts ``grouped_fold``.
     """
     source = df.select(*dict.fromkeys([*keys, *(columns or df.columns)]))
     out_schema = _with_error(schema)
-    sizes = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_group_rows)
-    fitting = join_on(source, sizes, keys, "left_anti")
     call = _guarded(fn, keys, out_schema.names, kwargs)
-    mapped = fitting.groupBy(*keys).applyInPandas(lambda key, pdf: call(key, pdf), out_schema)
-    text = F.concat(F.lit("group has "), F.col("_n").cast("string"), F.lit(f" rows, limit is {max_group_rows}"))
-    refused = sizes.select(
-        *[
-            F.col(f.name) if f.name in keys else (text if f.name == "error" else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in out_schema.fields
-        ]
-    )
-    return mapped.unionByName(refused)
+    return source.groupBy(*keys).applyInPandas(lambda key, pdf: call(key, pdf), out_schema)
+
+
+def grouped_stream(
+    df: DataFrame,
+    keys: list[str],
+    fn: Callable[..., Iterator[pd.DataFrame]],
+    schema: str,
+    columns: list[str] | None = None,
+    **kwargs,
+) -> DataFrame:
+    """Run ``fn(frames, **kwargs)`` on the frames of each group one after another, with an ``error`` column.
+
+    A task never holds a whole group. When ``fn`` fails, the group's last row has the message.
+    """
+    source = df.select(*dict.fromkeys([*keys, *(columns or df.columns)]))
+    out_schema = _with_error(schema)
+    names = out_schema.names
+
+    def run(key: tuple[Any, ...], frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        try:
+            for out in fn(frames, **kwargs):
+                yield out.assign(error=None).reindex(columns=names)
+        except Exception:
+            message = traceback.format_exc(limit=1).strip().splitlines()[-1]
+            yield pd.DataFrame({**{k: [v] for k, v in zip(keys, key)}, "error": [message]}).reindex(columns=names)
+
+    run.__annotations__ = {"key": tuple[Any, ...], "frames": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
+    return source.groupBy(*keys).applyInPandas(run, out_schema)
 
 
 def batch_map(

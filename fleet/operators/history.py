@@ -25,13 +25,12 @@ def latest_per_name(df: DataFrame, name: str, time: str, tie: str) -> DataFrame:
 
 
 def best_trial(df: DataFrame, by: list[str], metric: str, mode: str, tie: str = "trial_id") -> DataFrame:
-    """The row with the best metric in every group; ties go to the lowest trial id."""
+    """The row with the best metric in every group; ties go to the lowest trial id, a missing metric comes last."""
     if mode not in ("min", "max"):
         raise ValueError("mode is 'min' or 'max'")
-    scored = df.where(F.col(metric).isNotNull())
     signed = F.col(metric) if mode == "min" else -F.col(metric)
-    row = F.min_by(F.struct(*df.columns), F.struct(signed, F.col(tie)))
-    return scored.groupBy(*by).agg(row.alias("_row")).select("_row.*")
+    row = F.min_by(F.struct(*df.columns), F.struct(F.col(metric).isNull(), signed, F.col(tie)))
+    return df.groupBy(*by).agg(row.alias("_row")).select("_row.*")
 
 
 def early_stop(df: DataFrame, by: list[str], round_col: str, metric: str, patience: int) -> DataFrame:

@@ -10,10 +10,13 @@ from fleet.operators.scans import exact_percentiles, global_ordinal
 def positional_join(
     left: DataFrame, right: DataFrame, left_order: list[str | Column], right_order: list[str | Column]
 ) -> DataFrame:
-    """Row i of one table with row i of the other, each in its own order; adds ``ordinal``."""
+    """Row i of one table with row i of the other, each in its own order; adds ``ordinal``.
+
+    Where one table is longer, its last rows have nulls for the other.
+    """
     a = global_ordinal(left, left_order, "ordinal")
     b = global_ordinal(right, right_order, "ordinal")
-    return a.join(b, "ordinal")
+    return a.join(b, "ordinal", "full")
 
 
 def tensor_slices(
@@ -26,12 +29,13 @@ def tensor_slices(
 ) -> DataFrame:
     """One row per trial and slice: the behaviour columns, ``IMAGE_SLICE`` and ``IMAGE``.
 
-    Trial i meets behaviour row i; filter the behaviour to its session before.
+    Trial i meets behaviour row i; filter the behaviour to its session before. Where one
+    side is longer, the other's columns are null.
     """
     numbered = global_ordinal(trials.select(betas, *_names(trial_order, trials)), trial_order, "_trial").select("_trial", betas)
     facts = global_ordinal(behaviour, behaviour_order, "_trial")
-    joined = facts.join(numbered, "_trial")
-    slices = joined.select(*behaviour.columns, F.posexplode(betas).alias("IMAGE_SLICE", "_image"))
+    joined = facts.join(numbered, "_trial", "full")
+    slices = joined.select(*behaviour.columns, F.posexplode_outer(betas).alias("IMAGE_SLICE", "_image"))
     image = F.transform("_image", lambda line: F.transform(line, lambda x: (x / F.lit(scale)).cast("float")))
     return slices.select(*behaviour.columns, "IMAGE_SLICE", image.alias("IMAGE"))
 

@@ -636,11 +636,12 @@ def _wanted(params: list[BoostParams] | DataFrame, table: BinnedTable, wave: Wav
     """The (trial id, settings) of every group of a wave that has training rows."""
     if isinstance(params, list):
         return {g: list(enumerate(params)) for g in wave.edges}
-    rows = table.trials(params, wave.number).select("_g", "trial_id", "params").orderBy("_g", "trial_id").collect()
+    extra = [c for c in ("settings",) if c in params.columns]
+    rows = table.trials(params, wave.number).select("_g", "trial_id", "params", *extra).orderBy("_g", "trial_id").collect()
     wanted: dict[int, list] = {}
     for row in rows:
         if row["_g"] in wave.edges:
-            wanted.setdefault(row["_g"], []).append((row["trial_id"], with_params(base, **row["params"])))
+            wanted.setdefault(row["_g"], []).append((row["trial_id"], with_params(base, **row["params"], **(row["settings"] if extra else {}))))
     return wanted
 
 
@@ -687,10 +688,23 @@ def held_out(keys: list[str], test_size: float = 0.25, seed: int = 42) -> Column
     return drawn_below(test_size, seed, *keys)
 
 
+# Other names under which settings are known.
+ALIASES = {
+    "num_leaves": "max_leaves", "n_estimators": "num_estimators", "num_boost_round": "num_estimators", "early_stopping_round": "early_stopping_rounds",
+    "early_stopping_rounds": "early_stopping_rounds", "eta": "learning_rate", "lambda": "reg_lambda", "reg_lambda": "reg_lambda", "metric": "eval_metric",
+    "num_classes": "num_class",
+}
+#: Settings of a space that are read before a model is trained, or say how and where it is.
+OUTSIDE = {"max_bin", "tree_method", "device", "verbosity", "verbose", "verbose_eval", "nthread", "n_jobs", "num_workers"}
+
+
 def with_params(base: BoostParams, **values) -> BoostParams:
-    """Settings changed by a trial. Names may be nested (``params.gamma``); those that are no setting
-    of a model are left to the caller."""
+    """Settings changed by a trial: names of ``BoostParams`` or their usual other names, also nested
+    (``params.gamma``). A name that is no setting is an error; those in ``OUTSIDE`` belong to the search."""
     whole = {"num_estimators", "max_depth", "max_leaves", "early_stopping_rounds", "num_class", "seed"}
-    known = {k.rsplit(".", 1)[-1]: v for k, v in values.items()}
-    known = {k: v for k, v in known.items() if k in BoostParams.__dataclass_fields__}
-    return replace(base, **{k: int(v) if k in whole else v for k, v in known.items()})
+    named = {k.rsplit(".", 1)[-1]: v for k, v in values.items()}
+    named = {ALIASES.get(k, k): v for k, v in named.items() if k not in OUTSIDE}
+    unknown = sorted(named.keys() - BoostParams.__dataclass_fields__.keys())
+    if unknown:
+        raise ValueError(f"no settings of a model: {', '.join(unknown)}")
+    return replace(base, **{k: int(v) if k in whole else v for k, v in named.items()})

@@ -72,20 +72,40 @@ TREND_SCALE = 5.0
 INTERVAL_Z = 1.2815515594600038  # 80 % interval
 
 _SEASONS = (YEARLY, WEEKLY, DAILY)
-_WIDTH = 2 + CHANGEPOINTS + 2 * sum(order for _, order in _SEASONS)
+_TREND = 2 + CHANGEPOINTS
+_WIDTH = _TREND + 2 * sum(order for _, order in _SEASONS)
+#: History in days from which the yearly and the weekly terms are used; the daily ones always are.
+LEAST_HISTORY = (730.0, 14.0, 0.0)
+#: A seasonal column that varies less than this over a group's times is part of its level.
+LEAST_VARIATION = 1e-6
 
 
-def _design(days: np.ndarray, first: float, last: float) -> np.ndarray:
-    """Design matrix at times given in days: level, slope, slope changes, Fourier terms."""
+def _angles() -> list[float]:
+    """Angle per day of each pair of seasonal columns, in the order of the design's columns."""
+    return [2.0 * np.pi / period * k for period, order in _SEASONS for k in range(1, order + 1)]
+
+
+def _active(row: dict, history: tuple[float, float, float]) -> np.ndarray:
+    """Which columns of the design a group uses, from the ranges of its seasonal columns."""
+    span, at, flags = row["_last"] - row["_first"], 0, [np.ones(_TREND)]
+    for (_, order), least in zip(_SEASONS, history):
+        pairs = range(at, at + order)
+        for wave in ("s", "c"):
+            flags.append(np.array([float(span >= least and row[f"_{wave}{i}"] > LEAST_VARIATION) for i in pairs]))
+        at += order
+    return np.concatenate(flags)
+
+
+def _design(days: np.ndarray, first: float, last: float, active: np.ndarray | None = None) -> np.ndarray:
+    """Design matrix at times given in days: level, slope, slope changes, Fourier terms; zero where not active."""
     span = max(last - first, 1e-9)
     t = (days - first) / span
     knots = np.linspace(0.0, CHANGEPOINT_RANGE, CHANGEPOINTS + 1)[1:]
     blocks = [np.ones((len(t), 1)), t[:, None], np.maximum(t[:, None] - knots, 0.0)]
-    for (period, order), least in zip(_SEASONS, (730.0, 14.0, 2.0)):
+    for period, order in _SEASONS:
         angle = 2.0 * np.pi * days[:, None] / period * np.arange(1, order + 1)
-        active = 1.0 if span >= least else 0.0
-        blocks += [active * np.sin(angle), active * np.cos(angle)]
-    return np.hstack(blocks)
+        blocks += [np.sin(angle), np.cos(angle)]
+    return np.hstack(blocks) if active is None else np.hstack(blocks) * active
 
 
 def _penalty() -> np.ndarray:
@@ -96,7 +116,7 @@ def _penalty() -> np.ndarray:
 
 def _moments(pdf: pd.DataFrame) -> np.ndarray:
     """X'WX, X'Wy, y'Wy and the weight of distinct times with counts, as one vector."""
-    x = _design(pdf["_t"].to_numpy(float), pdf["_first"].iloc[0], pdf["_last"].iloc[0])
+    x = _design(pdf["_t"].to_numpy(float), pdf["_first"].iloc[0], pdf["_last"].iloc[0], np.asarray(pdf["_active"].iloc[0], float))
     scale = pdf["_scale"].iloc[0]
     n, sy, syy = pdf["_n"].to_numpy(float), pdf["_sy"].to_numpy(float) / scale, pdf["_syy"].to_numpy(float) / scale**2
     return np.concatenate([(x.T @ (x * n[:, None])).ravel(), x.T @ sy, [syy.sum(), n.sum()]])
@@ -113,8 +133,15 @@ def _solve(moments: np.ndarray) -> tuple[np.ndarray, float]:
     return beta, float(np.sqrt(noise))
 
 
-def fit_groups(df: DataFrame, by: list[str], ds: str, y: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Additive model of every group as a table: keys, time span, ``beta``, ``sigma``, ``error``.
+def fit_groups(
+    df: DataFrame, by: list[str], ds: str, y: str, rows_per_block: int = ROWS_PER_BLOCK,
+    least_history: tuple[float, float, float] = LEAST_HISTORY,
+) -> DataFrame:
+    """Additive model of every group as a table: keys, time span, ``active`` columns, ``beta``, ``sigma``, ``error``.
+
+    ``least_history`` gives the days of history from which yearly, weekly and daily terms
+    are used. Seasonal columns that are constant on the times of a group (daily terms of
+    daily data) are left out, so that they cannot take a share of the level.
 
     Rows are first reduced to one per group and time. Small groups are then fitted
     in one task each; of larger ones each block of times gives its normal equations,
@@ -135,18 +162,22 @@ def fit_groups(df: DataFrame, by: list[str], ds: str, y: str, rows_per_block: in
     spans = times.groupBy(*by).agg(
         F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.greatest(F.max("_top"), F.lit(1e-9)).alias("_scale"),
         F.ceil(F.count(F.lit(1)) / rows_per_block).cast("int").alias("_blocks"),
+        *[
+            (F.max(wave(F.col("_t") * angle)) - F.min(wave(F.col("_t") * angle))).alias(f"_{name}{i}")
+            for i, angle in enumerate(_angles()) for name, wave in (("s", F.sin), ("c", F.cos))
+        ],
     )
-    spans = scratch.store(spans, "spans")
+    spans = scratch.store(_with_active(spans, by, least_history), "spans")
     placed = join_on(times.drop("_top"), spans, by)
 
     names = [f.name for f in df.select(*by).schema]
     key_fields = df.select(*by).schema.fields
     model_schema = T.StructType([*key_fields, *T.StructType.fromDDL(
-        "first double, last double, scale double, sigma double, beta array<double>, error string"
+        "first double, last double, scale double, active array<double>, sigma double, beta array<double>, error string"
     ).fields])
 
-    def finish(key: tuple, first: float, last: float, scale: float, moments: np.ndarray) -> pd.DataFrame:
-        row = dict(zip(names, key), first=first, last=last, scale=scale)
+    def finish(key: tuple, first: float, last: float, scale: float, active: np.ndarray, moments: np.ndarray) -> pd.DataFrame:
+        row = dict(zip(names, key), first=first, last=last, scale=scale, active=list(active))
         try:
             beta, sigma = _solve(moments)
             row.update(sigma=sigma * scale, beta=list(beta * scale), error=None)
@@ -155,29 +186,52 @@ def fit_groups(df: DataFrame, by: list[str], ds: str, y: str, rows_per_block: in
         return pd.DataFrame([row], columns=model_schema.names)
 
     def whole(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return finish(key, pdf["_first"].iloc[0], pdf["_last"].iloc[0], pdf["_scale"].iloc[0], _moments(pdf))
+        return finish(key, *pdf[_SPAN].iloc[0], _moments(pdf))
 
     def block(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         parts = _moments(pdf)
         out = pd.DataFrame({"_pos": np.arange(len(parts)), "_part": parts})
-        for name, value in zip([*names, "_first", "_last", "_scale"], [*key[: len(names)], *pdf[["_first", "_last", "_scale"]].iloc[0]]):
-            out[name] = value
-        return out[[*names, "_first", "_last", "_scale", "_pos", "_part"]]
+        for name, value in zip([*names, *_SPAN], [*key[: len(names)], *pdf[_SPAN].iloc[0]]):
+            out[name] = [value] * len(out)
+        return out[[*names, *_SPAN, "_pos", "_part"]]
 
     def merged(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         ordered = pdf.sort_values("_pos")
-        return finish(key, *pdf[["_first", "_last", "_scale"]].iloc[0], ordered["_part"].to_numpy(float))
+        return finish(key, *pdf[_SPAN].iloc[0], ordered["_part"].to_numpy(float))
 
     small = placed.where(F.col("_blocks") == 1).groupBy(*by).applyInPandas(whole, model_schema)
     large = placed.where(F.col("_blocks") > 1).withColumn("_block", F.pmod(F.xxhash64("_t"), F.col("_blocks")))
     part_schema = T.StructType([*key_fields, *T.StructType.fromDDL(
-        "_first double, _last double, _scale double, _pos int, _part double"
+        "_first double, _last double, _scale double, _active array<double>, _pos int, _part double"
     ).fields])
     parts = large.repartition(*by, "_block").groupBy(*by, "_block").applyInPandas(block, part_schema)
-    sums = parts.groupBy(*by, "_first", "_last", "_scale", "_pos").agg(F.sum("_part").alias("_part"))
+    sums = parts.groupBy(*by, *_SPAN, "_pos").agg(F.sum("_part").alias("_part"))
     return small.unionByName(sums.groupBy(*by).applyInPandas(merged, model_schema))
 
 
+_SPAN = ["_first", "_last", "_scale", "_active"]
+
+
+def _with_active(spans: DataFrame, by: list[str], history: tuple[float, float, float]) -> DataFrame:
+    """Replace the ranges of seasonal columns by the flags of the columns in use."""
+    names = [f"_{w}{i}" for i in range(len(_angles())) for w in ("s", "c")]
+    flags = F.pandas_udf(
+        lambda pdf: pd.Series([list(_active(row, history)) for row in pdf.to_dict("records")], dtype=object), "array<double>",
+    )
+    return spans.withColumn("_active", flags(F.struct("_first", "_last", *names))).drop(*names)
+
+
+def _trend_variance(days: np.ndarray, first: float, last: float, beta: np.ndarray) -> np.ndarray:
+    """Variance of the trend after the history, if its slope goes on to change as often and as much as within.
+
+    Changes come at a constant rate with Laplace sizes of the mean size seen; one at time u
+    moves the trend at time t by its size times (t - u), which integrates to the cube.
+    """
+    ahead = np.maximum(days - last, 0.0) / max(last - first, 1e-9)
+    size = np.abs(beta[2:_TREND]).mean()
+    return CHANGEPOINTS * 2.0 * size**2 * ahead**3 / 3.0
+
+
 def predict_groups(models: DataFrame, future: DataFrame, by: list[str], ds: str) -> DataFrame:
     """Evaluate the models at the times of ``future``: keys, ds, trend, yhat and its interval."""
     out = T.StructType([*future.select(*by, ds).schema.fields, *T.StructType.fromDDL(
@@ -195,9 +249,10 @@ def predict_groups(models: DataFrame, future: DataFrame, by: list[str], ds: str)
                 row = pdf.iloc[index[0]]
                 if row["beta"] is None:
                     continue
-                x, beta = _design(days[index], row["first"], row["last"]), np.asarray(row["beta"], float)
-                trend = x[:, : 2 + CHANGEPOINTS] @ beta[: 2 + CHANGEPOINTS]
-                yhat, wide = x @ beta, INTERVAL_Z * row["sigma"]
+                x = _design(days[index], row["first"], row["last"], np.asarray(row["active"], float))
+                beta = np.asarray(row["beta"], float)
+                trend, yhat = x[:, :_TREND] @ beta[:_TREND], x @ beta
+                wide = INTERVAL_Z * np.sqrt(row["sigma"] ** 2 + _trend_variance(days[index], row["first"], row["last"], beta))
                 where = pdf.index[index]
                 pdf.loc[where, "trend"], pdf.loc[where, "yhat"] = trend, yhat
                 pdf.loc[where, "yhat_lower"], pdf.loc[where, "yhat_upper"] = yhat - wide, yhat + wide

@@ -62,7 +62,3 @@ def artifact_map(models: DataFrame, group_columns: list[str], experiment_id: str
         F.lit(experiment_id).alias("experiment_id"),
         path.alias("local_run_model_path"),
     )
-
-
-def read_run_log(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table)

@@ -68,8 +68,3 @@ def synth_table(
     spark: SparkSession, rows: int, columns: int, labels: int, groups: int | None = None, signal: float = 0.0, seed: int = 0
 ) -> DataFrame:
     return with_wide_features(spark.range(rows), "id", columns, labels, groups, signal, seed)
-
-
-def generate_rows(df: DataFrame, count: Column, out: str = "n") -> DataFrame:
-    """Rows generated from group rows."""
-    return expand_rows(df, count, out)

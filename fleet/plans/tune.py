@@ -21,7 +21,6 @@ from fleet.scratch import Scratch
 GOOD_SHARE = 0.25
 CANDIDATES = 24
 LEAST_BANDWIDTH = 0.01  # share of the range
-CONSTANT = "constant"
 
 
 @dataclass(frozen=True)
@@ -207,13 +206,21 @@ def halving_rule(eta: int, grace: int = 1):
 
 @dataclass
 class TuneResult:
-    """``trials``: group columns, trial_id, params, value. ``best``: one row per group with its model."""
+    """``trials``: group columns, trial_id, params, value. ``best``: one row per group with its model.
+
+    ``best.error`` tells why a group has no model, or no value to compare its trials by.
+    """
 
     trials: DataFrame
     best: DataFrame
     history: DataFrame
 
 
+def _failure() -> Column:
+    nothing = F.when(F.col("model").isNull(), F.lit("no training rows"))
+    return nothing.when(F.col("value").isNull() | F.isnan("value"), F.lit("no held-out rows"))
+
+
 def tune(
     df: DataFrame,
     features: list[str] | str,
@@ -252,7 +259,7 @@ def tune(
         hook = halving_rule(halving_eta) if halving_eta else None
         found = train(table, trials if keys else trials.drop("_study"), base, hook)
         models = found.models if keys else found.models.withColumn("_study", F.lit(0))
-        runs.append(join_on(trials, models, [*groups.columns, "trial_id"]))
+        runs.append(join_on(trials, models, [*groups.columns, "trial_id"], "left").withColumn("error", _failure()))
         histories.append(found.history)
         done = runs[0]
         for run in runs[1:]:
@@ -263,5 +270,5 @@ def tune(
         history = history.unionByName(more)
     finished, done = scratch.store(finished, "finished"), scratch.store(done, "done")
     table.close()
-    best = best_trial(done, groups.columns, "value", mode)
+    best = best_trial(done, groups.columns, "value", mode)  # one row per group, also where nothing was trained
     return TuneResult(finished.drop("_study"), best.drop("_study"), history)

@@ -15,7 +15,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from fleet.functions.draws import drawn_below, uniform
+from fleet.functions.draws import uniform
 from fleet.operators.keys import block_cogroup
 from fleet.operators.scans import global_ordinal
 from fleet.scratch import Scratch
@@ -29,7 +29,6 @@ VECTOR_ROWS = 20_000
 QUERY_ROWS = 20_000
 QUERY_STEP = 256  # queries of a block that are compared at a time
 BROADCAST_BYTES = 32 << 20
-TRAIN_ROWS_PER_CELL = 256
 HIT_SCHEMA = "query_id long, id long, distance double"
 
 
@@ -211,11 +210,8 @@ class IvfIndex:
 
 
 def train_centroids(vectors: DataFrame, cells: int, seed: int = 1) -> DataFrame:
-    """Coarse centroids by k-means on a sample: ``cell`` and ``centroid``."""
-    total = vectors.count()
-    share = min(1.0, cells * TRAIN_ROWS_PER_CELL / max(total, 1))
-    sample = vectors.where(drawn_below(share, seed, "id")).select(array_to_vector("vector").alias("features"))
-    model = KMeans(k=cells, seed=seed, maxIter=10).fit(sample)
+    """Coarse centroids by k-means over all rows: ``cell`` and ``centroid``."""
+    model = KMeans(k=cells, seed=seed, maxIter=10).fit(vectors.select(array_to_vector("vector").alias("features")))
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return vectors.sparkSession.createDataFrame(rows, "cell int, centroid array<double>")
 
@@ -240,11 +236,9 @@ def train_codebooks(vectors: DataFrame, sub_vectors: int, codes: int = CODES, se
     if dim % sub_vectors:
         raise ValueError(f"{sub_vectors} sub-vectors do not divide {dim} dimensions")
     width = dim // sub_vectors
-    total = vectors.count()
-    share = min(1.0, codes * TRAIN_ROWS_PER_CELL / max(total, 1))
     scratch = Scratch(spark)
-    sample = scratch.store(vectors.where(drawn_below(share, seed, "id")).select("id", "vector"), "sample")
-    first = sample.orderBy(uniform(f"{seed}|start", "id"), "id").limit(codes).select("vector").toArrow()
+    stored = scratch.store(vectors.select("id", "vector"), "vectors")
+    first = stored.orderBy(uniform(f"{seed}|start", "id"), "id").limit(codes).select("vector").toArrow()
     start = _matrix(first["vector"])
     books = start.reshape(len(start), sub_vectors, width).transpose(1, 0, 2).copy()
     for _ in range(rounds):
@@ -271,7 +265,7 @@ def train_codebooks(vectors: DataFrame, sub_vectors: int, codes: int = CODES, se
                 "n": pa.array(np.repeat(count_[sub, code], len(positions)), pa.float64()),
             })
 
-        moved = sample.mapInArrow(sums, "sub int, code int, pos int, total double, n double")
+        moved = stored.mapInArrow(sums, "sub int, code int, pos int, total double, n double")
         moved = moved.groupBy("sub", "code", "pos").agg((F.sum("total") / F.sum("n")).alias("mean")).toArrow()
         books = books.copy()
         books[_ints(moved["sub"]), _ints(moved["code"]), _ints(moved["pos"])] = moved["mean"].to_numpy()

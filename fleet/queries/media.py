@@ -41,12 +41,12 @@ def image_bounds(spark, folder):
             b AS (SELECT doc_id, quality, row_number() OVER (ORDER BY doc_id) AS i FROM labels)
        SELECT doc_id, quality, CAST(n // 16 AS INTEGER) AS image_slice, CAST((n // 4) % 4 AS INTEGER) AS y, CAST(n % 4 AS INTEGER) AS x,
               round(CAST(CAST(e[n + 1]::DOUBLE / 300 AS FLOAT) AS DOUBLE), 9) AS v
-       FROM b JOIN t ON b.i = t.i, range(0, 64) r(n)"""
+       FROM b FULL JOIN t ON b.i = t.i LEFT JOIN range(0, 64) r(n) ON e IS NOT NULL"""
 )
 def trial_slices(spark, folder):
     trials = table(spark, folder, "embeddings").select("vec_id", _cube("embedding", 4, 4, 4).alias("betas"))
     behaviour = table(spark, folder, "labels").select("doc_id", "quality")
     slices = tensor_slices(trials, "betas", ["vec_id"], behaviour, ["doc_id"])
-    lines = slices.select("doc_id", "quality", F.col("IMAGE_SLICE").alias("image_slice"), F.posexplode("IMAGE").alias("y", "line"))
-    cells = lines.select("doc_id", "quality", "image_slice", "y", F.posexplode("line").alias("x", "v"))
+    lines = slices.select("doc_id", "quality", F.col("IMAGE_SLICE").alias("image_slice"), F.posexplode_outer("IMAGE").alias("y", "line"))
+    cells = lines.select("doc_id", "quality", "image_slice", "y", F.posexplode_outer("line").alias("x", "v"))
     return cells.withColumn("v", F.round(F.col("v").cast("double"), 9))

@@ -217,17 +217,17 @@ def shard_counts(spark, folder):
     )
 
 
-@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def anti_existing(spark, folder):
     customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
-    seen = table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    seen = table(spark, folder, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     return not_yet_written(customers, seen, ["c_custkey"])
 
 
 @query(
-    """SELECT o_orderkey, c_custkey, a.i AS ordinal
+    """SELECT o_orderkey, c_custkey, coalesce(a.i, b.i) AS ordinal
        FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS i FROM orders) a
-       JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) - 1 AS i FROM customer) b ON a.i = b.i"""
+       FULL JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) - 1 AS i FROM customer) b ON a.i = b.i"""
 )
 def position_pairs(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")

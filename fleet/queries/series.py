@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 from fleet.functions import metrics
 from fleet.functions.draws import integer_between, loguniform_between, uniform, uniform_between
-from fleet.operators.groups import batch_map, expand_rows, grouped_fold, grouped_map, pair_trials, route_predict
+from fleet.operators.groups import batch_map, expand_rows, grouped_fold, grouped_map, grouped_stream, pair_trials, route_predict
 from fleet.operators.history import best_trial, early_stop, last_rows, latest_per_name
 from fleet.operators.scans import exact_percentiles, global_ordinal
 from fleet.operators.series import future_frame, weekly_sums
@@ -319,6 +321,23 @@ def trial_pairs(spark, folder):
     return pair_trials(groups, [{"trial_id": i} for i in range(16)]).withColumn("trial_id", F.col("trial_id").cast("long"))
 
 
+def _stream_stats(frames):
+    n, total, most = 0, 0.0, -math.inf
+    for pdf in frames:
+        n, total, most = n + len(pdf), total + pdf["l_quantity"].sum(), max(most, pdf["l_extendedprice"].max())
+    yield pd.DataFrame({"l_linestatus": [pdf["l_linestatus"].iloc[0]], "n": [n], "total": [total], "most": [most]})
+
+
+@query("SELECT l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS total, max(l_extendedprice) AS most, NULL::VARCHAR AS error FROM lineitem GROUP BY 1")
+def grouped_stream_stats(spark, folder):
+    """Two groups that hold about half of the rows each, without holding one in memory."""
+    found = grouped_stream(
+        table(spark, folder, "lineitem"), ["l_linestatus"], _stream_stats, "l_linestatus string, n long, total double, most double",
+        columns=["l_quantity", "l_extendedprice"],
+    )
+    return found.withColumn("total", F.round("total", 2))
+
+
 def _line_predict(model: str, features: pd.DataFrame) -> pd.Series:
     a, b = (float(v) for v in model.split(","))
     return a + b * features["l_quantity"]
@@ -327,17 +346,17 @@ def _line_predict(model: str, features: pd.DataFrame) -> pd.Series:
 @query(
     """WITH m AS (SELECT l_returnflag AS f, l_linestatus AS s, round(regr_slope(l_extendedprice, l_quantity), 6) AS b,
                          round(regr_intercept(l_extendedprice, l_quantity), 6) AS a
-                  FROM lineitem WHERE l_discount < 0.05 GROUP BY 1, 2)
+                  FROM lineitem GROUP BY 1, 2)
        SELECT l_orderkey, l_returnflag, l_linestatus, round(a + b * l_quantity, 3) AS prediction
        FROM lineitem LEFT JOIN m ON f = l_returnflag AND s = l_linestatus AND s <> 'O'"""
 )
 def routed_predict(spark, folder):
     lines = table(spark, folder, "lineitem")
     groups = ["l_returnflag", "l_linestatus"]
-    fitted = lines.where((F.col("l_discount") < 0.05) & (F.col("l_linestatus") != "O")).groupBy(*groups).agg(
+    fitted = lines.groupBy(*groups).agg(
         F.round(F.regr_intercept("l_extendedprice", "l_quantity"), 6).alias("a"),
         F.round(F.regr_slope("l_extendedprice", "l_quantity"), 6).alias("b"),
     )
-    models = fitted.select(*groups, F.concat_ws(",", F.col("a").cast("string"), F.col("b").cast("string")).alias("model"))
+    models = fitted.where("l_linestatus <> 'O'").select(*groups, F.concat_ws(",", F.col("a").cast("string"), F.col("b").cast("string")).alias("model"))
     routed = route_predict(lines, models, groups, "l_orderkey", _line_predict, ["l_quantity"])
     return routed.withColumn("prediction", F.round("prediction", 3))

@@ -219,5 +219,5 @@ def routed_trees(spark, folder):
     rows = _orders(spark, folder)
     params = BoostParams("reg:squarederror", eval_metric="rmse", num_estimators=2, max_depth=2)
     trained = boost_many(rows, _COLUMNS, "y", [params], ["o_orderpriority"], max_bin=32)
-    best = best_trial(trained.models.fillna(0.0, ["value"]), ["o_orderpriority"], "value", "min")
+    best = best_trial(trained.models, ["o_orderpriority"], "value", "min")
     return route_predict(rows, best, ["o_orderpriority"], "o_orderkey", model_predict, _COLUMNS)

@@ -73,7 +73,7 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def to_driver(df: DataFrame, max_rows: int = 100_000) -> pd.DataFrame:
+def to_driver(df: DataFrame, max_rows: int) -> pd.DataFrame:
     """A small result as pandas; anything above ``max_rows`` rows belongs in a table."""
     rows = df.limit(max_rows + 1).toPandas()
     if len(rows) > max_rows:

@@ -69,18 +69,18 @@ def read_binary_files(spark: SparkSession, path: str, glob: str = "*.jpg") -> Da
 
 
 def read_images(spark: SparkSession, path: str, glob: str = "*.jpg") -> DataFrame:
-    """Image files with path, ``size`` and decoded pixel data; unreadable files are left out."""
+    """Image files with path, ``size`` and decoded pixel data; both are null for an unreadable file."""
     images = (
         spark.read.format("image")
-        .option("dropInvalid", True)
+        .option("dropInvalid", False)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .load(path)
     )
     return images.select(
         F.col("image.origin").alias("path"),
-        F.struct("image.width", "image.height").alias("size"),
-        F.col("image.data").alias("content"),
+        F.when(F.col("image.nChannels") > 0, F.struct("image.width", "image.height")).alias("size"),
+        F.when(F.col("image.nChannels") > 0, F.col("image.data")).alias("content"),
     )
 
 

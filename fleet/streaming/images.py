@@ -80,7 +80,3 @@ def label_counts(images: DataFrame, min_side: int = MIN_SIDE) -> DataFrame:
     """Images per label whose width and height are at least ``min_side``, ordered by the count."""
     large = images.where((F.col("size.width") >= min_side) & (F.col("size.height") >= min_side))
     return large.groupBy("label").agg(F.count(F.lit(1)).alias("cnt")).orderBy("cnt", "label")
-
-
-def count_where(images: DataFrame, condition: Column) -> int:
-    return images.where(condition).count()

@@ -44,12 +44,33 @@ def test_additive_model_continues_line_and_week(daily):
     assert (found.yhat_lower <= found.yhat).all() and (found.yhat <= found.yhat_upper).all()
 
 
+@pytest.mark.parametrize("step, n, cycle", [("1 DAY", 600, 7), ("1 HOUR", 24 * 40, 24), ("12 HOUR", 400, 2)])
+def test_trend_keeps_the_level(spark, step, n, cycle):
+    """A noiseless line with a zero-mean cycle: the season must not take a part of the level."""
+    waves = np.cos(2 * np.pi * np.arange(cycle) / cycle)
+    rows = spark.range(n).select(
+        F.lit("a").alias("g"), F.expr(f"timestamp_ntz'2020-01-06 00:00:00' + INTERVAL {step} * id").alias("ds"),
+        (1000.0 + 0.5 * F.col("id") + 20.0 * F.array(*[F.lit(float(w)) for w in waves])[F.col("id") % cycle]).alias("y"),
+    )
+    found = forecast_groups(rows, ["g"], horizon=14, step=step).orderBy("ds").toPandas()
+    line = 1000.0 + 0.5 * np.arange(n, n + 14)
+    assert np.abs(found.trend - line).max() < 3 and np.abs(found.yhat - line - 20 * waves[np.arange(n, n + 14) % cycle]).max() < 3
+
+
+def test_intervals_widen(daily):
+    df, _, _ = daily
+    found = forecast_groups(df, ["g"], horizon=60).orderBy("g", "ds").toPandas()
+    for _, part in found.groupby("g"):
+        width = (part.yhat_upper - part.yhat_lower).to_numpy()
+        assert (np.diff(width) >= 0).all() and width[-1] > width[0]
+
+
 def test_split_groups_give_the_same_model(daily):
     df, _, _ = daily
     whole = {r["g"]: r for r in fit_groups(df, ["g"], "ds", "y").collect()}
     split = {r["g"]: r for r in fit_groups(df.unionByName(df), ["g"], "ds", "y", rows_per_block=37).collect()}
     for g in "ab":
-        x = lambda r: _design(np.linspace(r["first"], r["last"] + 14, 50), r["first"], r["last"]) @ np.array(r["beta"])
+        x = lambda r: _design(np.linspace(r["first"], r["last"] + 14, 50), r["first"], r["last"], np.array(r["active"])) @ np.array(r["beta"])
         assert np.abs(x(whole[g]) - x(split[g])).max() < 0.05
 
 
@@ -224,3 +245,23 @@ def test_tune_picks_the_minimum_of_its_trials(wide):
     assert best.value.to_dict() == trials.groupby("group_id").value.min().to_dict()
     pdf = wide.limit(20).toPandas()
     assert len(model_predict(best.model.iloc[0], pdf)) == 20
+
+
+def test_tune_keeps_every_group_and_setting(spark):
+    """A group without held-out rows and one without training rows still have a row; other names reach the model."""
+    rows = spark.range(600).select(
+        F.when(F.col("id") < 400, "big").when(F.col("id") < 500, "kept").otherwise("held").alias("g"), (F.col("id") % 7).cast("double").alias("x"),
+        (F.col("id") % 7 > 3).cast("double").alias("y"), (F.col("id") >= 500).__or__((F.col("id") < 400) & (F.col("id") % 4 == 0)).alias("v"),
+    )
+    base = BoostParams("reg:squarederror", eval_metric="rmse", num_estimators=1, max_depth=1)
+    space = {"params": {"num_leaves": 4, "n_estimators": 3, "early_stopping_round": 2}, "eval_metric": "mae"}
+    found = tune(rows, ["x"], "y", space, 2, base, F.col("v"), ["g"], max_bin=16)
+    best = {r["g"]: r for r in found.best.collect()}
+    assert set(best) == {"big", "kept", "held"}
+    assert best["big"]["error"] is None and best["big"]["value"] is not None
+    assert best["kept"]["error"] == "no held-out rows" and best["kept"]["model"]
+    assert best["held"]["error"] == "no training rows"
+    rounds = found.history.where("g = 'big' AND trial_id = 0")
+    assert rounds.count() == 3 and {r["metric"] for r in rounds.select("metric").collect()} == {"mae"}
+    with pytest.raises(Exception, match="no settings of a model: depth"):
+        tune(rows, ["x"], "y", {"depth": 3}, 1, base, F.col("v"), ["g"], max_bin=16)

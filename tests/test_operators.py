@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleet.functions.draws import integer_between, loguniform_between, uniform
-from fleet.operators.groups import grouped_fold, grouped_map, route_predict
+from fleet.operators.groups import grouped_fold, grouped_map, grouped_stream, route_predict
 from fleet.operators.history import best_trial, early_stop
 from fleet.operators.keys import block_cogroup, group_key_check, join_on, key_product, with_blocks
 from fleet.operators.scans import exact_percentiles, global_ordinal, rank_cut, running
@@ -127,15 +127,32 @@ def test_fold_and_map_agree_and_isolate_failures(spark, skewed):
     df = skewed.select("row", "x", "k").unionByName(bad)
     merge = [F.sum("n").alias("n"), F.sum("s").alias("s")]
     folded = {r["k"]: r for r in grouped_fold(df, ["k"], _sums, "k string, n long, s double", merge, ["row"], rows_per_block=50).collect()}
-    mapped = {r["k"]: r for r in grouped_map(df, ["k"], _sums, "k string, n long, s double", max_group_rows=10_000).collect()}
+    mapped = {r["k"]: r for r in grouped_map(df, ["k"], _sums, "k string, n long, s double").collect()}
     assert "negative" in folded["bad"]["error"] and "negative" in mapped["bad"]["error"]
     for k in ("hot", "cold", None):
         assert folded[k]["n"] == mapped[k]["n"] and folded[k]["s"] == mapped[k]["s"] and folded[k]["error"] is None
 
 
-def test_map_reports_groups_above_the_limit(skewed):
-    found = {r["k"]: r for r in grouped_map(skewed, ["k"], _sums, "k string, n long, s double", max_group_rows=300).collect()}
-    assert found["hot"]["n"] is None and "600 rows" in found["hot"]["error"] and found["cold"]["n"] == 200
+def test_map_takes_groups_of_any_size(spark):
+    df = spark.range(100_001).select(F.when(F.col("id") < 100_000, "big").otherwise("one").alias("k"), F.col("id").cast("double").alias("x"))
+    found = {r["k"]: r for r in grouped_map(df, ["k"], _sums, "k string, n long, s double").collect()}
+    assert found["big"]["n"] == 100_000 and found["one"]["n"] == 1 and found["big"]["error"] is None
+
+
+def _running_sums(frames):
+    total = 0.0
+    for pdf in frames:
+        if (pdf["k"] == "bad").any():
+            raise ValueError("bad group")
+        total += pdf["x"].sum()
+    yield pd.DataFrame({"k": [pdf["k"].iloc[0]], "s": [total]})
+
+
+def test_stream_holds_no_group(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "bad").otherwise("good").alias("k"), F.lit(1.0).alias("x"))
+    found = {r["k"]: r for r in grouped_stream(df, ["k"], _running_sums, "k string, s double").collect()}
+    assert found["good"]["s"] == 20_000 and found["good"]["error"] is None
+    assert found["bad"]["s"] is None and "bad group" in found["bad"]["error"]
 
 
 @pytest.mark.parametrize("limit", [64 << 20, 0])
