@@ -80,8 +80,9 @@ def _vectors(seed: int) -> GramVectors:
 
 def gram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct n-grams of some texts, their counts (texts x n-grams), and whether each text has a letter."""
-    codes = [np.frombuffer((" " + (t or "").lower()).encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
-    doc = np.repeat(np.arange(len(texts)), [len(c) for c in codes])
+    # Every text begins with a space and ends with that of the next; an empty one closes the last.
+    codes = [np.frombuffer((" " + (t or "").lower()).encode("utf-32-le", "surrogatepass"), np.uint32) for t in [*texts, None]]
+    doc = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
     c = np.concatenate(codes).astype(np.int64)
     letter = _letters()[c]
     c[~letter] = _SPACE
@@ -89,15 +90,15 @@ def gram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nda
     first[:1], first[1:] = True, doc[1:] != doc[:-1]
     keep = letter | first
     keep[1:] |= letter[:-1] & ~first[1:]
-    has = np.bincount(doc[letter], minlength=len(texts)) > 0
+    has = np.bincount(doc[letter], minlength=len(codes)) > 0
     c, doc, first = c[keep], doc[keep], first[keep]
     if len(c) < ORDER:
-        return np.empty(0, np.int64), np.zeros((len(texts), 0), np.float32), has
+        return np.empty(0, np.int64), np.zeros((len(texts), 0), np.float32), has[:-1]
     grams = (c[:-2] << 42) | (c[1:-1] << 21) | c[2:]
-    inside = (doc[:-2] == doc[1:-1]) & ((doc[2:] == doc[:-2]) | first[2:]) & has[doc[:-2]]
+    inside = (doc[:-2] == doc[1:-1]) & ((doc[2:] == doc[:-2]) | first[2:] & (c[1:-1] != _SPACE)) & has[doc[:-2]]
     names, index = np.unique(grams[inside], return_inverse=True)
     counts = np.bincount(doc[:-2][inside] * len(names) + index, minlength=len(texts) * len(names))
-    return names, counts.reshape(len(texts), len(names)).astype(np.float32), has
+    return names, counts.reshape(len(texts), len(names)).astype(np.float32), has[:-1]
 
 
 def _slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
