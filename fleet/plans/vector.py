@@ -27,8 +27,10 @@ CODES = 256
 # Rows of one block of each side. Equal blocks repeat both sides about equally often.
 VECTOR_ROWS = 20_000
 QUERY_ROWS = 20_000
+PAIR_STEP = 1 << 16  # pairs whose differences are held at a time
 QUERY_STEP = 256  # queries of a block that are compared at a time
 BROADCAST_BYTES = 32 << 20
+FILE_ROWS = 500_000
 HIT_SCHEMA = "query_id long, id long, distance double"
 
 
@@ -74,31 +76,30 @@ def _distances(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
 
 def _nearest(query_ids, queries, ids, vectors, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Exact best ``k`` of a block per query: a product narrows the block, differences decide."""
-    out_q, out_i, out_d = [], [], []
+    found = []
     slack = 1e-9 * (1.0 + (vectors**2).sum(1).max(initial=0.0))
     for start in range(0, len(queries), QUERY_STEP):
         part = queries[start : start + QUERY_STEP]
         rough = _distances(vectors, part)
         kth = np.partition(rough, min(k, rough.shape[1]) - 1, axis=1)[:, min(k, rough.shape[1]) - 1]
-        for row in range(len(part)):
-            near = np.flatnonzero(rough[row] <= kth[row] + slack + 1e-9 * (part[row] ** 2).sum())
-            exact = ((vectors[near] - part[row]) ** 2).sum(1)
-            best = np.lexsort((ids[near], exact))[:k]
-            out_q.append(np.full(len(best), query_ids[start + row]))
-            out_i.append(ids[near][best])
-            out_d.append(exact[best])
-    if not out_q:
+        row, near = np.nonzero(rough <= (kth + slack + 1e-9 * (part**2).sum(1))[:, None])
+        exact = np.concatenate([
+            ((vectors[near[at : at + PAIR_STEP]] - part[row[at : at + PAIR_STEP]]) ** 2).sum(1) for at in range(0, len(row), PAIR_STEP)
+        ])
+        _, kept, far = _keep_best(row, np.arange(len(row)), exact, k, ids[near])
+        found.append((query_ids[start + row[kept]], ids[near[kept]], far))
+    if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-    return np.concatenate(out_q), np.concatenate(out_i), np.concatenate(out_d)
+    return tuple(np.concatenate(part) for part in zip(*found))
 
 
 def _hits(q, i, d) -> dict:
     return {"query_id": pa.array(q, pa.int64()), "id": pa.array(i, pa.int64()), "distance": pa.array(d, pa.float64())}
 
 
-def _keep_best(q, i, d, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The best ``k`` rows of every query id."""
-    order = np.lexsort((i, d, q))
+def _keep_best(q, i, d, k: int, tie=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best ``k`` rows of every query id; equal distances by ``tie``, the ids if not given."""
+    order = np.lexsort((i if tie is None else tie, d, q))
     q, i, d = q[order], i[order], d[order]
     starts = np.r_[0, np.flatnonzero(np.diff(q)) + 1] if len(q) else np.empty(0, int)
     place = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
@@ -169,11 +170,9 @@ def search_shards(
     query_rows: int = QUERY_ROWS, vector_rows: int = VECTOR_ROWS,
 ) -> DataFrame:
     """Search only the shards that each query names, and merge the hits over them."""
-    hits = block_cogroup(
-        vectors.select("id", "vector", shard), queries.select("query_id", "query", shard),
-        [shard], _block_search(k), HIT_SCHEMA, ["id"], ["query_id"], vector_rows, query_rows,
-    )
-    return topk_merge(hits, k)
+    asked = queries.select("query_id", "query", F.col(shard).alias("cell"))
+    stored = vectors.select("id", "vector", F.col(shard).alias("cell"))
+    return topk_merge(_search_cells(asked, stored, _block_search(k), k, query_rows, vector_rows), k)
 
 
 # --- inverted lists --------------------------------------------------------------
@@ -306,12 +305,20 @@ def ivf_build(
         books = spark.createDataFrame([], "sub int, code int, centroid array<double>")
     books.write.mode("overwrite").parquet(f"{path}/codebooks")
     index = IvfIndex(spark, path)
-    place_vectors(index, rows).withColumn("batch", F.lit(-1)).write.mode("overwrite").partitionBy("batch", "cell").parquet(
-        f"{path}/vectors"
-    )
+    placed = gather_cells(place_vectors(index, rows), rows.count(), len(index.centroids()))
+    placed.withColumn("batch", F.lit(-1)).write.mode("overwrite").partitionBy("batch", "cell").parquet(f"{path}/vectors")
     return index
 
 
+def gather_cells(placed: DataFrame, rows: int, cells: int) -> DataFrame:
+    """Bring the rows of a cell together before a write by cell: a file for each ``FILE_ROWS`` of its rows.
+
+    Cells are cut in as many parts as an average one needs; a much larger cell has larger parts.
+    """
+    parts = max(1, -(-rows // (cells * FILE_ROWS)))
+    return placed.repartition("cell", F.pmod(F.xxhash64("id"), F.lit(parts)))
+
+
 def place_vectors(index: IvfIndex, rows: DataFrame) -> DataFrame:
     """Rows with their cell and, where the index has codebooks, their code."""
     placed = assign_cells(rows, index.centroids())
@@ -369,8 +376,12 @@ def ivf_search(
             for s in range(len(tables)):
                 part = targets[step, s * tables.shape[2] : (s + 1) * tables.shape[2]]
                 rough += _distances(tables[s], part)[:, codes[:, s]]
-            q = np.repeat(query_ids[step], len(ids))
-            found.append(_keep_best(q, np.tile(ids, len(rough)), rough.ravel(), wanted))
+            if rough.shape[1] > wanted:  # only what may be among the best is sorted
+                kth = np.partition(rough, wanted - 1, axis=1)[:, wanted - 1]
+                row, near = np.nonzero(rough <= kth[:, None])
+            else:
+                row, near = np.nonzero(np.ones(rough.shape, bool))
+            found.append(_keep_best(query_ids[step][row], ids[near], rough[row, near], wanted))
         return pa.table(_hits(*(np.concatenate(part) for part in zip(*found))))
 
     rough = _search_cells(probes, stored.select("id", "codes", "cell"), by_code, wanted, query_rows, vector_rows)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleet.queries import media, registry, relational, series, training, vectors  # noqa: F401
+from fleet.queries import files, media, registry, relational, series, training, vectors  # noqa: F401
 
 
 def all_queries():

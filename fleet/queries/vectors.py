@@ -20,6 +20,12 @@ _TOP = """SELECT query_id, id, round(distance, 6) AS distance,
           QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, id) <= 10"""
 
 
+_NEAR = """near AS (SELECT q.query_id, q.query, m.label AS cell,
+                     row_number() OVER (PARTITION BY q.query_id ORDER BY
+                       list_sum(list_transform(range(1, 65), lambda i: (m.query[i] - q.query[i]) ** 2)), m.label) AS place
+                   FROM queries q, means m)"""
+
+
 def _vectors(spark, folder):
     return table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
 
@@ -62,19 +68,16 @@ def shard_merge(spark, folder):
 
 
 @query(
-    f"""WITH {_ALL}, hits AS (SELECT q.query_id, v.vec_id AS id, {_L2} AS distance FROM queries q, embeddings v) {_TOP}"""
+    f"""WITH {_MEANS}, {_ALL}, {_NEAR},
+        cells AS (SELECT v.embedding, v.vec_id, n.cell FROM embeddings v JOIN near n ON n.query_id = v.vec_id AND n.place = 1),
+        hits AS (SELECT q.query_id, v.vec_id AS id, {_L2} AS distance FROM near q JOIN cells v ON q.cell = v.cell WHERE q.place <= 3)
+        {_TOP}"""
 )
 def batched_search(spark, folder):
-    """All vectors against all vectors, through an index that probes every cell, in batches to a table."""
+    """All vectors as queries, the three nearest cells of each searched, in batches to a table."""
     target = Scratch(spark).path
     index = ivf_build(_vectors(spark, folder), f"{target}/index", centroids=_label_cells(spark, folder))
-    return _rounded(search_to_table(_queries(spark, folder), index, 10, f"{target}/hits", nprobe=10))
-
-
-_NEAR = """near AS (SELECT q.query_id, q.query, m.label AS cell,
-                     row_number() OVER (PARTITION BY q.query_id ORDER BY
-                       list_sum(list_transform(range(1, 65), lambda i: (m.query[i] - q.query[i]) ** 2)), m.label) AS place
-                   FROM queries q, means m)"""
+    return _rounded(search_to_table(_queries(spark, folder), index, 10, f"{target}/hits", nprobe=3))
 
 
 @query(

@@ -61,7 +61,7 @@ def write_shards(df: DataFrame, path: str, shard: str = "shard") -> None:
     spark = df.sparkSession
     if path_exists(spark, path):
         df = not_yet_written(df, spark.read.parquet(path), [shard])
-    df.write.mode("append").partitionBy(shard).parquet(path)
+    df.repartition(shard).write.mode("append").partitionBy(shard).parquet(path)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleet.operators.history import latest_per_name
-from fleet.plans.vector import IvfIndex, place_vectors
+from fleet.plans.vector import IvfIndex, gather_cells, place_vectors
 
 
 def sync_index(changes: DataFrame, index: IvfIndex, checkpoint: str, version: str = "version") -> StreamingQuery:
@@ -22,7 +22,8 @@ def sync_index(changes: DataFrame, index: IvfIndex, checkpoint: str, version: st
         rows = batch.select(F.col("id").cast("long").alias("id"), "vector", version)
         newest = latest_per_name(rows, "id", version, version).select("id", "vector")
         target = f"{index.path}/vectors/batch={number}"
-        place_vectors(index, newest).write.mode("overwrite").partitionBy("cell").parquet(target)
+        placed = gather_cells(place_vectors(index, newest), 0, 1)
+        placed.write.mode("overwrite").partitionBy("cell").parquet(target)
 
     stream = changes.writeStream.option("checkpointLocation", checkpoint)
     return stream.trigger(availableNow=True).foreachBatch(take).start()
