@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fleet.llm import langid, mixing, neardup, packing, queries, suffixes
 from fleet.llm.common import shared_folder
 from fleet.operators.keys import join_on
+from fleet.scratch import Scratch
 from fleet.session import ship_package
 
 #: A text of so many letters and more can be told to be in no known language by a cosine below the least.
@@ -35,10 +36,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows without an id can't be told apart by one, so of those with equal texts one stays.
     """
     found = neardup.near_duplicates(docs, 5, 80)
-    kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept"))
+    ids = Scratch(spark).store(ids, "ids")
+    gone = _measured(ids.where("NOT kept OR rows > 1").select("doc_id"))
+    again = _measured(ids.where("kept AND rows > 1").select("doc_id"))
+    once = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti")
+    repeated = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     unnamed = docs.where("doc_id IS NULL").dropDuplicates(["text"])
-    return named.select(*docs.columns).unionByName(unnamed)
+    return once.select(*docs.columns).unionByName(repeated.select(*docs.columns)).unionByName(unnamed)
+
+
+def _measured(ids: DataFrame) -> DataFrame:
+    """Ids to be broadcast if there are few; more of them meet the texts in a shuffled join."""
+    return F.broadcast(ids) if ids.count() <= neardup.BROADCAST_IDS else ids
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
