@@ -189,16 +189,20 @@ class Join:
 
         def children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for at in range(0, batch.num_rows, _CHUNK):
-                    part = batch.slice(at, _CHUNK)
-                    nodes = part.column("node").to_numpy().view(np.uint64)
-                    tokens = np.frombuffer(b"".join(part.column("tokens").to_pylist()), "<u4").reshape(len(nodes), TOKENS)
+                for at in range(0, batch.num_rows, _CHUNK // 8):
+                    part = batch.slice(at, _CHUNK // 8)
+                    held = part.column("nodes")
+                    nodes = held.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                    owner = np.repeat(np.arange(part.num_rows), held.value_lengths().to_numpy(zero_copy_only=False))
+                    tokens = np.frombuffer(b"".join(part.column("tokens").to_pylist()), "<u4").reshape(part.num_rows, TOKENS)
                     row, position = np.nonzero(_chosen(nodes, threshold))
-                    below = _child(nodes[row], position, tokens[row, position].astype(np.uint64)).view(np.int64)
-                    kept = part.select(["vertex", "n", "s0", "s1"]).take(pa.array(row))
+                    own = owner[row]
+                    below = _child(nodes[row], position, tokens[own, position].astype(np.uint64)).view(np.int64)
+                    kept = part.select(["vertex", "n", "s0", "s1"]).take(pa.array(own))
                     yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(below)], schema=schema)
 
-        rows = large.select("vertex", "node").join(self.vertices.select("vertex", "n", "s0", "s1", "tokens"), "vertex")
+        nodes = large.groupBy("vertex").agg(F.collect_list("node").alias("nodes"))  # a bounded number: trees branch little
+        rows = nodes.join(self.vertices.select("vertex", "n", "s0", "s1", "tokens"), "vertex")
         return rows.mapInArrow(children, "vertex binary, n long, s0 long, s1 long, node long")
 
     def _exhaustive(self, small: DataFrame) -> DataFrame:
