@@ -61,15 +61,21 @@ def block_cogroup(
 
     A key whose sides have m and n blocks becomes an m x n grid of tasks, so that
     every pair of rows meets in exactly one task, no task holds more than about one
-    block of each side, and only what ``fn`` returns is emitted. ``how="left"`` also
+    block of each side, and only what ``fn`` returns is emitted. Without keys both sides are one
+    group, and ``fn`` also sees blocks that meet an empty one. ``how="left"`` also
     runs left rows without a partner, against an empty right table.
     """
-    sizes = _block_counts(left, keys, left_rows, "_lefts")
-    sizes = join_on(sizes, _block_counts(right, keys, right_rows, "_rights"), keys, how)
-    sizes = sizes.withColumn("_rights", F.coalesce("_rights", F.lit(1)))
+    if keys:
+        sizes = _block_counts(left, keys, left_rows, "_lefts")
+        sizes = join_on(sizes, _block_counts(right, keys, right_rows, "_rights"), keys, how)
+        sizes = sizes.withColumn("_rights", F.coalesce("_rights", F.lit(1)))
+        with_sizes = lambda df: join_on(df, sizes, keys)
+    else:  # one group: two numbers, no join
+        lefts, rights = (max(1, -(-df.count() // rows)) for df, rows in ((left, left_rows), (right, right_rows)))
+        with_sizes = lambda df: df.withColumns({"_lefts": F.lit(lefts), "_rights": F.lit(rights)})
 
     def placed(df: DataFrame, spread: list[str], own: str, other: str, mine: str, theirs: str) -> DataFrame:
-        sized = join_on(df, sizes, keys)
+        sized = with_sizes(df)
         return (
             sized.withColumn(mine, F.pmod(F.xxhash64(*spread), F.col(own)).cast("int"))
             .withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))

@@ -148,9 +148,7 @@ def knn_exact(
         return topk_merge(vectors.select("id", "vector").mapInArrow(scan, HIT_SCHEMA), k)
 
     hits = block_cogroup(
-        vectors.select("id", "vector").withColumn("_key", F.lit(0)),
-        queries.select("query_id", "query").withColumn("_key", F.lit(0)),
-        ["_key"], _block_search(k), HIT_SCHEMA, ["id"], ["query_id"], vector_rows, query_rows,
+        vectors.select("id", "vector"), queries.select("query_id", "query"), [], _block_search(k), HIT_SCHEMA, ["id"], ["query_id"], vector_rows, query_rows,
     )
     return topk_merge(hits, k)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from fleet.functions.draws import uniform
 from fleet.functions.names import last_part
@@ -121,18 +121,18 @@ def query_vectors(df: DataFrame, key: str, dim: int, high: int = 256, seed: int
 
 def log_read(spark: SparkSession, table: str, lineage_table: str, reader: str = "batch", url: str = "") -> None:
     """Append one row about a read to the lineage table, creating it on first use."""
-    now = dt.datetime.now(dt.timezone.utc)
-    stamp = now.strftime("%Y%m%dT%H%M%SZ")
-    short = spark.range(1).select(last_part(F.lit(table)).alias("s")).first()["s"]
-    user = spark.sparkContext.sparkUser()
-    row = (
-        f"read-{short}-{stamp}",
-        "SPARK",
-        "application",
-        f"read of '{table}' by {user} at {stamp}",
-        url,
-        table,
-        {"reader": reader, "table": table, "user": user, "timestamp": stamp},
-        now,
+    at = dt.datetime.now(dt.timezone.utc)
+    stamp = F.lit(at.strftime("%Y%m%dT%H%M%SZ"))
+    who = F.lit(spark.sparkContext.sparkUser())
+    facts = {"reader": F.lit(reader), "table": F.lit(table), "user": who, "timestamp": stamp}
+    row = spark.range(1).select(
+        F.concat_ws("-", F.lit("read"), last_part(F.lit(table)), stamp).alias("name"),
+        F.lit("SPARK").alias("system_type"),
+        F.lit("application").alias("entity_type"),
+        F.concat_ws(" ", who, F.lit("loaded"), F.lit(table), F.lit("with the"), F.lit(reader), F.lit("reader")).alias("description"),
+        F.lit(url).alias("url"),
+        F.lit(table).alias("source_table"),
+        F.create_map(*[x for name, value in facts.items() for x in (F.lit(name), value)]).alias("properties"),
+        F.lit(at).cast("timestamp").alias("ts"),
     )
-    spark.createDataFrame([row], LINEAGE_SCHEMA).write.mode("append").saveAsTable(lineage_table)
+    row.to(T.StructType.fromDDL(LINEAGE_SCHEMA)).write.mode("append").saveAsTable(lineage_table)
