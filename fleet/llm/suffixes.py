@@ -11,7 +11,9 @@ of levels: a new batch's suffixes are merge-scanned against every level for suff
 become a level, and levels of equal size are merged, so that n batches make about log2 n levels. What meets is settled:
 
 * a suffix whose whole reach occurs earlier is removed with its reach;
-* a suffix that meets only different reaches goes on to its single windows, of which all but the first are removed.
+* a suffix that meets only different reaches may still share a window with one. A window lies at least ``HALF`` bytes
+  to one side of its anchor, so suffixes go on whose beginning together with the bytes before it, or with more bytes
+  after it, is met a second time. Of their single windows all but the first are removed.
 
 A beginning that very many documents share is settled within each batch first; a batch then sends on one suffix per
 beginning, and different reaches are spread by their own fingerprints. So no part grows with the frequency of a passage.
@@ -47,14 +49,16 @@ PART_BYTES = 12_000_000
 BROADCAST_BYTES = 32_000_000
 NO_KEY = -(1 << 63)
 
-SUFFIX = np.dtype([("key", "<u8"), ("reach", "<u8"), ("doc", "<i8"), ("pos", "<u4"), ("text", "<u2"), ("lead", "u1"), ("more", "u1")])
+SUFFIX = np.dtype([("key", "<u8"), ("reach", "<u8"), ("doc", "<i8"), ("pos", "<u4"), ("text", "<u2"), ("lead", "u1"), ("more", "u1"), ("before", "<u4"), ("after", "<u4")])
 SPANS = np.dtype([("doc", "<i8"), ("text", "<u2"), ("start", "<u4"), ("length", "<u4")])
 WINDOWS = np.dtype([("key", "<u8"), ("reach", "<u8"), ("doc", "<i8"), ("pos", "<u4"), ("text", "<u2")])
 STAND_IN = 0x80  # in ``lead``: speaks for several reaches with this beginning
 _FINGERPRINT = np.uint64((1 << 40) - 1)
 _POSITION = np.uint64((1 << 22) - 1)
 
-ASKED, KNOWN, REMOVED, SINGLE, FINE = range(5)  # kinds of parts: see Family
+#: A window has its anchor with this many bytes more before or after it.
+HALF = (SPAN - DEPTH) // 2
+ASKED, KNOWN, REMOVED, SINGLE, FINE, HALVES = range(6)  # kinds of parts
 
 _rng = np.random.default_rng(9)
 _BYTES = _rng.integers(0, 1 << 63, (3, 256), dtype=np.uint64)
@@ -118,6 +122,11 @@ def suffixes(docs: list[tuple[int, int, int, bytes]]) -> np.ndarray:
     out["text"] = np.array([d[1] for d in docs], np.uint16)[own]
     out["pos"] = anchor - (ends - sizes)[own] + np.array([d[2] for d in docs], np.int64)[own]
     out["lead"], out["more"] = anchor - begin, stop - begin - SPAN
+    first, last = (ends - sizes)[own], ends[own]
+    for name, a, b in (("before", anchor - HALF, anchor + DEPTH), ("after", anchor, anchor + DEPTH + HALF)):
+        whole = (a >= first) & (b <= last)
+        a, b = np.where(whole, a, 0), np.where(whole, b, 0)
+        out[name] = np.where(whole, (mix((sums[b] - sums[a]) * _INVERSES[0][a]) >> np.uint64(33)) + np.uint64(1), 0)
     return out
 
 
@@ -205,16 +214,36 @@ def _batch_parts(found: np.ndarray, parts: int) -> pa.RecordBatch:
     ])
 
 
+def _halves(head: np.ndarray, parts: int) -> Iterator[tuple[int, int, bytes]]:
+    """Suffixes by their beginning with the bytes on one side: those met here go on, one per beginning asks elsewhere."""
+    for side, name in enumerate(("before", "after")):
+        found = head[head[name] > 0]
+        found["key"] = mix(found["key"] ^ mix(found[name].astype(np.uint64) * np.uint64(2) + np.uint64(side)))
+        found = found[np.argsort(found["key"], kind="stable")]
+        if not len(found):
+            continue
+        new = _starts(found["key"])
+        group = np.cumsum(new) - 1
+        several = np.bincount(group)[group] > 1
+        asked = found[new].copy()
+        asked["lead"][several[new]] |= STAND_IN
+        yield from _deal(HALVES, asked, asked["key"], parts)
+        yield from _deal(SINGLE, found[several], found["doc"][several], parts)
+
+
 def _settle_part(kind: int, data: list[bytes], parts: int) -> pa.RecordBatch:
     arrays = [np.frombuffer(d, WINDOWS if kind == FINE else SUFFIX) for d in data]
     if kind in (KNOWN, FINE):
         head, removed = settle(np.concatenate(arrays))
-        single = _deal(SINGLE, head, head["doc"], parts) if kind == KNOWN else []
-        return _table([*single, *_deal(REMOVED, removed, removed["doc"], parts)])
+        halves = _halves(head, parts) if kind == KNOWN else []
+        return _table([*halves, *_deal(REMOVED, removed, removed["doc"], parts)])
     family = Family()
     for array in arrays:
         family.add(array)
     met = family.met()
+    if kind == HALVES:
+        met = met[met["lead"] < STAND_IN]
+        return _table(_deal(SINGLE, met, met["doc"], parts))
     met = met[np.argsort(met["key"], kind="stable")]
     group = np.cumsum(_starts(met["key"])) - 1
     low, high = (np.full(group[-1] + 1 if len(met) else 0, v, np.uint64) for v in (np.iinfo(np.uint64).max, 0))
@@ -324,7 +353,8 @@ class Removal:
             if kind == REMOVED:
                 found = merge_spans(found)
             else:
-                found = found[np.argsort(found["doc"], kind="stable")]
+                found = found[np.lexsort((found["pos"], found["text"], found["doc"]))]
+                found = found[_starts(found["doc"], found["text"], found["pos"])]  # met on both sides
             cuts = np.flatnonzero(_starts(found["doc"]))
             data = [found[a:b].tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(found)))]
             return pa.table({"doc_id": pa.array(found["doc"][cuts], pa.int64()), "data": pa.array(data, pa.binary())})
@@ -336,7 +366,8 @@ class Removal:
         store = self.scratch.store
         settled = store(self._each_part(self._batches(), ASKED), "settled")
         known = store(self._each_part(settled.where(F.col("kind") == KNOWN), KNOWN), "known")
-        single = store(self._by_document(known, SINGLE), "single")
+        halves = store(self._each_part(known.where(F.col("kind") == HALVES), HALVES), "halves")
+        single = store(self._by_document(known.unionByName(halves), SINGLE), "single")
         fine = store(self._each_part(self._windows(single), FINE), "fine")
         removed = settled.unionByName(known).unionByName(fine).where(F.col("kind") == REMOVED)
         return store(self._by_document(removed, REMOVED), "spans")
