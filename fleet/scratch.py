@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_OPEN: list[Scratch] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -34,6 +35,7 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{scratch_root(spark).rstrip('/')}/fleet-{uuid.uuid4().hex}"
+        _OPEN.append(self)
 
     def store(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
         """Write ``df`` once and return the written table."""
@@ -49,3 +51,17 @@ class Scratch:
         target = f"{self.path}/{name}" if name else self.path
         path = self.spark._jvm.org.apache.hadoop.fs.Path(target)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        if not name and self in _OPEN:
+            _OPEN.remove(self)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all intermediate tables of this application; results that still read them cannot be used afterwards.
+
+    Operators return lazy results over their tables, so only the caller knows when they are done with. Returns the
+    number of folders deleted.
+    """
+    mine = [s for s in _OPEN if s.spark.sparkContext.applicationId == spark.sparkContext.applicationId]
+    for scratch in mine:
+        scratch.drop()
+    return len(mine)

@@ -182,3 +182,18 @@ def test_weeks_and_futures(spark):
     assert weeks == {"2024-01-07": 1.0, "2024-01-14": 2.0, "2024-01-21": 0.0, "2024-01-28": 4.0}
     hours = df.withColumn("ds", F.col("ds").cast("timestamp") + F.expr("INTERVAL 5 HOURS"))
     assert [str(r["ds"]) for r in future_frame(hours, ["g"], "ds", 2).orderBy("ds").collect()] == ["2024-01-26 05:00:00", "2024-01-27 05:00:00"]
+
+
+def test_release_deletes_all_intermediate_tables(spark):
+    import os
+
+    from fleet.operators.scans import global_ordinal
+    from fleet.scratch import release, scratch_root
+
+    release(spark)
+    root = scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))  # other applications may share the folder
+    assert global_ordinal(spark.range(100), ["id"]).agg(F.sum("ordinal")).first()[0] == 4950
+    made = [n for n in os.listdir(root) if n.startswith("fleet-") and n not in before]
+    assert made and release(spark) >= 1 and release(spark) == 0
+    assert not any(os.path.exists(f"{root}/{n}") for n in made)
