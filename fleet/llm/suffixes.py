@@ -13,7 +13,9 @@ become a level, and levels of equal size are merged, so that n batches make abou
 * a suffix whose whole reach occurs earlier is removed with its reach;
 * a suffix that meets only different reaches may still share a window with one. A window lies at least ``HALF`` bytes
   to one side of its anchor, so suffixes go on whose beginning together with the bytes before it, or with more bytes
-  after it, is met a second time. Of their single windows all but the first are removed.
+  after it, is met a second time. Their reaches are cut in stretches of up to ``STRETCH`` windows, by the distance to
+  the anchor, which are settled in the same way by the bytes that all windows of a stretch share. What still meets only
+  in part goes on as single windows, of which all but the first are removed.
 
 A beginning that very many documents share is settled within each batch first; a batch then sends on one suffix per
 beginning, and different reaches are spread by their own fingerprints. So no part grows with the frequency of a passage.
@@ -58,7 +60,9 @@ _POSITION = np.uint64((1 << 22) - 1)
 
 #: A window has its anchor with this many bytes more before or after it.
 HALF = (SPAN - DEPTH) // 2
+STRETCH = 17
 ASKED, KNOWN, REMOVED, SINGLE, FINE, HALVES = range(6)  # kinds of parts
+IS_STRETCH = (1 << 32) - 1  # in ``before``
 
 _rng = np.random.default_rng(9)
 _BYTES = _rng.integers(0, 1 << 63, (3, 256), dtype=np.uint64)
@@ -216,6 +220,9 @@ def _batch_parts(found: np.ndarray, parts: int) -> pa.RecordBatch:
 
 def _halves(head: np.ndarray, parts: int) -> Iterator[tuple[int, int, bytes]]:
     """Suffixes by their beginning with the bytes on one side: those met here go on, one per beginning asks elsewhere."""
+    stretches = head[head["before"] == IS_STRETCH]
+    yield from _deal(SINGLE, stretches, stretches["doc"], parts)
+    head = head[head["before"] != IS_STRETCH]
     for side, name in enumerate(("before", "after")):
         found = head[head[name] > 0]
         found["key"] = mix(found["key"] ^ mix(found[name].astype(np.uint64) * np.uint64(2) + np.uint64(side)))
@@ -317,11 +324,10 @@ class Removal:
         small = F.broadcast(rows) if size <= BROADCAST_BYTES else rows
         return self.docs.join(small, "doc_id", how)
 
-    def _windows(self, single: DataFrame) -> DataFrame:
-        """The single windows of suffixes, in parts by their fingerprint."""
-        parts = self.parts
+    def _refined(self, single: DataFrame, refine, parts_of) -> DataFrame:
+        """Parts of what ``refine(text, suffixes)`` makes of the suffixes of each document."""
 
-        def fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found, total = [], 0
             for batch in batches:
                 for at in range(0, batch.num_rows, 64):
@@ -330,19 +336,28 @@ class Removal:
                         suffix = np.frombuffer(row["data"], SUFFIX)
                         suffix = suffix[suffix["text"] == _text_mark(data)]
                         for k in range(0, len(suffix), 4096):
-                            found.append(window_hashes(data, suffix[k : k + 4096]))
+                            found.append(refine(data, suffix[k : k + 4096]))
                             total += len(found[-1])
                     if total >= BATCH_SUFFIXES:
-                        yield self_settled(found)
+                        yield parts_of(np.concatenate(found))
                         found, total = [], 0
             if found:
-                yield self_settled(found)
+                yield parts_of(np.concatenate(found))
+
+        return self._with_text(single, "inner").mapInArrow(run, _PART_SQL)
+
+    def _stretches(self, single: DataFrame) -> DataFrame:
+        parts = self.parts
+        return self._refined(single, stretches, lambda found: _batch_parts(found, parts))
 
-        def self_settled(found: list[np.ndarray]) -> pa.RecordBatch:
-            head, removed = settle(np.concatenate(found))
+    def _windows(self, single: DataFrame) -> DataFrame:
+        parts = self.parts
+
+        def settled(found: np.ndarray) -> pa.RecordBatch:
+            head, removed = settle(found)
             return _table([*_deal(FINE, head, head["reach"], parts), *_deal(REMOVED, removed, removed["doc"], parts)])
 
-        return self._with_text(single, "inner").mapInArrow(fine, _PART_SQL)
+        return self._refined(single, window_hashes, settled)
 
     def _by_document(self, rows: DataFrame, kind: int) -> DataFrame:
         """``doc_id, data``: the suffixes or merged spans of each document, from parts dealt by document."""
@@ -368,22 +383,52 @@ class Removal:
         known = store(self._each_part(settled.where(F.col("kind") == KNOWN), KNOWN), "known")
         halves = store(self._each_part(known.where(F.col("kind") == HALVES), HALVES), "halves")
         single = store(self._by_document(known.unionByName(halves), SINGLE), "single")
-        fine = store(self._each_part(self._windows(single), FINE), "fine")
-        removed = settled.unionByName(known).unionByName(fine).where(F.col("kind") == REMOVED)
+        near = store(self._each_part(self._stretches(single), ASKED), "stretches")
+        nearer = store(self._each_part(near.where(F.col("kind") == KNOWN), KNOWN), "stretches-known")
+        last = store(self._by_document(nearer, SINGLE), "stretches-single")
+        fine = store(self._each_part(self._windows(last), FINE), "fine")
+        removed = settled.unionByName(known).unionByName(near).unionByName(nearer).unionByName(fine).where(F.col("kind") == REMOVED)
         return store(self._by_document(removed, REMOVED), "spans")
 
 
-def window_hashes(data: bytes, suffix: np.ndarray) -> np.ndarray:
-    """Every window of the reaches of suffixes in one text."""
+def _sums(data: bytes, suffix: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """First bytes of reaches, and for two fingerprints the running sums over each reach with the inverse powers."""
     width = 2 * SPAN - DEPTH + 1
     padded = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(width, np.uint8)])
     begin = suffix["pos"].astype(np.int64) - suffix["lead"]
-    cells = padded[begin[:, None] + np.arange(width)]
-    keys = []
+    cells, out = padded[begin[:, None] + np.arange(width)], []
     for table, (powers, inverses) in zip(_BYTES[1:], _SHORT):
         sums = np.zeros((len(suffix), width + 1), np.uint64)
         np.cumsum(table[cells] * powers[:width], axis=1, dtype=np.uint64, out=sums[:, 1:])
-        keys.append(mix((sums[:, SPAN : SPAN + WINDOW] - sums[:, :WINDOW]) * inverses[:WINDOW]))
+        out.append((sums, inverses))
+    return begin, out
+
+
+def stretches(data: bytes, suffix: np.ndarray) -> np.ndarray:
+    """Runs of windows of reaches in one text whose distances to the anchor lie in the same block of ``STRETCH``.
+
+    The key is of the bytes that every window of such a block has, whatever part of the block a reach has.
+    """
+    begin, ((keys, key_powers), (reaches, reach_powers)) = _sums(data, suffix)
+    lead, more, rows, out = suffix["lead"].astype(np.int64), suffix["more"].astype(np.int64), np.arange(len(suffix)), []
+    for block in range(-(-WINDOW // STRETCH)):
+        far, near = np.minimum(lead, STRETCH * (block + 1) - 1), np.maximum(lead - more, STRETCH * block)
+        at = rows[far >= near]
+        far, near, core = far[at], near[at], lead[at] - STRETCH * block
+        first, stop = lead[at] - far, lead[at] - near + SPAN
+        part = np.zeros(len(at), SUFFIX)
+        part["key"] = mix((keys[at, core + SPAN - STRETCH + 1] - keys[at, core]) * key_powers[core] + np.uint64(block))
+        part["reach"] = mix((reaches[at, stop] - reaches[at, first]) * reach_powers[first] + ((stop - first) * 256 + far).astype(np.uint64))
+        part["doc"], part["text"], part["pos"] = suffix["doc"][at], suffix["text"][at], begin[at] + first
+        part["more"], part["before"] = far - near, IS_STRETCH
+        out.append(part)
+    return np.concatenate(out)
+
+
+def window_hashes(data: bytes, suffix: np.ndarray) -> np.ndarray:
+    """Every window of the reaches of suffixes in one text."""
+    begin, sums = _sums(data, suffix)
+    keys = [mix((total[:, SPAN : SPAN + WINDOW] - total[:, :WINDOW]) * inverses[:WINDOW]) for total, inverses in sums]
     row, step = np.nonzero(np.arange(WINDOW) <= suffix["more"][:, None])
     out = np.empty(len(row), WINDOWS)
     out["key"], out["reach"] = keys[0][row, step], keys[1][row, step]
