@@ -48,7 +48,7 @@ SEGMENT = 1 << 20
 BATCH_SUFFIXES = 600_000
 PART_BYTES = 12_000_000
 #: Spans and suffixes of documents meet their texts by a broadcast up to this size, by a shuffled join beyond it.
-BROADCAST_BYTES = 32_000_000
+BROADCAST_BYTES = 96_000_000
 NO_KEY = -(1 << 63)
 
 SUFFIX = np.dtype([("key", "<u8"), ("reach", "<u8"), ("doc", "<i8"), ("pos", "<u4"), ("text", "<u2"), ("lead", "u1"), ("more", "u1"), ("before", "<u4"), ("after", "<u4")])
