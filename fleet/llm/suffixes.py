@@ -368,8 +368,9 @@ class Removal:
             if kind == REMOVED:
                 found = merge_spans(found)
             else:
-                found = found[np.lexsort((found["pos"], found["text"], found["doc"]))]
-                found = found[_starts(found["doc"], found["text"], found["pos"])]  # met on both sides
+                # Those met on both sides come once; a cut between segments leaves two parts of a reach, with leads of their own.
+                found = found[np.lexsort((found["lead"], found["pos"], found["text"], found["doc"]))]
+                found = found[_starts(found["doc"], found["text"], found["pos"], found["lead"])]
             cuts = np.flatnonzero(_starts(found["doc"]))
             data = [found[a:b].tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(found)))]
             return pa.table({"doc_id": pa.array(found["doc"][cuts], pa.int64()), "data": pa.array(data, pa.binary())})

@@ -78,6 +78,24 @@ def test_shared_passages(spark, monkeypatch, segment, batch, part):
     assert run(df) == brute(rows)
 
 
+def test_passages_beside_cuts(spark, monkeypatch):
+    """Passages of one to three windows' length that begin at, end at or lie beside a cut between segments."""
+    monkeypatch.setattr(suffixes, "SEGMENT", 700)
+    rng, rows = np.random.default_rng(5), []
+    noise = lambda n: "".join(chr(c) for c in rng.integers(97, 123, n))
+    for i, length in enumerate((100, 101, 117, 134, 150, 168, 170)):
+        for before in (True, False):
+            long, passages = list(noise(700 * 11)), []
+            for k, begin in enumerate((0, 1, -1, 17, -17, 68, -68, -length, 1 - length, -1 - length)):
+                passages.append(noise(length))
+                long[700 * (k + 1) + begin : 700 * (k + 1) + begin + length] = passages[-1]
+            others = " - ".join(passages)
+            own = 1000 + 10 * i + before
+            rows += [(own, "".join(long)), (own + 500 if before else own - 500, others)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert run(df) == brute(rows)
+
+
 def test_text_form_keeps_columns_and_whole_characters(spark):
     passage = "ü" + sentence(4, 12).replace("a", "ü") + "ü"
     rows = [(1, "a" + passage, "x", 0), (2, None, "y", 1), (3, "bb" + passage + "ö", "z", 2)]
