@@ -17,17 +17,13 @@ from fleet.operators.keys import join_on
 from fleet.scratch import Scratch
 from fleet.session import ship_package
 
-#: A text of so many letters and more can be told to be in no known language by a cosine below the least.
-LONG_ENOUGH, LEAST_SCORE = 200, 0.15
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter, and long ones that are like no language. ``lang`` stays as it is given."""
+    """Drop documents without a letter, and those unlike their language at their length. ``lang`` stays as given."""
     prototypes = langid.train_prototypes(docs, queries.SEED)
-    marked = langid.identify(docs.withColumnRenamed("score", "_fl_score") if "score" in docs.columns else docs, prototypes, queries.SEED)
-    known = F.col("lang_pred") != langid.NONE
-    like = (F.length("text") < LONG_ENOUGH) | (F.col("score") >= LEAST_SCORE)
-    return marked.where(known & like if prototypes else F.col("text").rlike(r"\p{L}")).select(*docs.columns)
+    if not prototypes:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return langid.in_known_language(docs, prototypes, langid.usual_likeness(docs, prototypes, queries.SEED), queries.SEED)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

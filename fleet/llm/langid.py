@@ -13,6 +13,7 @@ is null or has no letter gets ``und`` with score 0. Without training rows every
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -159,3 +160,98 @@ def identify(df: DataFrame, prototypes: dict[str, np.ndarray], seed: int, text:
 
     kind = ", ".join(f"`{name}` {t}" for name, t in df.dtypes)
     return df.mapInArrow(score, f"{kind}, lang_pred string, score double")
+
+
+#: How far from the usual, in deviations: for a text that is most like its own language, and for one more like another.
+FAR, FAR_AND_OTHER = 9.0, 4.0
+#: Documents from which the usual of a length class is taken; a class with fewer is widened by its neighbours.
+LEAST_DOCS, LEAST_DEVIATION = 20, 0.25
+#: A lead of another language's cosine below three deviations of chance says nothing.
+LEAD = 3 / DIMENSIONS**0.5
+_CLASSES, _STEP = 32, 0.05
+
+
+def _unlikeness(cosine: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Log of the squared tangent times the number of distinct n-grams, which changes little with a text's length."""
+    c = np.clip(cosine, 0.01, 0.9999)
+    return np.log(1 / c**2 - 1) + np.log(np.maximum(grams, 1))
+
+
+def _likeness(texts: list[str | None], langs: list[str | None], prototypes: dict[str, np.ndarray], seed: int):
+    """Best language and label as numbers (-1: none), unlikeness to both, lead of the best, length classes, and whether there is a letter."""
+    names, counts, has = gram_counts(texts)
+    vectors = _vectors(seed).bundle(counts, names)
+    matrix = np.array(list(prototypes.values())).reshape(len(prototypes), DIMENSIONS).T
+    cosines = vectors @ matrix / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+    grams = (counts > 0).sum(axis=1)
+    number = {lang: i for i, lang in enumerate(prototypes)}
+    best, own = cosines.argmax(axis=1), np.array([number.get(lang, -1) for lang in langs], np.int64)
+    rows = np.arange(len(texts))
+    unlike = lambda which: _unlikeness(cosines[rows, which], grams)
+    classes = np.minimum(np.log2(np.maximum(grams, 1)).astype(np.int64), _CLASSES - 1)
+    return best, own, unlike(best), unlike(own), cosines[rows, best] - cosines[rows, own], classes, has
+
+
+def usual_likeness(df: DataFrame, prototypes: dict[str, np.ndarray], seed: int) -> dict[str, np.ndarray]:
+    """Median and deviation of the unlikeness of each language's own documents to it, by class of length.
+
+    Texts are counted in bins, so a few hundred numbers per language reach the driver. A language of fewer than
+    ``LEAST_DOCS`` documents has no usual likeness.
+    """
+    schema = pa.schema([("lang", pa.string()), ("class", pa.int64()), ("bin", pa.int64())])
+
+    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _slices(batches, "text"):
+            langs = rows.column("lang").to_pylist()
+            _, own, _, unlike, _, classes, has = _likeness(rows.column("text").to_pylist(), langs, prototypes, seed)
+            at = np.flatnonzero(has & (own >= 0))
+            columns = [[langs[i] for i in at], classes[at], np.floor(unlike[at] / _STEP).astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    found = df.select("text", "lang").mapInArrow(bins, "lang string, class long, bin long")
+    cells: dict[str, list] = {}
+    for r in found.groupBy("lang", "class", "bin").agg(F.count(F.lit(1)).alias("n")).collect():
+        cells.setdefault(r.lang, []).append((r["class"], (r.bin + 0.5) * _STEP, r.n))
+    out = {}
+    for lang, rows in cells.items():
+        level, value, n = (np.array(c) for c in zip(*rows))
+        if n.sum() >= LEAST_DOCS:
+            out[lang] = np.array([_centre(level, value, n, c) for c in range(_CLASSES)])
+    return out
+
+
+def _centre(level: np.ndarray, value: np.ndarray, n: np.ndarray, wanted: int) -> tuple[float, float]:
+    for width in range(_CLASSES):
+        near = abs(level - wanted) <= width
+        if n[near].sum() >= LEAST_DOCS:
+            break
+    median = _weighted_median(value[near], n[near])
+    return median, max(LEAST_DEVIATION, 1.4826 * _weighted_median(abs(value[near] - median), n[near]))
+
+
+def _weighted_median(value: np.ndarray, n: np.ndarray) -> float:
+    order = np.argsort(value, kind="stable")
+    return float(value[order][np.searchsorted(np.cumsum(n[order]), math.ceil(n.sum() / 2))])
+
+
+def in_known_language(df: DataFrame, prototypes: dict[str, np.ndarray], usual: dict[str, np.ndarray], seed: int) -> DataFrame:
+    """Rows of ``df (text, lang)`` that are as like their language as documents of their length usually are.
+
+    The language is the label, or the most similar one if there is no label. A text that is more like another language
+    than its label has the narrower bound. Without a usual likeness of that language a letter is enough.
+    """
+    names = list(prototypes)
+    none = np.full((_CLASSES, 2), np.inf)
+    table = np.array([usual.get(lang, none) for lang in names]).reshape(len(names), _CLASSES, 2)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _slices(batches, "text"):
+            langs = rows.column("lang").to_pylist()
+            best, own, to_best, to_own, lead, classes, has = _likeness(rows.column("text").to_pylist(), langs, prototypes, seed)
+            labelled = own >= 0
+            of = np.where(labelled, own, best)
+            middle, deviation = table[of, classes].T
+            far = np.where(labelled & (lead > LEAD), FAR_AND_OTHER, FAR)
+            yield rows.filter(pa.array(has & (np.where(labelled, to_own, to_best) <= middle + far * deviation)))
+
+    return df.mapInArrow(keep, ", ".join(f"`{name}` {t}" for name, t in df.dtypes))

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import compare
@@ -159,6 +160,25 @@ def stages(spark, df):
     return out
 
 
+FOREIGN = [
+    "De gemeente heeft vorige week besloten dat de oude brug over de rivier wordt vervangen omdat het onderhoud te duur is geworden. Bewoners van de wijk zijn bezorgd over het verkeer tijdens de bouw, maar de wethouder zegt dat er voldoende omleidingen zullen zijn en dat de werkzaamheden binnen een jaar klaar moeten zijn.",
+    "Il consiglio comunale ha deciso la settimana scorsa di sostituire il vecchio ponte sul fiume, e la manutenzione è diventata troppo costosa. Gli abitanti del quartiere sono preoccupati per il traffico durante i lavori, ma il sindaco dice che ci saranno deviazioni sufficienti e che i lavori finiranno entro un anno.",
+    "Rada miasta zdecydowała w zeszłym tygodniu o wymianie starego mostu na rzece, ponieważ jego utrzymanie stało się zbyt kosztowne. Mieszkańcy dzielnicy martwią się o ruch podczas budowy, ale burmistrz mówi, że będzie wystarczająco dużo objazdów i że prace powinny zakończyć się w ciągu roku.",
+]
+
+
+def test_language_stage_drops_foreign_and_mislabelled_texts(spark):
+    clean = documents(spark, "/root/testdata/sf0.01").select("doc_id", "text", "lang")
+    of = {lang: [r.text for r in clean.where(F.col("lang") == lang).orderBy("doc_id").collect() if 600 < len(r.text) < 3000][:3] for lang in ("de", "en", "es", "fr")}
+    bad = [(t, lang) for t in FOREIGN for lang in ("en", "de", None)] + [(FOREIGN[2][:80], None), (FOREIGN[2][:40], "en")]
+    bad += [(t, wrong) for lang, texts in of.items() for wrong in of if wrong != lang for t in texts]
+    rows = [(-1 - i, *b) for i, b in enumerate(bad)] + [(None, t, None) for texts in of.values() for t in texts]
+    docs = clean.unionByName(spark.createDataFrame(rows, clean.schema)).repartition(5)
+    got = Counter(r.doc_id for r in corpus_pipeline.identify_language(spark, docs, "").collect())
+    want = Counter(r.doc_id for r in clean.collect() if any(c.isalpha() for c in r.text or ""))
+    assert got == want + Counter({None: sum(map(len, of.values()))})
+
+
 @pytest.mark.parametrize("kind", ["given", "awkward", "empty"])
 def test_pipeline_stage_by_stage(spark, folder, awkward, empty, as_folder, kind):
     source = {"given": folder, "awkward": as_folder(awkward), "empty": as_folder(empty)}[kind]
