@@ -9,7 +9,9 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleet.llm import chunks, langid, licenses, mixing, neardup, packing, quality, records, sharding, suffixes
+from fleet.llm import (
+    chunks, langid, licenses, mixing, neardup, packing, prefix_trie, quality, records, sharding, spelling, suffixes, topk,
+)
 from fleet.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +113,26 @@ def op9_suffix_array_removal(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op4_kneser_ney_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(documents(spark, folder))
+
+
+HEADS = 6
+
+
+@query(prefix_trie.nodes_sql(100, HEADS))
+def op11_zfast_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation with its first crc32(conv_id) % 6 turns taken from the first of its hundred."""
+    turns = prefix_trie.turn_table(spark.read.parquet(f"{folder.rstrip('/')}/conversations.parquet"))
+    head = (F.crc32(F.col("conv_id").cast("string")) % HEADS).cast("int")
+    nodes = prefix_trie.trie_nodes(prefix_trie.with_shared_heads(turns, 100, head, HEADS - 1))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+@query(spelling.groups_sql())
+def op12_kd_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variant_groups(spelling.noisy_words(documents(spark, folder)))
+
+
+@query(topk.top_sql(50, 5, 256))
+def op13_norm_bucket_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet")
+    return topk.top_products(vectors, F.col("vec_id") % 50 == 0, 5)
