@@ -29,7 +29,7 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xC0, 0x100)))
 RUN = "[A-Za-zÀ-ÿ]+"
 LEAST_LENGTH, LEAST_COUNT, RATIO, EVERY = 7, 2, 10, 31
 #: Words that a leaf of a length's tree should have, words that its planes are drawn from, words compared without planes.
-LEAF, SAMPLE, FEW = 20_000, 50_000, 48
+LEAF, SAMPLE, FEW = 20_000, 50_000, 200
 #: Longer words meet in smaller blocks.
 LONG, BLOCK, QUERIES, LONG_BLOCK = 256, 40_000, 80_000, 100
 _CODE = np.full(256, 255, np.uint8)
@@ -130,7 +130,10 @@ def near_pairs(asked: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndar
     same = asked.shape[1] == held.shape[1]
     q, w = letter_counts(asked), letter_counts(held)
     used = np.flatnonzero(w.any(axis=0) | q.any(axis=0))
-    q, w = np.ascontiguousarray(q[:, used]), np.ascontiguousarray(w[:, used])
+    exact = np.float32 if held.shape[1] < 2_000 else np.float64
+    q, w = q[:, used].astype(exact), w[:, used].astype(exact)
+    # Sums of counts are equal, or one apart: a squared distance of 2, or 1, is one count up and one, or none, down.
+    q_size, w_size = (q * q).sum(axis=1), (w * w).sum(axis=1)
     found = []
     todo = [(np.arange(len(q)), np.arange(len(w)))]
     while todo:
@@ -146,12 +149,11 @@ def near_pairs(asked: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndar
             cut = min(int(np.median(at)), high[letter] - 1)
             todo += [(queries, words[at <= cut]), (queries, words[at > cut])]
             continue
-        step = max(1, 4_000_000 // max(1, len(words) * max(len(used), held.shape[1])))
+        step = max(1, 4_000_000 // max(1, len(words) * held.shape[1] // 8))
         for at in range(0, len(queries), step):
             part = queries[at : at + step]
-            gap = w[words][None, :, :] - q[part][:, None, :]
-            up, total = np.maximum(gap, 0).sum(axis=2), gap.sum(axis=2)
-            i, j = np.nonzero((up == 1) & (total == (0 if same else 1)))
+            apart = q_size[part][:, None] + w_size[words][None, :] - 2 * (q[part] @ w[words].T)
+            i, j = np.nonzero(apart == (2 if same else 1))
             if len(i):
                 keep = _one_edit(asked[part[i]], held[words[j]])
                 found.append((part[i][keep], words[j][keep]))
