@@ -8,8 +8,10 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
+from fleet.operators.keys import join_on
+from fleet.operators.scans import global_ordinal
 from fleet.scratch import scratch_root
 
 ROWS_AT_ONCE = 64
@@ -56,3 +58,29 @@ def read_file(folder: str, name: str) -> bytes:
     system, root = file_system(folder)
     with system.open_input_stream(posixpath.join(root, name)) as source:
         return source.read()
+
+
+GIVEN_ID = "_fl_given_id"
+
+
+def unique_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` with the given ids in ``GIVEN_ID`` and a ``doc_id`` that is never null and never repeated.
+
+    Ids that tell rows apart stay; rows with a null or repeated id are numbered above the largest one, in the order of id
+    and content, so that runs agree. A table without such rows is not shuffled.
+    """
+    marked = docs.withColumn(GIVEN_ID, F.col("doc_id"))
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_fl_rows")).where("doc_id IS NULL OR _fl_rows > 1").select("doc_id")
+    if repeated.isEmpty():
+        return marked
+    above = docs.agg(F.max("doc_id")).first()[0]
+    known = join_on(marked, repeated, ["doc_id"], "left_anti")
+    content = [F.col("doc_id").asc_nulls_last(), F.xxhash64(*docs.columns)]
+    numbered = global_ordinal(join_on(marked, repeated, ["doc_id"], "left_semi"), content, "_fl_at")
+    fresh = (F.col("_fl_at") + F.lit(0 if above is None else above + 1)).cast("long")
+    return known.unionByName(numbered.withColumn("doc_id", fresh).drop("_fl_at"))
+
+
+def given_ids(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` with the ids that ``unique_ids`` put aside."""
+    return docs.withColumn("doc_id", F.col(GIVEN_ID)).select(*columns)

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 DIMENSIONS = 1024
@@ -105,7 +106,7 @@ def gram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nda
 def _slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     """Runs of rows with few characters, or one row, since counts are a dense table."""
     for batch in batches:
-        sizes = [len(t) if t else 0 for t in batch.column(text).to_pylist()]
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).tolist()
         first, total = 0, 0
         for i, size in enumerate(sizes):
             if i > first and (i - first == _ROWS or total + size > _CHARS):
@@ -244,14 +245,19 @@ def in_known_language(df: DataFrame, prototypes: dict[str, np.ndarray], usual: d
     none = np.full((_CLASSES, 2), np.inf)
     table = np.array([usual.get(lang, none) for lang in names]).reshape(len(names), _CLASSES, 2)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _slices(batches, "text"):
-            langs = rows.column("lang").to_pylist()
-            best, own, to_best, to_own, lead, classes, has = _likeness(rows.column("text").to_pylist(), langs, prototypes, seed)
-            labelled = own >= 0
-            of = np.where(labelled, own, best)
-            middle, deviation = table[of, classes].T
-            far = np.where(labelled & (lead > LEAD), FAR_AND_OTHER, FAR)
-            yield rows.filter(pa.array(has & (np.where(labelled, to_own, to_best) <= middle + far * deviation)))
-
-    return df.mapInArrow(keep, ", ".join(f"`{name}` {t}" for name, t in df.dtypes))
+    @F.arrow_udf("boolean")
+    def fits(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, labels in batches:
+            found = []
+            for rows in _slices([pa.RecordBatch.from_arrays([texts, labels], names=["text", "lang"])], "text"):
+                langs = rows.column("lang").to_pylist()
+                best, own, to_best, to_own, lead, classes, has = _likeness(rows.column("text").to_pylist(), langs, prototypes, seed)
+                labelled = own >= 0
+                of = np.where(labelled, own, best)
+                middle, deviation = table[of, classes].T
+                far = np.where(labelled & (lead > LEAD), FAR_AND_OTHER, FAR)
+                found.append(has & (np.where(labelled, to_own, to_best) <= middle + far * deviation))
+            yield pa.array(np.concatenate(found) if found else [], pa.bool_())
+        _vectors.cache_clear()  # the worker goes on to other work
+
+    return df.where(fits("text", "lang"))  # only verdicts come back; the rows stay where they are
