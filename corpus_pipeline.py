@@ -1,9 +1,9 @@
 """Documents through five stages: language identification, near-duplicate removal, removal of repeated passages, a mix of
 sources to target weights, and packing into token windows.
 
-Every stage reads what the stage before it kept; all but the last return the columns of ``documents``. Rows that share a
-``doc_id`` are one document to the stages that choose among documents. Null and empty texts leave at the first stage,
-an empty table passes through all.
+Every stage reads what the stage before it kept; all but the last return the columns of ``documents``. Stages that choose
+among documents tell rows with a null or repeated ``doc_id`` apart by their content, equal rows by number. Null and empty
+texts leave at the first stage, an empty table passes through all.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleet.llm import langid, mixing, neardup, packing, queries, suffixes
-from fleet.llm.common import shared_folder
+from fleet.llm.common import given_ids, shared_folder, unique_ids
 from fleet.operators.keys import join_on
 from fleet.scratch import Scratch
 from fleet.session import ship_package
@@ -27,19 +27,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component on five-word shingles at 0.8: the one with the smallest id, once.
-
-    Rows without an id can't be told apart by one, so of those with equal texts one stays.
-    """
-    found = neardup.near_duplicates(docs, 5, 80)
-    ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept"))
-    ids = Scratch(spark).store(ids, "ids")
-    gone = _measured(ids.where("NOT kept OR rows > 1").select("doc_id"))
-    again = _measured(ids.where("kept AND rows > 1").select("doc_id"))
-    once = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti")
-    repeated = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    unnamed = docs.where("doc_id IS NULL").dropDuplicates(["text"])
-    return once.select(*docs.columns).unionByName(repeated.select(*docs.columns)).unionByName(unnamed)
+    """One document of each component on five-word shingles at 0.8: the one with the smallest id."""
+    named = unique_ids(docs)
+    found = neardup.near_duplicates(named.select("doc_id", "text"), 5, 80)
+    gone = Scratch(spark).store(found.where("NOT kept").select("doc_id"), "gone")
+    return given_ids(named.join(_measured(gone), "doc_id", "left_anti"), docs.columns)
 
 
 def _measured(ids: DataFrame) -> DataFrame:
@@ -57,10 +49,10 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    mixed = mixing.mix(docs, queries.MIX_WEIGHTS, queries.MIX_SHARE, queries.MIX_LIMIT, queries.SEED)
-    times = mixed.groupBy("doc_id").agg(F.max("times").alias("_fl_times"))
-    joined = join_on(docs, times, ["doc_id"]).where("_fl_times > 0")
-    return joined.withColumn("_fl_copy", F.explode(F.sequence(F.lit(1), F.col("_fl_times").cast("int")))).select(*docs.columns)
+    named = unique_ids(docs)
+    times = mixing.mix(named, queries.MIX_WEIGHTS, queries.MIX_SHARE, queries.MIX_LIMIT, queries.SEED).select("doc_id", F.col("times").alias("_fl_times"))
+    joined = join_on(named, times, ["doc_id"]).where("_fl_times > 0")
+    return given_ids(joined.withColumn("_fl_copy", F.explode(F.sequence(F.lit(1), F.col("_fl_times").cast("int")))), docs.columns)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
