@@ -16,6 +16,8 @@ from array import array
 
 import numpy as np
 
+from fleet.llm.common import take_worker
+
 CACHED = 800_000
 _LONGEST_CACHED = 64
 _MARKS = ".,!?;:"
@@ -107,9 +109,14 @@ class Encoder(dict):
 
 
 @functools.lru_cache(maxsize=2)
+def _kept_encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
 def encoder(path: str) -> Encoder:
     """One per worker process and tokenizer file."""
-    return Encoder(path)
+    take_worker("bpe", _kept_encoder.cache_clear)
+    return _kept_encoder(path)
 
 
 def ids_crc32(ids: np.ndarray) -> int:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import posixpath
 import uuid
 from collections.abc import Callable, Iterator
@@ -33,6 +36,28 @@ def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], sc
     return df.mapInArrow(run, kind)
 
 
+_KEPT: dict[str, Callable[[], None]] = {}
+_LAST: list[str] = []
+
+
+def take_worker(owner: str, clear: Callable[[], None] | None = None) -> None:
+    """Say which operator a Python worker works for; on a change, give back what the others keep in it.
+
+    Workers outlive jobs and serve one operator after another. ``clear`` empties what the owner itself keeps.
+    """
+    if clear:
+        _KEPT[owner] = clear
+    if _LAST != [owner]:
+        _LAST[:] = [owner]
+        for other, drop in _KEPT.items():
+            if other != owner:
+                drop()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def shared_folder(spark, name: str) -> str:
     """A new folder under the one that the cluster shares, as a URI or path."""
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

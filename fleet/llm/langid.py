@@ -21,6 +21,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from fleet.llm.common import take_worker
+
 DIMENSIONS = 1024
 ORDER = 3
 NONE = "und"
@@ -76,10 +78,15 @@ class GramVectors:
 
 
 @functools.lru_cache(maxsize=1)
-def _vectors(seed: int) -> GramVectors:
+def _kept_vectors(seed: int) -> GramVectors:
     return GramVectors(seed)
 
 
+def _vectors(seed: int) -> GramVectors:
+    take_worker("langid", _kept_vectors.cache_clear)
+    return _kept_vectors(seed)
+
+
 def gram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct n-grams of some texts, their counts (texts x n-grams), and whether each text has a letter."""
     # Every text begins with a space and ends with that of the next; an empty one closes the last.
@@ -258,6 +265,5 @@ def in_known_language(df: DataFrame, prototypes: dict[str, np.ndarray], usual: d
                 far = np.where(labelled & (lead > LEAD), FAR_AND_OTHER, FAR)
                 found.append(has & (np.where(labelled, to_own, to_best) <= middle + far * deviation))
             yield pa.array(np.concatenate(found) if found else [], pa.bool_())
-        _vectors.cache_clear()  # the worker goes on to other work
 
     return df.where(fits("text", "lang"))  # only verdicts come back; the rows stay where they are
