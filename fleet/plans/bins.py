@@ -27,6 +27,11 @@ def feature_array(features: list[str] | str) -> Column:
     return F.array(*[F.col(f).cast("double") for f in features])
 
 
+def row_hash(features: list[str] | str, label: str) -> Column:
+    """What the draws of row samples rest on: the content of a row, so they do not change with the layout."""
+    return F.xxhash64(F.col(label).cast("double"), feature_array(features))
+
+
 def quantile_bins(
     df: DataFrame, features: list[str] | str, max_bin: int = 256, by: list[str] | None = None, exact: bool = False
 ) -> DataFrame:
@@ -59,11 +64,12 @@ def spread_rows(stored: DataFrame, grouped: bool) -> DataFrame:
     """
     cores = stored.sparkSession.sparkContext.defaultParallelism
     parts = max(cores, -(-stored.count() // ROWS_PER_TASK))
+    numbered = stored.withColumn("_at", F.monotonically_increasing_id())  # equal rows are dealt out too
     if grouped:
-        placed = stored.repartitionByRange(parts, "_g", F.xxhash64("_row"))
+        placed = numbered.repartitionByRange(parts, "_g", F.xxhash64("_at"))
     else:
-        placed = stored.repartition(parts, "_row")
-    return placed.persist(StorageLevel.MEMORY_AND_DISK)
+        placed = numbered.repartition(parts, "_at")
+    return placed.drop("_at").persist(StorageLevel.MEMORY_AND_DISK)
 
 
 @dataclass
@@ -98,7 +104,8 @@ class BinnedTable:
         self.scratch, self._held = Scratch(self.spark), {}
         held = F.lit(False) if validation is None else F.coalesce(validation, F.lit(False))
         rows = df.select(
-            *self.keys, F.col(label).cast("double").alias("_y"), held.alias("_val"), feature_array(features).alias("_x")
+            *self.keys, F.col(label).cast("double").alias("_y"), held.alias("_val"), feature_array(features).alias("_x"),
+            row_hash(features, label).alias("_row"),
         )
         self.width = len(features) if isinstance(features, list) else rows.select(F.size("_x")).first()[0]
         if not self.keys:
@@ -173,5 +180,4 @@ class BinnedTable:
                 kept = [batch.column(c) for c in ("_row", "_g", "_y", "_val")]
                 yield pa.RecordBatch.from_arrays([*kept, bins, empty], ["_row", "_g", "_y", "_val", "_bins", "_m"])
 
-        numbered = part.withColumn("_row", F.monotonically_increasing_id())
-        return numbered.mapInArrow(encode, STATE)
+        return part.mapInArrow(encode, STATE)

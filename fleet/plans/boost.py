@@ -294,22 +294,44 @@ class _Work:
                 margin[:, k] += tree["value"][_leaf_of(tree, codes)]
         return margin
 
-    def weights(self, model: dict, t: int, rows: np.ndarray, grad: np.ndarray, hess: np.ndarray) -> np.ndarray | None:
-        """Row weights of this round's sample, None for all rows."""
-        p = model["params"]
-        if p.subsample >= 1.0:
-            return None
-        draw = _mix(rows, p.seed * 1_000_003 + self.round * 1_009 + t)
-        if p.sampling_method == "uniform":
-            return (draw < p.subsample).astype(float)
-        keep = np.minimum(_sample_score(p, grad, hess) / max(model["threshold"], 1e-300), 1.0)
-        return np.where(draw < keep, 1.0 / np.maximum(keep, 1e-12), 0.0)
+    def weights(self, model: dict, rows: np.ndarray, grad: np.ndarray, hess: np.ndarray) -> np.ndarray | None:
+        return row_weights(model["params"], model["threshold"], self.round, model["trial"], rows, grad, hess)
+
+
+def row_weights(p: BoostParams, threshold: float, round_: int, trial: int, rows: np.ndarray, grad: np.ndarray, hess: np.ndarray) -> np.ndarray | None:
+    """Row weights of a round's sample, None for all rows."""
+    if p.subsample >= 1.0:
+        return None
+    draw = _mix(rows, p.seed * 1_000_003 + round_ * 1_009 + trial)
+    if p.sampling_method == "uniform":
+        return (draw < p.subsample).astype(float)
+    keep = np.minimum(_sample_score(p, grad, hess) / max(threshold, 1e-300), 1.0)
+    return np.where(draw < keep, 1.0 / np.maximum(keep, 1e-12), 0.0)
 
 
 def _sample_score(params: BoostParams, grad: np.ndarray, hess: np.ndarray) -> np.ndarray:
     return np.sqrt((grad**2 + params.reg_lambda * hess**2).sum(1))
 
 
+def sample_bins(params: BoostParams, grad: np.ndarray, hess: np.ndarray) -> np.ndarray:
+    """Rows and summed scores by bin of the logarithm of the score."""
+    s = _sample_score(params, grad, hess)
+    at = np.clip((np.log2(np.maximum(s, 1e-12)) + 40) * SAMPLE_BINS / 60, 0, SAMPLE_BINS - 1).astype(int)
+    return np.array([np.bincount(at, minlength=SAMPLE_BINS), np.bincount(at, weights=s, minlength=SAMPLE_BINS)], float)
+
+
+def sample_threshold(n: np.ndarray, total: np.ndarray, share: float) -> float:
+    """The score from which rows are always kept, such that the expected sample has ``share`` of the rows; bins rise."""
+    at = np.flatnonzero(n)[::-1]
+    n, total = n[at], total[at]
+    wanted = share * n.sum()
+    whole = np.cumsum(n) - n  # rows above this bin, kept for certain
+    rest = np.cumsum(total[::-1])[::-1]  # score of this bin and below
+    mu = rest / np.maximum(wanted - whole, 1e-9)
+    fits = (wanted > whole) & (total / n <= mu)
+    return float(mu[np.flatnonzero(fits)[0]]) if fits.any() else float(rest[0] / wanted)
+
+
 # --- training ---------------------------------------------------------------------
 
 
@@ -331,7 +353,7 @@ class _Trainer:
         for key in keys:
             m = self.models[key]
             payload[key] = {
-                "params": m.params, "base": m.base, "pending": m.trees[m.stored :], "threshold": m.threshold,
+                "params": m.params, "base": m.base, "trial": m.trial, "pending": m.trees[m.stored :], "threshold": m.threshold,
                 "current": (current or {}).get(key),
             }
         work = _Work(payload, self.trials, self.outputs, self.features, self.bins, self.round)
@@ -376,11 +398,8 @@ class _Trainer:
                 for g, _, y, codes, stored in work.parts(batch):
                     for key in (k for k in work.models if k[0] == g):
                         p = work.models[key]["params"]
-                        s = _sample_score(p, *_gradients(p, work.margin(*key, codes, stored), y))
-                        at = np.clip((np.log2(np.maximum(s, 1e-12)) + 40) * SAMPLE_BINS / 60, 0, SAMPLE_BINS - 1).astype(int)
                         both = acc.setdefault(key, np.zeros((2, SAMPLE_BINS)))
-                        both[0] += np.bincount(at, minlength=SAMPLE_BINS)
-                        both[1] += np.bincount(at, weights=s, minlength=SAMPLE_BINS)
+                        both += sample_bins(p, *_gradients(p, work.margin(*key, codes, stored), y))
             for (g, t), (n, total) in acc.items():
                 at = np.flatnonzero(n)
                 yield pa.RecordBatch.from_pydict({
@@ -391,14 +410,9 @@ class _Trainer:
         parts = self._rows(False, keys).mapInArrow(scores, "_g int, _t int, bin int, n double, total double")
         sums = parts.groupBy("_g", "_t", "bin").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).toPandas()
         for (g, t), part in sums.groupby(["_g", "_t"]):
-            part = part.sort_values("bin", ascending=False)
-            n, total = part["n"].to_numpy(), part["total"].to_numpy()
-            wanted = self.models[g, t].params.subsample * n.sum()
-            whole = np.cumsum(n) - n  # rows above this bin, kept for certain
-            rest = np.cumsum(total[::-1])[::-1]  # score of this bin and below
-            mu = rest / np.maximum(wanted - whole, 1e-9)
-            fits = (wanted > whole) & (total / n <= mu)
-            self.models[g, t].threshold = float(mu[np.flatnonzero(fits)[0]]) if fits.any() else float(rest[0] / wanted)
+            both = np.zeros((2, SAMPLE_BINS))
+            both[:, part["bin"].to_numpy()] = part["n"].to_numpy(), part["total"].to_numpy()
+            self.models[g, t].threshold = sample_threshold(*both, self.models[g, t].params.subsample)
 
     def _grow(self, active) -> dict[tuple[int, int], list[dict]]:
         trees = {key: [Tree() for _ in range(self.models[key].params.outputs)] for key in active}
@@ -453,7 +467,7 @@ class _Trainer:
                     for key in (k for k in work.models if k[0] == g):
                         model = work.models[key]
                         grad, hess = _gradients(model["params"], work.margin(*key, codes, stored), y)
-                        kept = work.weights(model, key[1], rows, grad, hess)
+                        kept = work.weights(model, rows, grad, hess)
                         if kept is not None:
                             grad, hess = grad * kept[:, None], hess * kept[:, None]
                         for k, tree in enumerate(model["current"]):
@@ -496,8 +510,8 @@ class _Trainer:
             values = {(g, t): float(getattr(self.models[g, t].params, name)) for g, t in pack}
             if len(set(values.values())) == 1:
                 return f"{next(iter(values.values()))!r}D"
-            pairs = ", ".join(f"struct({g}, {t}), {v!r}D" for (g, t), v in values.items())
-            return f"element_at(map({pairs}), struct(_g, _t))"
+            pairs = ", ".join(f"array({g}, {t}), {v!r}D" for (g, t), v in values.items())
+            return f"element_at(map({pairs}), array(_g, _t))"
 
         names = ("reg_lambda", "gamma", "min_child_weight")
         found = best_split(self.histogram(pack, current), ["_g", "_t", "_k", "node"], *map(setting, names))

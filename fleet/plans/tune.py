@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +15,10 @@ from fleet.operators.groups import pair_trials
 from fleet.operators.history import best_trial, last_rows
 from fleet.operators.keys import block_cogroup, join_on
 from fleet.operators.scans import rank_cut
-from fleet.plans.bins import BinnedTable
-from fleet.plans.boost import METRICS, BoostParams, train
+from fleet.plans.bins import BinnedTable, row_hash
+from fleet.plans.boost import METRICS, BoostParams, train, with_params
+from fleet.plans.group_search import SMALL_ROWS, fit_grid, split_by_size, with_failures
+from fleet.plans.local_boost import BoostFit
 from fleet.scratch import Scratch
 
 GOOD_SHARE = 0.25
@@ -208,17 +211,64 @@ def halving_rule(eta: int, grace: int = 1):
 class TuneResult:
     """``trials``: group columns, trial_id, params, value. ``best``: one row per group with its model.
 
-    ``best.error`` tells why a group has no model, or no value to compare its trials by.
+    ``best.error`` tells why a group has no model, or no value to compare its trials by. ``refitted``: the best settings
+    of each group trained on all of its rows, held-out ones too.
     """
 
     trials: DataFrame
     best: DataFrame
     history: DataFrame
-
-
-def _failure() -> Column:
-    nothing = F.when(F.col("model").isNull(), F.lit("no training rows"))
-    return nothing.when(F.col("value").isNull() | F.isnan("value"), F.lit("no held-out rows"))
+    refitted: DataFrame | None = None
+
+
+class _GroupedFits:
+    """Where the trials of a round are trained: small groups in tasks, the others, or the whole table, by level jobs."""
+
+    def __init__(self, df, features, label, keys, base, validation, max_bin, exact_bins, fit_fn, small_rows, trials_per_task, hook, scratch):
+        self.keys, self.base, self.hook, self.scratch, self.rounds = keys, base, hook, scratch, 0
+        self.small = self.table = None
+        self.per_task = None if hook else trials_per_task  # halving compares all trials of a group
+        large = df
+        if keys and small_rows:
+            few, many = split_by_size(df, keys, small_rows)
+            self.few = scratch.store(few, "small-groups")
+            many = scratch.store(many, "large-groups")
+            named = [] if fit_fn else ([features] if isinstance(features, str) else features) + [label]
+            held = F.coalesce(validation, F.lit(False)).alias("_held")
+            columns = dict.fromkeys([*keys, *(named or df.columns)])
+            rows = df.select(*columns, held, row_hash(features, label).alias("_row"))
+            self.small = scratch.store(join_on(rows, self.few, keys, "left_semi"), "small-rows")
+            self.fit = fit_fn or BoostFit(features, label, "_held", "_row", base, max_bin, hook)
+            large = None if many.isEmpty() else join_on(df, many, keys, "left_semi")
+        if large is not None:
+            if fit_fn:
+                raise ValueError("fit_fn gets whole groups: raise small_rows above the largest group, or leave fit_fn out")
+            self.table = BinnedTable(large, features, label, keys, validation, max_bin, exact_bins)
+        self.groups = self._all_groups() if keys else scratch.store(df.sparkSession.range(1).select(F.lit(0).alias("_study")), "groups")
+
+    def _all_groups(self) -> DataFrame:
+        parts = ([self.few] if self.small is not None else []) + ([self.table.groups.select(*self.keys)] if self.table else [])
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def train(self, trials: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """``(models, history)`` of a round, with ``error`` in the models."""
+        self.rounds += 1
+        found, history = [], []
+        if self.small is not None:
+            mine = trials if self.table is None else join_on(trials, self.few, self.keys, "left_semi")
+            fitted = self.scratch.store(fit_grid(self.small, mine, self.keys, self.fit, self.per_task), f"fits{self.rounds}")
+            found.append(fitted.drop("history"))
+            history.append(fitted.select(*self.keys, "trial_id", F.explode("history").alias("_h")).select(*self.keys, "trial_id", "_h.*"))
+        if self.table:
+            trained = train(self.table, trials if self.keys else trials.drop("_study"), self.base, self.hook)
+            found.append(trained.models.withColumn("error", F.lit(None).cast("string")))
+            history.append(trained.history)
+        both = lambda parts: parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return both(found), both(history)
+
+    def close(self) -> None:
+        if self.table:
+            self.table.close()
 
 
 def tune(
@@ -235,20 +285,29 @@ def tune(
     halving_eta: int | None = None,
     max_bin: int = 256,
     seed: int = 0,
+    fit_fn: Callable | None = None,
+    small_rows: int = SMALL_ROWS,
+    trials_per_task: int | None = None,
+    refit: bool = False,
+    exact_bins: bool = False,
 ) -> TuneResult:
     """Search settings for every group, or for the whole table without ``group_columns``.
 
-    Trials run in rounds of ``max_concurrent_trials``; all groups and trials of a round
-    train in the same jobs. After the first round the settings come from ``tpe_propose``.
-    A trial's value is its last validation metric.
+    Trials run in rounds of ``max_concurrent_trials``. Groups of up to ``small_rows`` rows are trained whole inside tasks,
+    all of them in one job a round; larger ones, and a whole table, train together in level jobs. Both give the same
+    trees. After the first round the settings come from ``tpe_propose``. A trial's value is its last validation metric.
+    ``fit_fn(pdf, params)`` replaces boosting in the tasks: it gets all rows of a group with the mark ``_held`` and returns
+    the value, or a dict with ``value`` and ``model``.
     """
     spark: SparkSession = df.sparkSession
     keys, mode = list(group_columns or []), METRICS[base.eval_metric]
+    if not fit_fn:  # unknown names fail before any work
+        with_params(base, **{name: value.low if isinstance(value, Draw) else value for name, value in flat_space(space).items()})
     batch = min(max_concurrent_trials or n_trials, n_trials)
     scratch = Scratch(spark)
-    table = BinnedTable(df, features, label, keys, validation, max_bin)
-    groups = table.groups.select(*keys) if keys else scratch.store(spark.range(1).select(F.lit(0).alias("_study")), "groups")
-    runs, histories, finished = [], [], None
+    hook = halving_rule(halving_eta) if halving_eta else None
+    fits = _GroupedFits(df, features, label, keys, base, validation, max_bin, exact_bins, fit_fn, small_rows, trials_per_task, hook, scratch)
+    groups, runs, histories, finished = fits.groups, [], [], None
     for start in range(0, n_trials, batch):
         size = min(batch, n_trials - start)
         if finished is None or search != "tpe":
@@ -256,11 +315,10 @@ def tune(
         else:
             trials = tpe_propose(finished, groups, space, size, mode, seed, start)
         trials = scratch.store(trials, f"trials{start}")
-        hook = halving_rule(halving_eta) if halving_eta else None
-        found = train(table, trials if keys else trials.drop("_study"), base, hook)
-        models = found.models if keys else found.models.withColumn("_study", F.lit(0))
-        runs.append(join_on(trials, models, [*groups.columns, "trial_id"], "left").withColumn("error", _failure()))
-        histories.append(found.history)
+        models, history = fits.train(trials)
+        models = models if keys else models.withColumn("_study", F.lit(0))
+        runs.append(with_failures(join_on(trials, models, [*groups.columns, "trial_id"], "left")))
+        histories.append(history)
         done = runs[0]
         for run in runs[1:]:
             done = done.unionByName(run)
@@ -269,6 +327,25 @@ def tune(
     for more in histories[1:]:
         history = history.unionByName(more)
     finished, done = scratch.store(finished, "finished"), scratch.store(done, "done")
-    table.close()
+    history = scratch.store(history, "history")
     best = best_trial(done, groups.columns, "value", mode)  # one row per group, also where nothing was trained
-    return TuneResult(finished.drop("_study"), best.drop("_study"), history)
+    refitted = _refit(df, features, label, best, base, keys, max_bin, exact_bins, fit_fn, small_rows, scratch) if refit else None
+    fits.close()
+    return TuneResult(finished.drop("_study"), best.drop("_study"), history, refitted)
+
+
+def _refit(df, features, label, best, base, keys, max_bin, exact_bins, fit_fn, small_rows, scratch) -> DataFrame:
+    """The best settings of every group on all its rows, for as many rounds as did best; nothing is held out."""
+    rounds = F.map_from_arrays(F.array(F.lit("num_estimators")), F.array((F.col("best_round") + 1).cast("double")))
+    rest = F.map_filter("params", lambda name, _: ~F.element_at(F.split(name, "[.]"), -1).isin("num_estimators", "n_estimators", "num_boost_round"))
+    params = F.col("params") if fit_fn else F.map_concat(rest, F.coalesce(rounds, F.create_map().cast("map<string,double>")))
+    wanted = best.where("model IS NOT NULL OR value IS NOT NULL").select(*[c for c in best.columns if c in (*keys, "_study")], "trial_id", params.alias("params"), "settings")
+    wanted = scratch.store(wanted, "refit-trials")
+    plain = replace(base, early_stopping_rounds=0, stop_metric=None)
+    again = _GroupedFits(df, features, label, keys, plain, F.lit(False), max_bin, exact_bins, fit_fn, small_rows, None, None, Scratch(df.sparkSession))
+    models, _ = again.train(wanted)
+    models = models if keys else models.withColumn("_study", F.lit(0))
+    on = [c for c in wanted.columns if c in (*keys, "_study")]
+    found = scratch.store(join_on(wanted, models.drop("value", "best_round"), [*on, "trial_id"], "left"), "refitted")
+    again.close()
+    return found.drop("_study")

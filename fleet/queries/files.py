@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from fleet.plans.vector import ivf_build, ivf_search
 from fleet.queries.registry import query, table
 from fleet.queries.vectors import _label_cells, _means, _rounded
-from fleet.scratch import Scratch
+from fleet.scratch import Scratch, temporary_table
 from fleet.sources.sinks import append_rows, ensure_table, overwrite_table, to_driver, write_json_lines, write_parquet
 from fleet.sources.tables import read_delimited, read_table
 from fleet.streaming.images import append_stream, image_rows, label_counts
 from fleet.streaming.index_sync import sync_index
 
 
-def _name(kind: str) -> str:
-    return f"fleet_{kind}_{uuid.uuid4().hex}"
-
-
 @query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def tsv_round_trip(spark, folder):
     rows, path = table(spark, folder, "nation"), f"{Scratch(spark).path}/tsv"
@@ -30,7 +24,7 @@ def tsv_round_trip(spark, folder):
 @query("SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1")
 def table_overwritten(spark, folder):
     """A table of suppliers per nation, then of customers under the same name."""
-    name = _name("overwrite")
+    name = temporary_table(spark, "overwrite")
     for source, key in (("supplier", "s_nationkey"), ("customer", "c_nationkey")):
         rows = table(spark, folder, source).groupBy(F.col(key).alias("c_nationkey")).agg(F.count("*").alias("n"))
         overwrite_table(rows, name)
@@ -40,7 +34,7 @@ def table_overwritten(spark, folder):
 @query("SELECT o_orderpriority, count(*) AS n, false AS made_again FROM orders GROUP BY 1")
 def table_ensured(spark, folder):
     """A table that is made once: the second builder is not run."""
-    name, rows = _name("ensure"), table(spark, folder, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+    name, rows = temporary_table(spark, "ensure"), table(spark, folder, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
     ensure_table(spark, name, lambda: rows)
     again = ensure_table(spark, name, lambda: rows.where("n < 0"))
     return spark.table(name).withColumn("made_again", F.lit(again))
@@ -48,7 +42,7 @@ def table_ensured(spark, folder):
 
 @query("SELECT r_regionkey, r_name FROM region UNION ALL SELECT n_nationkey, n_name FROM nation")
 def table_appended(spark, folder):
-    name = _name("append")
+    name = temporary_table(spark, "append")
     append_rows(table(spark, folder, "region"), name)
     append_rows(table(spark, folder, "nation").select(F.col("n_nationkey").alias("r_regionkey"), F.col("n_name").alias("r_name")), name)
     return spark.table(name)
@@ -67,7 +61,7 @@ def parquet_and_json_written(spark, folder):
 @query("SELECT count(*) AS n, 1 AS reads, 'SPARK' AS system_type, 'batch' AS reader FROM supplier")
 def read_with_lineage(spark, folder):
     """Rows of a table, and the record of its read."""
-    name, log = _name("read"), _name("lineage")
+    name, log = temporary_table(spark, "read"), temporary_table(spark, "lineage")
     overwrite_table(table(spark, folder, "supplier"), name)
     rows = read_table(spark, name, lineage_table=log).agg(F.count("*").alias("n"))
     reads = spark.table(log).where(F.col("source_table") == name).groupBy("system_type", F.col("properties")["reader"].alias("reader"))
@@ -101,7 +95,7 @@ def image_stream_counts(spark, folder):
 @query("SELECT event_type, count(*) AS n, max(event_id) AS last_id FROM events GROUP BY 1")
 def event_stream_appended(spark, folder):
     """Events that arrive in two parts, appended by a stream to a table, each once."""
-    path, name = Scratch(spark).path, _name("stream")
+    path, name = Scratch(spark).path, temporary_table(spark, "stream")
     events = table(spark, folder, "events").select("event_id", "event_type", "value")
     for part in (0, 1):
         events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{path}/arriving")

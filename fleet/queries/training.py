@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -11,7 +13,9 @@ from fleet.plans.boost import BoostParams, best_split, boost_many, held_out, roo
 from fleet.plans.tree_models import model_margin, model_predict, predict
 from fleet.plans.tune import draw_loguniform, draw_randint, draw_uniform, halving_cut, sample_trials, tpe_scores, tune
 from fleet.operators.groups import route_predict
+from fleet.plans.runs import log_search, route_by_artifacts
 from fleet.queries.registry import query, sql_uniform, table
+from fleet.scratch import temporary_table
 
 _FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _CLASSES = BoostParams(num_class=3, num_estimators=1, max_depth=1)
@@ -221,3 +225,80 @@ def routed_trees(spark, folder):
     trained = boost_many(rows, _COLUMNS, "y", [params], ["o_orderpriority"], max_bin=32)
     best = best_trial(trained.models, ["o_orderpriority"], "value", "min")
     return route_predict(rows, best, ["o_orderpriority"], "o_orderkey", model_predict, _COLUMNS)
+
+
+_STUMP = BoostParams("reg:squarederror", eval_metric="rmse", num_estimators=1, max_depth=1)
+_RATES = {"learning_rate": draw_uniform(0.01, 0.3)}
+
+
+def _stump_sql(name: str, rows: str) -> str:
+    """Squared-error stumps of every order priority on the rows that ``rows`` selects, with the gradient sums left and right."""
+    return f"""{name}_in AS (SELECT * FROM orders_in WHERE {rows}),
+    {name}_cells AS (SELECT g, o_orderkey, y, i - 1 AS feature, [dow, doy, year, segment][i]::DOUBLE AS x FROM {name}_in, range(1, 5) t(i)),
+    {name}_edges AS (SELECT g, feature, list_sort(list_distinct(quantile_cont(x, [{', '.join(f'{i}/{_BINS}' for i in range(1, _BINS))}]))) AS edges
+                     FROM {name}_cells GROUP BY 1, 2),
+    {name}_base AS (SELECT g, avg(y) AS base FROM {name}_in GROUP BY 1),
+    {name}_hist AS (SELECT c.g, c.feature, len(list_filter(edges, lambda e: e <= x)) AS bin, sum(base - y) AS s, count(*)::DOUBLE AS h
+                    FROM {name}_cells c JOIN {name}_edges e ON c.g = e.g AND c.feature = e.feature JOIN {name}_base b ON b.g = c.g GROUP BY 1, 2, 3),
+    {name}_sums AS (SELECT *, sum(s) OVER w AS sl, sum(h) OVER w AS hl, sum(s) OVER p AS sa, sum(h) OVER p AS ha FROM {name}_hist
+                    WINDOW w AS (PARTITION BY g, feature ORDER BY bin), p AS (PARTITION BY g, feature)),
+    {name}_best AS (SELECT *, 0.5 * (sl * sl / (hl + 1) + (sa - sl) ** 2 / (ha - hl + 1) - sa * sa / (ha + 1)) AS gain FROM {name}_sums
+                    WHERE hl >= 1 AND ha - hl >= 1 QUALIFY row_number() OVER (PARTITION BY g ORDER BY gain DESC, feature, bin) = 1),
+    {name} AS (SELECT s.g, s.feature, list_extract(edges, s.bin + 1) AS edge, -sl / (hl + 1) AS l, -(sa - sl) / (ha - hl + 1) AS r, base
+               FROM {name}_best s JOIN {name}_edges e ON s.g = e.g AND s.feature = e.feature JOIN {name}_base b ON b.g = s.g)"""
+
+
+_STUMPS_SQL = f"""WITH orders_in AS (SELECT o_orderkey, o_orderpriority AS g, o_totalprice AS y, dayofweek(CAST(o_orderdate AS DATE)) + 1 AS dow,
+        dayofyear(CAST(o_orderdate AS DATE)) AS doy, year(CAST(o_orderdate AS DATE)) AS year, o_custkey % 100 AS segment,
+        {sql_uniform(42, 'o_orderkey')} < 0.25 AS held FROM orders),
+    {_stump_sql('stumps', 'NOT held')},
+    rates AS (SELECT g, t.i AS trial_id, 0.01 + {sql_uniform(0, 'g', 't.i', "'learning_rate'")} * (0.3 - 0.01) AS rate
+              FROM (SELECT DISTINCT g FROM orders_in), range(0, 4) t(i)),
+    trials AS (SELECT r.g, trial_id, any_value(rate) AS rate, sqrt(avg((base + rate * (CASE WHEN [dow, doy, year, segment][s.feature + 1] < edge THEN s.l ELSE s.r END) - y) ** 2)) AS value
+               FROM rates r JOIN stumps s ON s.g = r.g JOIN orders_in o ON o.g = r.g AND held GROUP BY 1, 2),
+    best AS (SELECT * FROM trials QUALIFY row_number() OVER (PARTITION BY g ORDER BY value, trial_id) = 1)"""
+
+
+def _tuned_stumps(spark, folder, **how):
+    return tune(
+        _orders(spark, folder), _COLUMNS, "y", _RATES, 4, _STUMP, held_out(["o_orderkey"]), ["o_orderpriority"],
+        search="random", max_bin=_BINS, exact_bins=True, **how,
+    )
+
+
+_TUNED = "SELECT g AS o_orderpriority, trial_id::INTEGER AS trial_id, round(rate, 8) AS rate, round(value, 2) AS value FROM best"
+
+
+def _picked(found):
+    rate = F.round(F.col("params")["learning_rate"], 8)
+    return found.best.select("o_orderpriority", F.col("trial_id").cast("int").alias("trial_id"), rate.alias("rate"), F.round("value", 2).alias("value"))
+
+
+@query(f"{_STUMPS_SQL} {_TUNED}")
+def tune_stumps(spark, folder):
+    """Every order priority searches its learning rate, each group whole in a task."""
+    return _picked(_tuned_stumps(spark, folder))
+
+
+@query(f"{_STUMPS_SQL} {_TUNED}")
+def tune_stumps_by_levels(spark, folder):
+    """The same search with every group in level jobs."""
+    return _picked(_tuned_stumps(spark, folder, small_rows=0))
+
+
+@query(
+    f"""{_STUMPS_SQL}, {_stump_sql('whole', 'true')}
+    SELECT w.g AS o_orderpriority, count(*) AS n,
+           round(avg(base + rate * (CASE WHEN [dow, doy, year, segment][w.feature + 1] < edge THEN w.l ELSE w.r END)), 4) AS mean
+    FROM whole w JOIN best b ON w.g = b.g JOIN orders_in o ON o.g = w.g GROUP BY 1"""
+)
+def routed_stumps(spark, folder):
+    """A search with refit, logged and stored; every order predicted by the stored model that the artifact map names."""
+    rows, keys = _orders(spark, folder), ["o_orderpriority"]
+    found = _tuned_stumps(spark, folder, refit=True)
+    models = temporary_table(spark, "models")
+    best = found.refitted.join(found.best.select(*keys, "value"), keys)
+    artifacts = log_search(found.trials, best, keys, "stumps", uuid.uuid4().hex, temporary_table(spark, "runs"), models)
+    predicted = route_by_artifacts(rows, artifacts, models, keys, "o_orderkey", model_predict, _COLUMNS)
+    joined = rows.select("o_orderkey", *keys).join(predicted, "o_orderkey")
+    return joined.groupBy(*keys).agg(F.count("*").alias("n"), F.round(F.avg("prediction"), 4).alias("mean"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
 _OPEN: list[Scratch] = []
+_TABLES: list[tuple[str, str]] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -55,6 +56,13 @@ class Scratch:
             _OPEN.remove(self)
 
 
+def temporary_table(spark: SparkSession, kind: str) -> str:
+    """A new table name that ``release`` drops."""
+    name = f"fleet_{kind}_{uuid.uuid4().hex}"
+    _TABLES.append((spark.sparkContext.applicationId, name))
+    return name
+
+
 def release(spark: SparkSession) -> int:
     """Delete all intermediate tables of this application; results that still read them cannot be used afterwards.
 
@@ -64,4 +72,7 @@ def release(spark: SparkSession) -> int:
     mine = [s for s in _OPEN if s.spark.sparkContext.applicationId == spark.sparkContext.applicationId]
     for scratch in mine:
         scratch.drop()
+    for entry in [t for t in _TABLES if t[0] == spark.sparkContext.applicationId]:
+        spark.sql(f"DROP TABLE IF EXISTS {entry[1]}")
+        _TABLES.remove(entry)
     return len(mine)

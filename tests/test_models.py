@@ -1,3 +1,4 @@
+import json
 import math
 
 import numpy as np
@@ -265,3 +266,113 @@ def test_tune_keeps_every_group_and_setting(spark):
     assert rounds.count() == 3 and {r["metric"] for r in rounds.select("metric").collect()} == {"mae"}
     with pytest.raises(Exception, match="no settings of a model: depth"):
         tune(rows, ["x"], "y", {"depth": 3}, 1, base, F.col("v"), ["g"], max_bin=16)
+
+
+def _same_models(a, b, keys):
+    a, b = (r.orderBy(*keys).toPandas() for r in (a, b))
+    assert np.allclose(a.value, b.value) and len(a) == len(b)
+    for x, y in zip(a.model, b.model):
+        assert _shape(x) == _shape(y)
+
+
+def _shape(text):
+    rounds = json.loads(text)["rounds"]
+    return [[(t["feature"], np.round(t["threshold"], 9).tolist(), np.round(t["value"], 6).tolist()) for t in trees] for trees in rounds]
+
+
+@pytest.mark.parametrize("base", [
+    BoostParams(num_class=3, num_estimators=3, max_depth=3, early_stopping_rounds=2), BoostParams(num_class=3, num_estimators=2, max_depth=0, max_leaves=5),
+    BoostParams("reg:squarederror", eval_metric="rmse", num_estimators=3, max_depth=2, subsample=0.4),
+    BoostParams("reg:squarederror", eval_metric="mae", num_estimators=3, max_depth=2, subsample=0.3, sampling_method="gradient_based"),
+])
+def test_small_groups_get_the_trees_of_the_level_jobs(wide, base):
+    space = {"learning_rate": draw_uniform(0.1, 0.5), "gamma": draw_uniform(0.0, 0.1)}
+    how = dict(search="random", max_bin=32, exact_bins=True)
+    runs = [tune(wide, FEATURES, "target", space, 3, base, held_out(["id"]), ["group_id"], small_rows=n, trials_per_task=t, **how) for n, t in ((0, None), (10_000, 2))]
+    _same_models(runs[0].best, runs[1].best, ["group_id"])
+    a, b = (r.history.orderBy("group_id", "trial_id", "round").toPandas() for r in runs)
+    assert np.allclose(a.value, b.value) and a.metric.equals(b.metric) and len(a) == len(b)
+
+
+def test_small_and_large_groups_in_one_search(spark, wide):
+    sizes = wide.groupBy("group_id").count().collect()
+    few = wide.limit(20).withColumn("group_id", F.lit(None).cast(wide.schema["group_id"].dataType))
+    both = wide.unionByName(few)
+    found = tune(both, FEATURES, "target", {"max_depth": draw_randint(1, 3)}, 2, BoostParams(num_class=3, num_estimators=1), held_out(["id"]), ["group_id"],
+                 search="random", max_bin=16, small_rows=100, refit=True)
+    best = {r["group_id"]: r for r in found.best.collect()}
+    assert set(best) == {None, *(r["group_id"] for r in sizes)} and all(r["model"] for r in best.values())
+    assert {r["group_id"] for r in found.refitted.collect()} == set(best)
+
+
+def test_halving_in_tasks_equals_halving_in_level_jobs(wide):
+    base = BoostParams(num_class=3, num_estimators=4, max_depth=2)
+    space = {"learning_rate": draw_uniform(0.05, 0.6)}
+    runs = [tune(wide, FEATURES, "target", space, 4, base, held_out(["id"]), ["group_id"], search="random", halving_eta=2, max_bin=32, exact_bins=True, small_rows=n) for n in (0, 10_000)]
+    a, b = (r.history.groupBy("group_id", "trial_id").count().orderBy("group_id", "trial_id").toPandas() for r in runs)
+    assert a.equals(b) and a["count"].min() < a["count"].max()
+
+
+def test_own_fit_function_and_failures(spark):
+    rows = spark.range(300).select((F.col("id") % 3).cast("int").alias("g"), F.col("id").alias("k"), (F.col("id") % 7).cast("double").alias("y"))
+
+    def fit(pdf, params):
+        if pdf.g.iloc[0] == 2:
+            raise ValueError("no such group")
+        guess = params["shift"] + pdf.y[~pdf._held].mean()
+        return {"value": float(((pdf.y[pdf._held] - guess) ** 2).mean()), "model": json.dumps({"guess": guess})}
+
+    space = {"shift": draw_uniform(-3.0, 3.0)}
+    found = tune(rows, ["y"], "y", space, 6, BoostParams("reg:squarederror", eval_metric="rmse"), held_out(["k"]), ["g"], fit_fn=fit, search="random", refit=False)
+    best = {r["g"]: r for r in found.best.collect()}
+    trials = found.trials.toPandas()
+    for g in (0, 1):
+        mine = trials[trials.g == g]
+        assert best[g]["value"] == mine.value.min()
+        assert json.loads(best[g]["model"])["guess"] is not None
+    assert "no such group" in best[2]["error"]
+    with pytest.raises(ValueError, match="small_rows"):
+        tune(rows, ["y"], "y", space, 1, BoostParams("reg:squarederror", eval_metric="rmse"), held_out(["k"]), ["g"], fit_fn=fit, small_rows=10)
+
+
+def test_number_of_jobs_does_not_grow_with_groups(spark):
+    def jobs(groups):
+        rows = spark.range(groups * 8).select((F.col("id") % groups).alias("g"), F.col("id").alias("k"), (F.col("id") % 5).cast("double").alias("x"), (F.col("id") % 3).cast("double").alias("y"))
+        name = f"groups-{groups}"
+        spark.sparkContext.setJobGroup(name, name)
+        found = tune(rows, ["x"], "y", {"max_depth": draw_randint(1, 3)}, 2, BoostParams("reg:squarederror", eval_metric="rmse", num_estimators=2), held_out(["k"]), ["g"], search="random", max_bin=8)
+        assert found.best.count() == groups
+        done = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return done
+
+    few, many = jobs(20), jobs(2_000)
+    assert many <= few + 4
+
+
+def test_search_is_logged_and_routed(spark, wide, tmp_path):
+    from fleet.plans.runs import load_models, log_search, route_by_artifacts, search_runs
+    from fleet.scratch import release, temporary_table
+
+    runs, models = temporary_table(spark, "runs"), temporary_table(spark, "models")
+    found = tune(wide, FEATURES, "target", {"max_depth": draw_randint(1, 3)}, 3, BoostParams(num_class=3, num_estimators=2), held_out(["id"]), ["group_id"], search="random", max_bin=16, refit=True)
+    best = found.refitted.join(found.best.select("group_id", "value"), "group_id")
+    places = log_search(found.trials, best, ["group_id"], "7", "parent", runs, models)
+    log = spark.table(runs)
+    assert log.count() == 1 + 6 + 2 and search_runs(log, "BEST_group").count() == 2
+    assert log.where("parent_run_id = 'parent'").select("run_id").distinct().count() == 8
+    named = {r["local_run_model_path"] for r in places.collect()}
+    assert named == {r["path"] for r in spark.table(models).collect()} == {f"{r['run_id']}/best_model/model" for r in search_runs(log, "BEST_group").collect()}
+    routed = route_by_artifacts(wide, places, models, ["group_id"], "id", model_predict, FEATURES).toPandas().set_index("id").prediction
+    texts = {r["group_id"]: r["model"] for r in found.refitted.collect()}
+    for g, part in wide.toPandas().groupby("group_id"):
+        assert (routed[part.id].to_numpy() == model_predict(texts[g], part).to_numpy()).all()
+    assert load_models(places, models).count() == 2
+    release(spark)
+    assert not spark.catalog.tableExists(models) and not spark.catalog.tableExists(runs)
+
+
+def test_sampled_trees_do_not_depend_on_the_layout(wide):
+    params = [BoostParams(num_class=3, num_estimators=3, max_depth=2, subsample=0.4), BoostParams(num_class=3, num_estimators=3, max_depth=2, subsample=0.3, sampling_method="gradient_based")]
+    a, b = (boost_many(wide.repartition(n), FEATURES, "target", params, validation=held_out(["id"]), max_bin=16, exact_bins=True).models.orderBy("trial_id").collect() for n in (1, 7))
+    assert [_shape(r["model"]) for r in a] == [_shape(r["model"]) for r in b]
