@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fleet.operators.keys import join_on
 from fleet.operators.scans import exact_percentiles, global_ordinal
+from fleet.plans.sketch import column_quantiles
 from fleet.scratch import Scratch
 
 EDGE_BYTES = 256 << 20
@@ -37,17 +38,17 @@ def quantile_bins(
 ) -> DataFrame:
     """Bin edges: the keys, the ``feature`` number and its rising ``edges``.
 
-    Sketches are merged from all tasks in one pass; ``exact`` ranks the values instead.
+    Sketches of all features are filled in one pass and merged; ``exact`` ranks the values instead.
     """
     keys = list(by or [])
     probs = [i / max_bin for i in range(1, max_bin)]
-    cells = df.select(*keys, F.posexplode(feature_array(features)).alias("feature", "value"))
     if exact:
+        cells = df.select(*keys, F.posexplode(feature_array(features)).alias("feature", "value"))
         edges = exact_percentiles(cells, "value", probs, [*keys, "feature"])
         return edges.select(*keys, "feature", F.array_distinct("percentiles").alias("edges"))
-    levels = ", ".join(map(repr, probs))
-    sketch = F.expr(f"array_distinct(percentile_approx(value, array({levels}), 10000))")
-    return cells.groupBy(*keys, "feature").agg(sketch.alias("edges"))
+    arrays = df.select(*keys, feature_array(features).alias("_x"))
+    found = column_quantiles(arrays, "_x", probs, keys)
+    return found.select(*keys, "feature", F.array_distinct("quantiles").alias("edges"))
 
 
 def bin_of(value: Column, edges: Column) -> Column:

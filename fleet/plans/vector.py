@@ -30,7 +30,8 @@ QUERY_ROWS = 20_000
 PAIR_STEP = 1 << 16  # pairs whose differences are held at a time
 QUERY_STEP = 256  # queries of a block that are compared at a time
 BROADCAST_BYTES = 32 << 20
-FILE_ROWS = 500_000
+#: Version of the rows that an index is built from.
+LEAST_VERSION = -(1 << 63)
 HIT_SCHEMA = "query_id long, id long, distance double"
 
 
@@ -195,15 +196,28 @@ class IvfIndex:
         return flat.reshape(1 + max(r["sub"] for r in rows), -1, flat.shape[1])
 
     def vectors(self) -> DataFrame:
-        """The current rows: of an id that was synced again only the last version counts."""
+        """The current rows: of an id the highest version counts, of equal versions the last batch; deleted ids are gone."""
+        return self.newest().where("NOT deleted").drop("version", "deleted")
+
+    def newest(self) -> DataFrame:
+        """The row of the highest version of every id, deletions too.
+
+        Rows of the base whose id no later batch names are read as they are. The others, base rows among them, are
+        compared by id alone, and the winners are met again by id, version and batch.
+        """
         stored = self.spark.read.parquet(f"{self.path}/vectors")
         if list_folder(self.spark, f"{self.path}/vectors", "batch=") == ["batch=-1"]:
             return stored.drop("batch")
         base, later = stored.where("batch = -1"), stored.where("batch >= 0")
-        newest = later.groupBy("id").agg(F.max("batch").alias("_newest"))
-        newer = later.join(newest.withColumnRenamed("id", "_id"), (F.col("id") == F.col("_id")) & (F.col("batch") == F.col("_newest")))
-        kept = base.join(newest.select("id"), "id", "left_anti")
-        return kept.unionByName(newer.select(*kept.columns)).drop("batch")
+        named = later.select(F.col("id").alias("_id")).distinct()
+        touched = F.col("id") == F.col("_id")
+        thin = ["id", "version", "batch"]
+        marks = later.select(*thin).unionByName(base.select(*thin).join(named, touched, "left_semi"))
+        wins = marks.groupBy("id").agg(F.max(F.struct("version", "batch")).alias("_w"))
+        wins = wins.select(F.col("id").alias("_id"), F.col("_w.version").alias("_version"), F.col("_w.batch").alias("_batch"))
+        won = touched & (F.col("version") == F.col("_version")) & (F.col("batch") == F.col("_batch"))
+        newer = stored.join(wins, won).select(*stored.columns)
+        return base.join(named, touched, "left_anti").unionByName(newer).drop("batch")
 
 
 def train_centroids(vectors: DataFrame, cells: int, seed: int = 1) -> DataFrame:
@@ -303,18 +317,15 @@ def ivf_build(
         books = spark.createDataFrame([], "sub int, code int, centroid array<double>")
     books.write.mode("overwrite").parquet(f"{path}/codebooks")
     index = IvfIndex(spark, path)
-    placed = gather_cells(place_vectors(index, rows), rows.count(), len(index.centroids()))
-    placed.withColumn("batch", F.lit(-1)).write.mode("overwrite").partitionBy("batch", "cell").parquet(f"{path}/vectors")
+    placed = place_vectors(index, rows).withColumns({"version": F.lit(LEAST_VERSION), "deleted": F.lit(False), "batch": F.lit(-1)})
+    gather_cells(placed).write.mode("overwrite").partitionBy("batch", "cell").parquet(f"{path}/vectors")
     return index
 
 
-def gather_cells(placed: DataFrame, rows: int, cells: int) -> DataFrame:
-    """Bring the rows of a cell together before a write by cell: a file for each ``FILE_ROWS`` of its rows.
-
-    Cells are cut in as many parts as an average one needs; a much larger cell has larger parts.
-    """
-    parts = max(1, -(-rows // (cells * FILE_ROWS)))
-    return placed.repartition("cell", F.pmod(F.xxhash64("id"), F.lit(parts)))
+def gather_cells(placed: DataFrame) -> DataFrame:
+    """Bring the rows of a cell together before a write by cell; adaptive execution cuts a crowded cell in even tasks
+    and gives small ones a task together."""
+    return placed.hint("rebalance", "cell")
 
 
 def place_vectors(index: IvfIndex, rows: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from fleet.scratch import Scratch, temporary_table
 from fleet.sources.sinks import append_rows, ensure_table, overwrite_table, to_driver, write_json_lines, write_parquet
 from fleet.sources.tables import read_delimited, read_table
 from fleet.streaming.images import append_stream, image_rows, label_counts
-from fleet.streaming.index_sync import sync_index
+from fleet.streaming.index_sync import compact_index, sync_index
 
 
 @query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
@@ -123,3 +123,36 @@ def index_synced_from_stream(spark, folder):
     changes = spark.readStream.schema("id long, vector array<float>, version long").parquet(f"{path}/changes")
     sync_index(changes, index, f"{path}/progress").awaitTermination()
     return _rounded(ivf_search(_means(spark, folder), index, 10, nprobe=10))
+
+
+@query(
+    """WITH means AS (SELECT label, list(m ORDER BY i) AS query FROM
+                      (SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings, range(1, 65) t(i) GROUP BY 1, 2) GROUP BY 1),
+            hits AS (SELECT q.label::BIGINT AS query_id, v.vec_id AS id,
+                            list_sum(list_transform(range(1, 65), lambda i: (v.embedding[i]::DOUBLE - q.query[i]) ** 2)) AS distance
+                     FROM means q, embeddings v WHERE v.vec_id % 5 <> 1)
+       SELECT query_id, id, round(distance, 6) AS distance, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank
+       FROM hits QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, id) <= 10"""
+)
+def index_versions_out_of_order(spark, folder):
+    """Three batches out of order: the newest rows and the deletion of a fifth come first, then two that are late.
+
+    The index is compacted between the late ones, which bring wrong places for all ids and undo deletions in vain.
+    """
+    path = Scratch(spark).path
+    rows = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    wrong = rows.withColumn("vector", F.reverse("vector"))
+    index = ivf_build(wrong.where("id % 2 = 0"), f"{path}/index", centroids=_label_cells(spark, folder))
+    batches = [
+        rows.withColumns({"version": F.lit(9).cast("long"), "gone": F.col("id") % 5 == 1}),
+        wrong.withColumns({"version": F.lit(3).cast("long"), "gone": F.lit(False)}),
+        wrong.where("id % 3 = 0").withColumns({"version": F.lit(5).cast("long"), "gone": F.col("id") % 2 == 0}),
+    ]
+    for number, batch in enumerate(batches):
+        if number == 2:  # the new index has a stream of its own
+            index = compact_index(index, f"{path}/compacted")
+        arriving, progress = f"{index.path}-changes", f"{index.path}-progress"
+        batch.write.mode("append").parquet(arriving)
+        changes = spark.readStream.schema(batch.schema).parquet(arriving)
+        sync_index(changes, index, progress, deleted="gone").awaitTermination()
+    return _rounded(ivf_search(_means(spark, folder), index, 10, nprobe=10))

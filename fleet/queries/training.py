@@ -8,11 +8,12 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from fleet.operators.history import best_trial
-from fleet.plans.bins import quantile_bins
+from fleet.plans.bins import feature_array, quantile_bins
 from fleet.plans.boost import BoostParams, best_split, boost_many, held_out, root_histogram
 from fleet.plans.tree_models import model_margin, model_predict, predict
 from fleet.plans.tune import draw_loguniform, draw_randint, draw_uniform, halving_cut, sample_trials, tpe_scores, tune
 from fleet.operators.groups import route_predict
+from fleet.plans.sketch import column_quantiles
 from fleet.plans.runs import log_search, route_by_artifacts
 from fleet.queries.registry import query, sql_uniform, table
 from fleet.scratch import temporary_table
@@ -53,6 +54,23 @@ def quantile_edges(spark, folder):
     return edges.select("feature", F.explode("edges").alias("edge")).withColumn("edge", F.round("edge", 6))
 
 
+@query("SELECT CAST(i AS INTEGER) AS feature, 255 AS n, true AS within FROM range(0, 4) t(i)")
+def sketched_edges(spark, folder):
+    """Bin edges by sketches: whether all of a feature's 255 lie within a quarter of a bin of their rank."""
+    bins, lines = 256, _lines(spark, folder).select(feature_array(_FEATURES).alias("x"))
+    found = column_quantiles(lines, "x", [i / bins for i in range(1, bins)])
+    cells = lines.select(F.posexplode("x").alias("feature", "value")).join(found, "feature")
+    places = [F.size(F.filter("quantiles", test)).alias(name) for name, test in (("under", lambda e: e < F.col("value")), ("upto", lambda e: e <= F.col("value")))]
+    counts = cells.select("feature", *places).groupBy("feature", "under", "upto").agg(F.count("*").alias("n"))
+    edges = found.select("feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 2))).alias("i"))
+    ranks = edges.join(counts, "feature").groupBy("feature", "i").agg(
+        F.sum(F.when(F.col("upto") <= F.col("i"), F.col("n")).otherwise(0)).alias("below"), F.sum(F.when(F.col("under") <= F.col("i"), F.col("n")).otherwise(0)).alias("reached"), F.sum("n").alias("total")
+    )
+    share, slack = (F.col("i") + 1) / bins * F.col("total"), F.col("total") / (4 * bins)
+    fits = (F.col("below") <= share + slack) & (F.col("reached") >= share - slack)
+    return ranks.groupBy("feature").agg(F.count("*").cast("int").alias("n"), F.every(fits).alias("within"))
+
+
 @query(f"WITH {_HISTOGRAM} SELECT class, feature, bin, round(g, 4) AS g, round(h, 4) AS h FROM hist")
 def gradient_hist(spark, folder):
     found = root_histogram(_lines(spark, folder), _FEATURES, "target", _CLASSES, _BINS, exact_bins=True)

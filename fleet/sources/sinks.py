@@ -57,11 +57,14 @@ def list_folder(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
 
 
 def write_shards(df: DataFrame, path: str, shard: str = "shard") -> None:
-    """One directory per shard in one job; shards that already have data are skipped."""
+    """One directory per shard in one job; shards that already have data are skipped.
+
+    The rows of a shard are brought together, and those of a large shard cut in even tasks, by adaptive execution.
+    """
     spark = df.sparkSession
     if path_exists(spark, path):
         df = not_yet_written(df, spark.read.parquet(path), [shard])
-    df.repartition(shard).write.mode("append").partitionBy(shard).parquet(path)
+    df.hint("rebalance", shard).write.mode("append").partitionBy(shard).parquet(path)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

@@ -114,3 +114,43 @@ def test_synced_index_equals_a_new_build(spark, data, tmp_path):
     assert _lists(ivf_search(queries, index, 10, nprobe=4)) == truth
     packed = compact_index(index, str(tmp_path / "packed"))
     assert packed.vectors().count() == 600 and _lists(ivf_search(queries, packed, 10, nprobe=4)) == truth
+
+
+def test_late_batches_lose_and_deletions_hold(spark, data, tmp_path):
+    vectors, queries, _ = data
+    index = ivf_build(vectors.where("id < 2000"), str(tmp_path / "index"), cells=4, sub_vectors=2, codes=16)
+    moved = lambda by, version: vectors.withColumns({"vector": F.transform("vector", lambda v: v + by), "version": F.lit(version)})
+    gone = vectors.where("id % 7 = 0").select("id", F.lit(None).cast(vectors.schema["vector"].dataType).alias("vector"), F.lit(6).alias("version"))
+    batches = [moved(1.0, 5), gone, moved(90.0, 2), moved(70.0, 5).where("id < 0"), gone.withColumn("version", F.lit(1)).where("id >= 0"), moved(3.0, 8).where("id % 14 = 0")]
+    source, checkpoint = str(tmp_path / "changes"), str(tmp_path / "checkpoint")
+    for batch in batches:
+        batch.write.mode("append").parquet(source)
+        changes = spark.readStream.schema(batch.schema).parquet(source)
+        sync_index(changes, index, checkpoint).awaitTermination()
+    want = moved(1.0, 5).where("id % 7 <> 0").unionByName(moved(3.0, 8).where("id % 14 = 0")).drop("version")
+    truth = _lists(knn_exact(queries, want, 10))
+    assert index.vectors().count() == want.count()
+    assert _lists(ivf_search(queries, index, 10, nprobe=4)) == truth
+    packed = compact_index(index, str(tmp_path / "packed"))
+    late, again = str(tmp_path / "late"), str(tmp_path / "again")
+    moved(50.0, 4).write.parquet(late)  # older than all that was folded in, deletions too
+    sync_index(spark.readStream.schema(moved(50.0, 4).schema).parquet(late), packed, again).awaitTermination()
+    assert packed.vectors().count() == want.count() and _lists(ivf_search(queries, packed, 10, nprobe=4)) == truth
+
+
+def test_crowded_cell_and_shard_are_written_by_even_tasks(spark, tmp_path):
+    from fleet.sources.sinks import write_shards
+
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128k")
+    try:
+        rows = spark.range(40_000, numPartitions=8).select("id", F.transform(F.sequence(F.lit(0), F.lit(7)), lambda j: F.when(F.col("id") % 2 == 0, F.lit(0.0)).otherwise((F.xxhash64("id", j) % 1000) / 1000.0).cast("float")).alias("vector"))
+        centroids = spark.createDataFrame([(0, [0.0] * 8), (1, [0.5] * 8), (2, [-0.5] * 8)], "cell int, centroid array<double>")
+        index = ivf_build(rows, str(tmp_path / "index"), centroids=centroids)
+        assert len(list((tmp_path / "index" / "vectors" / "batch=-1" / "cell=0").glob("*.parquet"))) > 1
+        assert index.vectors().count() == 40_000
+        write_shards(rows.withColumn("shard", F.when(F.col("id") < 30_000, 0).otherwise(F.col("id") % 5)), str(tmp_path / "shards"))
+        assert len(list((tmp_path / "shards" / "shard=0").glob("*.parquet"))) > 1
+        assert spark.read.parquet(str(tmp_path / "shards")).count() == 40_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
