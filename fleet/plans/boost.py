@@ -15,12 +15,13 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleet.functions.draws import drawn_below
-from fleet.plans.bins import BinnedTable, Wave, spread_rows
+from fleet.plans.bins import BinnedTable, Wave
 from fleet.plans.tree_models import model_text
-from fleet.scratch import Scratch
+from fleet.scratch import Scratch, checkpoint_folder
 
 HISTOGRAM_BYTES = 256 << 20
 STORE_EVERY = 10
@@ -338,14 +339,14 @@ def sample_threshold(n: np.ndarray, total: np.ndarray, share: float) -> float:
 class _Trainer:
     """Training of all trials of one wave of groups over its stored, binned rows."""
 
-    def __init__(self, state: DataFrame, models: dict[tuple[int, int], _Model], features: int, bins: int, scratch: Scratch, name: str):
-        self.models, self.scratch, self.name = models, scratch, name
-        self.grouped = len({g for g, _ in models}) > 1
+    def __init__(self, state: DataFrame, models: dict[tuple[int, int], _Model], features: int, bins: int):
+        self.models = models
         self.start = self.state = state
+        self.before: DataFrame | None = None
         self.features, self.bins = features, bins
         self.trials = 1 + max(t for _, t in models)
         self.outputs = max(m.params.outputs for m in models.values())
-        self.round, self.versions = 0, 0
+        self.round = 0
         self.spark = state.sparkSession
 
     def _work(self, keys, current: dict | None = None):
@@ -373,6 +374,7 @@ class _Trainer:
             self._set_thresholds(active)
             for key, trees in self._grow(active).items():
                 self.models[key].trees.append(trees)
+            self._apply_trees()
             self.round += 1
             metrics = self._evaluate(active) if has_val else {}
             for key in active:
@@ -380,9 +382,9 @@ class _Trainer:
             if on_round:
                 on_round(self.round)
             if self.round % STORE_EVERY == 0 and any(m.active for m in self.models.values()):
-                self._store_margins()
-        if self.state is not self.start:
-            self.state.unpersist()
+                self._cut_lineage()
+        self._hold(self.start)
+        self._hold(self.start)
 
     def _set_thresholds(self, active) -> None:
         """For gradient-based sampling: the score from which rows are always kept, such that the
@@ -540,8 +542,11 @@ class _Trainer:
             out[key] = float(np.sqrt(row["v"])) if self.models[key].params.eval_metric in ("rmse", "rmsle") else row["v"]
         return out
 
-    def _store_margins(self) -> None:
-        """Write the rows with their margins, so that later rounds start from them."""
+    def _apply_trees(self) -> None:
+        """Bring the margins of all rows up to date with the trees of the round: one walk per row, model and output.
+
+        The rows stay in their partitions and are held; the next job that reads them fills in the new margins.
+        """
         shared = self._work(list(self.models))
         trials, outputs = self.trials, self.outputs
 
@@ -561,18 +566,22 @@ class _Trainer:
                 columns = [lists if n == "_m" else batch.column(n) for n in batch.schema.names]
                 yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-        old = f"{self.name}-{self.versions}"
-        self.versions += 1
-        held = self.state
-        stored = self.scratch.store(held.mapInArrow(apply, held.schema), f"{self.name}-{self.versions}")
-        self.state = spread_rows(stored, self.grouped)
-        self.state.count()
-        if held is not self.start:
-            held.unpersist()
-            self.scratch.drop(old)
+        self._hold(self.state.mapInArrow(apply, self.state.schema).persist(StorageLevel.MEMORY_AND_DISK))
         for model in self.models.values():
             model.stored = len(model.trees)
 
+    def _hold(self, state: DataFrame) -> None:
+        """Go on with ``state``; the state before the last is read by no job any more."""
+        if self.before is not None and self.before is not self.start:
+            self.before.unpersist()
+        self.before, self.state = self.state, state
+
+    def _cut_lineage(self) -> None:
+        """Write the rows with their margins in the shared folder, partition by partition, so that a lost executor costs
+        few rounds."""
+        checkpoint_folder(self.spark)
+        self._hold(self.state.checkpoint().persist(StorageLevel.MEMORY_AND_DISK))
+
 
 @dataclass
 class BoostResult:
@@ -594,19 +603,18 @@ def train(
     ``params map<string,double>``) whose values change ``base``.
     """
     spark = table.spark
-    results, work = Scratch(spark), Scratch(spark)
+    results = Scratch(spark)
     for number in table.waves:
         wave = table.wave(number)
         models = {}
         for g, trials in _wanted(params, table, wave, base).items():
             for t, (trial, p) in enumerate(trials):
                 models[g, t] = _Model(p, wave.means[g] if p.objective == "reg:squarederror" else 0.0, trial)
-        trainer = _Trainer(wave.rows, models, table.width, table.max_bin, work, f"wave{number}")
+        trainer = _Trainer(wave.rows, models, table.width, table.max_bin)
         trainer.run((lambda _: on_round(trainer)) if on_round else None)
         _write_models(spark, models, wave, table.features, table.key_schema, results)
         if len(table.waves) > 1:
             table.release(number)
-    work.drop()
     read = lambda name: spark.read.parquet(f"{results.path}/{name}")
     return BoostResult(read("models"), read("history"))
 
@@ -664,7 +672,7 @@ def root_histogram(
 ) -> DataFrame:
     """Gradient and hessian sums of a first tree's root: ``class``, ``node``, ``feature``, ``bin``, ``g``, ``h``."""
     table = BinnedTable(df, features, label, max_bin=max_bin, exact_bins=exact_bins)
-    trainer = _Trainer(table.wave(0).rows, {(0, 0): _Model(params)}, table.width, max_bin, table.scratch, "root")
+    trainer = _Trainer(table.wave(0).rows, {(0, 0): _Model(params)}, table.width, max_bin)
     current = {(0, 0): [Tree().arrays(nodes=[0]) for _ in range(params.outputs)]}
     found = trainer.histogram([(0, 0)], current).withColumnRenamed("_k", "class").drop("_g", "_t")
     stored = Scratch(df.sparkSession).store(found, "histogram")

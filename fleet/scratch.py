@@ -30,6 +30,12 @@ def scratch_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[context.applicationId]
 
 
+def checkpoint_folder(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint`` write in the shared folder, where no other folder has been set."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_root(spark))
+
+
 class Scratch:
     """One folder of intermediate tables under the shared root."""
 
