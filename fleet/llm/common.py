@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import gc
 import posixpath
 import uuid
@@ -33,7 +34,7 @@ def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], sc
                 out = fn(batch.slice(at, rows).to_pydict())
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
-    return df.mapInArrow(run, kind)
+    return df.mapInArrow(giving_back(run), kind)
 
 
 _KEPT: dict[str, Callable[[], None]] = {}
@@ -53,9 +54,25 @@ def take_worker(owner: str, clear: Callable[[], None] | None = None) -> None:
             if other != owner:
                 drop()
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
+
+
+def give_back() -> None:
+    """Return memory that is free but kept for later use to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def giving_back(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``fn`` for ``mapInArrow``, which leaves no free memory with the idle worker at the end of a task."""
+
+    @functools.wraps(fn)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        give_back()
+
+    return run
 
 
 def shared_folder(spark, name: str) -> str:

@@ -21,14 +21,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from fleet.llm.common import take_worker
+from fleet.llm.common import give_back, giving_back, take_worker
 
 DIMENSIONS = 1024
 ORDER = 3
 NONE = "und"
 _ROWS = 64
-_CHARS = 1 << 19
+_CHARS = 1 << 18
 _GRAMS_KEPT = 32_768
+_BLOCK = 2_048
 _SPACE = 32
 
 
@@ -71,8 +72,8 @@ class GramVectors:
     def bundle(self, counts: np.ndarray, grams: np.ndarray) -> np.ndarray:
         """Sums of the n-grams' vectors, one per row of counts, over blocks of n-grams."""
         out = np.zeros((len(counts), DIMENSIONS))
-        for at in range(0, len(grams), _GRAMS_KEPT // 4):
-            part = slice(at, at + _GRAMS_KEPT // 4)
+        for at in range(0, len(grams), _BLOCK):
+            part = slice(at, at + _BLOCK)
             out += counts[:, part] @ self._of(grams[part])
         return out
 
@@ -139,7 +140,7 @@ def train_prototypes(df: DataFrame, seed: int) -> dict[str, np.ndarray]:
                 sums[lang] = sums.get(lang, 0) + total
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], schema.field(1).type)], schema=schema)
 
-    partial = df.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang").mapInArrow(bundle, "lang string, bundle array<double>")
+    partial = df.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang").mapInArrow(giving_back(bundle), "lang string, bundle array<double>")
     # The sums are whole numbers, so their order does not matter.
     cells = partial.select("lang", F.posexplode("bundle").alias("at", "v")).groupBy("lang", "at").agg(F.sum("v").alias("v"))
     rows = cells.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("at", "v"))).alias("cells")).collect()
@@ -167,7 +168,7 @@ def identify(df: DataFrame, prototypes: dict[str, np.ndarray], seed: int, text:
             )
 
     kind = ", ".join(f"`{name}` {t}" for name, t in df.dtypes)
-    return df.mapInArrow(score, f"{kind}, lang_pred string, score double")
+    return df.mapInArrow(giving_back(score), f"{kind}, lang_pred string, score double")
 
 
 #: How far from the usual, in deviations: for a text that is most like its own language, and for one more like another.
@@ -216,7 +217,7 @@ def usual_likeness(df: DataFrame, prototypes: dict[str, np.ndarray], seed: int)
             columns = [[langs[i] for i in at], classes[at], np.floor(unlike[at] / _STEP).astype(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    found = df.select("text", "lang").mapInArrow(bins, "lang string, class long, bin long")
+    found = df.select("text", "lang").mapInArrow(giving_back(bins), "lang string, class long, bin long")
     cells: dict[str, list] = {}
     for r in found.groupBy("lang", "class", "bin").agg(F.count(F.lit(1)).alias("n")).collect():
         cells.setdefault(r.lang, []).append((r["class"], (r.bin + 0.5) * _STEP, r.n))
@@ -265,5 +266,6 @@ def in_known_language(df: DataFrame, prototypes: dict[str, np.ndarray], usual: d
                 far = np.where(labelled & (lead > LEAD), FAR_AND_OTHER, FAR)
                 found.append(has & (np.where(labelled, to_own, to_best) <= middle + far * deviation))
             yield pa.array(np.concatenate(found) if found else [], pa.bool_())
+        give_back()
 
     return df.where(fits("text", "lang"))  # only verdicts come back; the rows stay where they are

@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from fleet.llm.common import map_rows
+from fleet.llm.common import giving_back, map_rows
 from fleet.llm.components import smallest_reachable
 from fleet.llm.shingles import mix, shingle_set
 from fleet.operators.keys import block_cogroup, join_on
@@ -203,7 +203,7 @@ class Join:
 
         nodes = large.groupBy("vertex").agg(F.collect_list("node").alias("nodes"))  # a bounded number: trees branch little
         rows = nodes.join(self.vertices.select("vertex", "n", "s0", "s1", "tokens"), "vertex")
-        return rows.mapInArrow(children, "vertex binary, n long, s0 long, s1 long, node long")
+        return rows.mapInArrow(giving_back(children), "vertex binary, n long, s0 long, s1 long, node long")
 
     def _exhaustive(self, small: DataFrame) -> DataFrame:
         """All pairs of different labels in small nodes, where sketches and set sizes allow a link."""
@@ -232,7 +232,7 @@ class Join:
                 yield pa.RecordBatch.from_arrays([a, b], schema=schema)
 
         ordered = small.select("node", "vertex", "n", "s0", "s1", "label").repartition("node").sortWithinPartitions("node", "vertex")
-        return ordered.mapInArrow(compare, "a binary, b binary").distinct()
+        return ordered.mapInArrow(giving_back(compare), "a binary, b binary").distinct()
 
     def _close(self):
         far, percent = self.far, self.percent

@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from fleet.llm.common import map_rows
+from fleet.llm.common import giving_back, map_rows
 from fleet.llm.shingles import mix
 from fleet.scratch import Scratch
 
@@ -316,7 +316,7 @@ class Removal:
             if found:
                 yield _batch_parts(np.concatenate(found), parts)
 
-        return self.docs.mapInArrow(build, _PART_SQL)
+        return self.docs.mapInArrow(giving_back(build), _PART_SQL)
 
     def _with_text(self, rows: DataFrame, how: str) -> DataFrame:
         """Texts with a document's ``data``."""
@@ -344,7 +344,7 @@ class Removal:
             if found:
                 yield parts_of(np.concatenate(found))
 
-        return self._with_text(single, "inner").mapInArrow(run, _PART_SQL)
+        return self._with_text(single, "inner").mapInArrow(giving_back(run), _PART_SQL)
 
     def _stretches(self, single: DataFrame) -> DataFrame:
         parts = self.parts
