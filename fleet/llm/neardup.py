@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from fleet.llm.common import giving_back, map_rows
+from fleet.llm.common import giving_back, map_rows, take_worker
 from fleet.llm.components import smallest_reachable
 from fleet.llm.shingles import mix, shingle_set
 from fleet.operators.keys import block_cogroup, join_on
@@ -88,6 +88,7 @@ def profiles(docs: DataFrame, width: int, threshold: float) -> DataFrame:
     roots, positions = _roots(threshold)
 
     def profile(rows: dict[str, list]) -> dict[str, list]:
+        take_worker("neardup")
         out: dict[str, list] = {f.name: [] for f in _PROFILE}
         for doc_id, text in zip(rows["doc_id"], rows["text"]):
             shingles = shingle_set(text, width)

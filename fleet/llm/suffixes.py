@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from fleet.llm.common import giving_back, map_rows
+from fleet.llm.common import give_back, giving_back, map_rows, take_worker
 from fleet.llm.shingles import mix
 from fleet.scratch import Scratch
 
@@ -286,7 +286,9 @@ class Removal:
             kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
             if kind != settled:
                 return table.select(["kind", "part", "data"])
-            return pa.Table.from_batches([_settle_part(kind, table.column("data").to_pylist(), parts)])
+            settled_part = pa.Table.from_batches([_settle_part(kind, table.column("data").to_pylist(), parts)])
+            give_back()
+            return settled_part
 
         return rows.groupBy("kind", "part").applyInArrow(run, _PART_SQL)
 
@@ -294,6 +296,7 @@ class Removal:
         parts = self.parts
 
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            take_worker("suffixes")
             found, total, waiting, held = [], 0, [], 0
             for batch in batches:
                 for at in range(0, batch.num_rows, 64):
