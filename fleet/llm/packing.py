@@ -18,9 +18,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from fleet.llm.bpe import encoder, ids_crc32
 from fleet.llm.common import map_rows
+from fleet.operators.keys import join_on
 from fleet.scratch import Scratch
 
 BLOCK = 20_000
+#: Equal pieces that fill more than this part of a block are spread.
+SHARE_OF_COPIES = 8
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
 _PIECES_SQL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -77,7 +80,14 @@ def pack(pieces: DataFrame, window: int, block: int = BLOCK) -> DataFrame:
     """
     stored = Scratch(pieces.sparkSession).store(pieces, "pieces")
     blocks = max(1, -(-stored.count() // block))
-    dealt = stored.withColumn("_block", F.pmod(F.xxhash64("doc_id", "start"), F.lit(blocks)).cast("long"))
+    by = ["doc_id", "start", "length", "ids_crc32"]
+    salt = F.lit(0).cast("long")
+    copies = stored.groupBy(*by).agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > max(1, block // SHARE_OF_COPIES))
+    dealt = stored
+    if blocks > 1 and not copies.isEmpty():  # pieces that are often repeated go round the blocks by their place in the table
+        dealt = join_on(stored, copies, by, "left")
+        salt = F.when(F.col("_copies").isNull(), salt).otherwise(F.monotonically_increasing_id())
+    dealt = dealt.withColumn("_block", F.pmod(F.xxhash64(*by, salt), F.lit(blocks)).cast("long")).drop("_copies")
     columns = stored.columns
 
     def fill(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

@@ -196,3 +196,22 @@ def test_pieces_give_the_ids_of_the_whole_text(text):
     ENCODER = globals().get("ENCODER") or Encoder(PATH)
     want = ENCODER.library.encode(text, add_special_tokens=False).ids
     assert ENCODER.ids(ENCODER.encode([text])[0]).tolist() == want
+
+
+def test_repeated_pieces_are_spread_over_blocks(spark):
+    """A third of the rows are one document without an id, so one hash; no block gets them all, and none is lost."""
+    kind = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+    rows = [(None, 0, 300, 7, 300)] * 400 + [(i, 0, 100 + i % 600, i, 100 + i % 600) for i in range(800)]
+    packed = packing.pack(spark.createDataFrame(rows, kind).repartition(4), 1024, block=100).collect()
+    assert Counter(tuple(r)[:5] for r in packed) == Counter(rows)
+    blocks = Counter(r.sequence_id >> 32 for r in packed if r.doc_id is None)
+    assert len(blocks) == 12 and max(blocks.values()) < 100
+    windows = defaultdict(list)
+    for r in packed:
+        windows[r.sequence_id].append((r.offset, r.length))
+    for pieces in windows.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 1024
