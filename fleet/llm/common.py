@@ -75,6 +75,20 @@ def giving_back(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch
     return run
 
 
+#: Spark's settings for the rows and bytes that go to Python and back at once.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
+def small_batches(spark) -> None:
+    """Bound what tasks hold of texts on their way to Python and back, unless the session says otherwise.
+
+    Spark's own bounds, 10,000 rows and 64 MB, let long texts take several hundred MB outside the heap of an executor.
+    """
+    for name, value in BATCHES.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
+
+
 def shared_folder(spark, name: str) -> str:
     """A new folder under the one that the cluster shares, as a URI or path."""
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
