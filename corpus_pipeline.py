@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleet.llm import langid, mixing, neardup, packing, queries, suffixes
-from fleet.llm.common import given_ids, shared_folder, unique_ids
+from fleet.llm.common import given_ids, shared_folder, small_batches, unique_ids
 from fleet.operators.keys import join_on
 from fleet.scratch import Scratch
 from fleet.session import ship_package
@@ -75,6 +75,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet in the shared folder and read again by the next."""
     ship_package(spark)
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     folder = shared_folder(spark, "pipeline")
     for i, (name, stage) in enumerate(STAGES[:-1]):
