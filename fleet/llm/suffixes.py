@@ -44,8 +44,9 @@ from fleet.scratch import Scratch
 SPAN = 100
 DEPTH = 32
 WINDOW = SPAN - DEPTH + 1
-SEGMENT = 1 << 20
-BATCH_SUFFIXES = 600_000
+#: Bytes whose suffixes are found at once, and suffixes of a batch: together they bound a worker's memory.
+SEGMENT = 1 << 18
+BATCH_SUFFIXES = 300_000
 PART_BYTES = 12_000_000
 #: Spans and suffixes of documents meet their texts by a broadcast up to this size, by a shuffled join beyond it.
 BROADCAST_BYTES = 96_000_000
@@ -149,10 +150,9 @@ def settle(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The earliest of those with equal key and reach, sorted by key and reach, and the spans of all later ones."""
     found = found[np.lexsort((found["pos"], found["doc"], found["reach"], found["key"]))]
     new = _starts(found["key"], found["reach"])
-    head = found[new]
-    of = head[np.cumsum(new) - 1]
-    later = (found["doc"] != of["doc"]) | (found["pos"] != of["pos"])
-    return head, spans_of(found[later])
+    of = np.flatnonzero(new)[np.cumsum(new) - 1]
+    later = (found["doc"] != found["doc"][of]) | (found["pos"] != found["pos"][of])
+    return found[new], spans_of(found[later])
 
 
 class Family:
