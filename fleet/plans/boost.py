@@ -27,8 +27,8 @@ HISTOGRAM_BYTES = 256 << 20
 STORE_EVERY = 10
 SAMPLE_BINS = 1024
 TEXT_BYTES = 32 << 20
-_MODEL_COLUMNS = "trial_id int, best_round int, value double, model string"
-_HISTORY_COLUMNS = "trial_id int, round int, metric string, value double"
+MODEL_COLUMNS = "trial_id int, best_round int, value double, model string"
+HISTORY_COLUMNS = "trial_id int, round int, metric string, value double"
 
 
 @dataclass(frozen=True)
@@ -696,10 +696,10 @@ def _write_models(spark: SparkSession, models, wave: Wave, features, key_schema,
         history += [(*key, m.trial, i, p.eval_metric, float(v)) for i, v in enumerate(m.history)]
         m.trees, size = [], size + len(text)
         if size > TEXT_BYTES:
-            append(texts, _MODEL_COLUMNS, "models")
+            append(texts, MODEL_COLUMNS, "models")
             texts, size = [], 0
-    append(texts, _MODEL_COLUMNS, "models")
-    append(history, _HISTORY_COLUMNS, "history")
+    append(texts, MODEL_COLUMNS, "models")
+    append(history, HISTORY_COLUMNS, "history")
 
 
 # --- settings ---------------------------------------------------------------------

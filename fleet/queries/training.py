@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleet.operators.history import best_trial
 from fleet.plans.bins import feature_array, quantile_bins
+from fleet.plans.async_search import replay_async, tune_concurrent
 from fleet.plans.boost import BoostParams, best_split, boost_many, held_out, root_histogram
 from fleet.plans.tree_models import model_margin, model_predict, predict
 from fleet.plans.tune import draw_loguniform, draw_randint, draw_uniform, halving_cut, sample_trials, tpe_scores, tune
@@ -298,6 +299,41 @@ def tune_stumps(spark, folder):
     return _picked(_tuned_stumps(spark, folder))
 
 
+@query(
+    f"""{_STUMPS_SQL.replace("o_orderpriority AS g", "0 AS g", 1)}
+    SELECT trial_id::INTEGER AS trial_id, round(rate, 8) AS rate, round(value, 2) AS value FROM trials"""
+)
+def tune_concurrent_stumps(spark, folder):
+    """One search on the whole table with two trials at work at a time; all trials."""
+    found = tune_concurrent(
+        _orders(spark, folder), _COLUMNS, "y", _RATES, 4, _STUMP, held_out(["o_orderkey"]), max_concurrent_trials=2, max_bin=_BINS, exact_bins=True
+    )
+    return found.trials.select("trial_id", F.round(F.col("params")["learning_rate"], 8).alias("rate"), F.round("value", 2).alias("value"))
+
+
+def _rung_sql(name: str, rung: int, before: str) -> str:
+    """Reports of a rung by trials that go on from the one before, with the earlier reports of the same type and rung."""
+    return f"""{name}_in AS (SELECT l.* FROM log l {before} WHERE l.rung = {rung}),
+    {name} AS (SELECT a.event_type, a.event_id, a.rung, count(b.event_id) + 1 AS seen, count(b.event_id) FILTER (b.metric < a.metric) AS better
+               FROM {name}_in a LEFT JOIN {name}_in b ON b.event_type = a.event_type AND b.event_id < a.event_id GROUP BY 1, 2, 3)"""
+
+
+@query(
+    f"""WITH log AS (SELECT event_type, event_id, 0 AS rung, value AS metric FROM events WHERE value IS NOT NULL
+                     UNION ALL SELECT event_type, event_id, 1, value * (user_id % 7) FROM events WHERE value IS NOT NULL),
+    {_rung_sql("first_", 0, "")},
+    {_rung_sql("second_", 1, "JOIN first_ f ON f.event_type = l.event_type AND f.event_id = l.event_id AND f.better * 4 < f.seen")}
+    SELECT event_type, event_id, rung, seen, better, better * 4 < seen AS goes_on FROM (SELECT * FROM first_ UNION ALL SELECT * FROM second_)"""
+)
+def async_halving(spark, folder):
+    """Events as reports at two rungs, in the order of their ids; a search per type."""
+    events = table(spark, folder, "events").where("value IS NOT NULL")
+    report = lambda rung, metric: events.select("event_type", "event_id", F.lit(rung).alias("rung"), metric.alias("metric"))
+    log = report(0, F.col("value")).unionByName(report(1, F.col("value") * (F.col("user_id") % 7)))
+    found = replay_async(log, ["event_type"], 4, "min", "metric", "event_id", "rung", "event_id")
+    return found.select("event_type", "event_id", "rung", "seen", "better", "goes_on")
+
+
 @query(f"{_STUMPS_SQL} {_TUNED}")
 def tune_stumps_by_levels(spark, folder):
     """The same search with every group in level jobs."""

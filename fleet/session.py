@@ -22,6 +22,7 @@ def build_session(app: str = "fleet", master: str | None = None, **conf: str) ->
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.scheduler.mode", "FAIR")  # concurrent trials share the cluster
         # Python work per row is high: do not fold small shuffles into one task.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
