@@ -19,7 +19,7 @@ With ``TREES`` = 16 a pair exactly at the threshold meets with a chance of 1 - 1
 first level, and above 0.999 three levels down; pairs above the threshold meet more often.
 
 Null and empty texts have no shingle and stay alone. Rows with equal texts are in one component; its id is the smallest
-``doc_id``. Null ids count as none: their rows can have a component but never name one.
+``doc_id``. Null ids count as none: their rows link others and have a component, but name one only among themselves.
 """
 
 from __future__ import annotations
@@ -139,10 +139,12 @@ class Join:
         links = links.unionByName(self._confirm(pairs, "pairs"))
         if confirmed is not None:
             links = links.unionByName(confirmed)
-        ends = lambda side: self.classes.select(F.col("vertex").alias(side), F.col("first_id").alias(f"{side}_id"))
-        named = links.join(ends("a"), "a").join(ends("b"), "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
-        components = smallest_reachable(named.where("a IS NOT NULL AND b IS NOT NULL")).withColumnRenamed("node", "first_id")
-        found = join_on(self.classes, components, ["first_id"], "left").select("vertex", F.coalesce("component", "first_id").alias("component_id"))
+        # Components of texts, named afterwards, so that texts without an id link others too.
+        components = self.scratch.store(smallest_reachable(links).select(F.col("node").alias("vertex"), "component"), "components")
+        members = components.unionByName(components.select(F.col("component").alias("vertex"), "component").distinct())
+        named = members.join(self.classes, "vertex").groupBy("component").agg(F.min("first_id").alias("component_id"))
+        reached = members.join(named, "component").select("vertex", "component_id")
+        found = self.classes.join(reached, "vertex", "left").select("vertex", F.coalesce("component_id", "first_id").alias("component_id"))
         rows = join_on(profile.select("doc_id", "n_shingles", "vertex"), found, ["vertex"], "left")
         component = F.when(F.col("vertex").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -102,3 +102,16 @@ def test_tokens_estimate_similarity():
     b = np.concatenate([a[:600], rng.integers(0, 1 << 63, 200, dtype=np.uint64)])
     same = (neardup.minwise(np.unique(a)) == neardup.minwise(np.unique(b))).mean()
     assert abs(same - 0.6) < 0.15
+
+
+def test_rows_without_id_link_others(spark):
+    first = sentence(20, 100).split()
+    middle = first[:20] + sentence(21, 7).split() + first[27:]
+    last = middle[:60] + sentence(22, 7).split() + middle[67:]
+    alone = sentence(23, 50)
+    rows = [(1, " ".join(first)), (None, " ".join(middle)), (2, " ".join(last)), (None, alone), (None, alone + " more"), (3, None), (None, None)]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 80).collect()
+    linked = sorted((r.doc_id or 0, r.component_id, r.kept) for r in found if r.n_shingles == 97)
+    assert linked == [(0, 1, False), (1, 1, True), (2, 1, False)]
+    assert [(r.doc_id, r.component_id) for r in found if r.n_shingles in (47, 48)] == [(None, None)] * 2
+    assert sorted((r.doc_id or 0, r.component_id) for r in found if not r.n_shingles and r.doc_id) == [(3, 3)]
