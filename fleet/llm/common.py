@@ -75,8 +75,11 @@ def giving_back(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch
     return run
 
 
-#: Spark's settings for the rows and bytes that go to Python and back at once.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+#: Spark's settings for the rows and bytes that go to Python and back at once, and the rows that a scan decodes at once.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+}
 
 
 def small_batches(spark) -> None:
