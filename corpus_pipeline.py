@@ -8,6 +8,9 @@ texts leave at the first stage, an empty table passes through all.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,6 +21,19 @@ from fleet.scratch import Scratch
 from fleet.session import ship_package
 
 
+def _alone(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that sets up its session, since stages are also called one by one."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@_alone
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter, and those unlike their language at their length. ``lang`` stays as given."""
     prototypes = langid.train_prototypes(docs, queries.SEED)
@@ -26,6 +42,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return langid.in_known_language(docs, prototypes, langid.usual_likeness(docs, prototypes, queries.SEED), queries.SEED)
 
 
+@_alone
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component on five-word shingles at 0.8: the one with the smallest id."""
     named = unique_ids(docs)
@@ -39,6 +56,7 @@ def _measured(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= neardup.BROADCAST_IDS else ids
 
 
+@_alone
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut out passages of 100 bytes that occur earlier; documents of which nothing but white space stays go."""
     cut = suffixes.without_repeats(docs)
@@ -47,6 +65,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return cut.where(F.regexp_like("text", F.lit(mixing.WORD))).select(*docs.columns)
 
 
+@_alone
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     named = unique_ids(docs)
@@ -55,6 +74,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return given_ids(joined.withColumn("_fl_copy", F.explode(F.sequence(F.lit(1), F.col("_fl_times").cast("int")))), docs.columns)
 
 
+@_alone
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in windows of 1024 tokens."""
     return packing.pack(packing.cut_pieces(docs, public_tokenizers.path(queries.BPE), 0, queries.WINDOW), queries.WINDOW)
@@ -74,8 +94,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet in the shared folder and read again by the next."""
-    ship_package(spark)
-    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     folder = shared_folder(spark, "pipeline")
     for i, (name, stage) in enumerate(STAGES[:-1]):
