@@ -5,6 +5,7 @@ import re
 import tempfile
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -147,6 +148,61 @@ def test_licence_inheritance(spark):
     assert found[4].inherited_from == "a/b" and not found[6].is_licence_file
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Jane Roe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+INSTALLED = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "BSD": "BSD-3-Clause"}
+
+
+def test_whole_licence_files_license_their_directories(spark, as_folder):
+    """Files of a system's licence folder, where there is one, and notices of different versions."""
+    texts = {"MIT": MIT, "BSD-2-Clause": "Copyright 2001 Jane Roe\n" + licenses.TEXTS[2][2], "ISC": licenses.TEXTS[1][2]}
+    folder = Path("/usr/share/common-licenses")
+    texts |= {name: (folder / file).read_text() for file, name in INSTALLED.items() if (folder / file).exists()}
+    lines = {
+        "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.", "GPL-3.0": "Licensed under the GNU General Public License,\n version 3 of it",
+        None: "under the GNU General Public License of some version", "Apache-2.0": "// SPDX-License-Identifier: Apache-2.0", "LGPL-3.0": "# SPDX-License-Identifier: LGPL-3.0-or-later",
+    }
+    rows = [(2 * i, text, "x", name) for i, (name, text) in enumerate(texts.items())]
+    rows += [(2 * i + 1, sentence(i, 80), "x", name) for i, name in enumerate(texts)]
+    rows += [(100 + i, f"{sentence(i, 60)}\n{line}\n{sentence(i + 50, 60)}", "y", "lines") for i, line in enumerate(lines.values())]
+    rows += [(200, MIT + sentence(70, 900), "z", "lines"), (201, sentence(71, 30), "z", "lines")]
+    where = as_folder(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    found = {r.doc_id: r for r in queries.QUERIES["op7_license_scan"](spark, where).collect()}
+    for i, name in enumerate(texts):
+        assert (found[2 * i].licence, found[2 * i].is_licence_file) == (name, True)
+        assert (found[2 * i + 1].licence, found[2 * i + 1].effective, found[2 * i + 1].inherited_from) == (None, name, f"{name}/x")
+    assert [found[100 + i].licence for i in range(len(lines))] == list(lines) and not any(found[100 + i].is_licence_file for i in range(len(lines)))
+    assert (found[200].licence, found[200].is_licence_file, found[201].effective) == ("MIT", False, None)
+    assert compare(spark, where, queries.QUERIES["op7_license_scan"], queries.SQL["op7_license_scan"]) == ""
+
+
+def test_licences_of_repeated_rows_and_clashing_names(spark):
+    rows = [(1, "a/LICENSE", MIT, "x"), (1, "a/LICENSE", MIT, "x"), (None, "a/b.txt", "words", "y")]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string, licence string").selectExpr("*", "1 score", "2 _dir", "3 _lines", "4 effective")
+    found = [(r.licence, r.is_licence_file, r.effective) for r in licenses.scan(df).orderBy("path").collect()]
+    assert found == [("MIT", True, "MIT")] * 2 + [(None, False, "MIT")]
+
+
 # --- pipeline ---------------------------------------------------------------------
 
 
