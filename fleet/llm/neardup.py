@@ -130,12 +130,14 @@ class Join:
         self.vertices = self.scratch.store(
             profile.where("vertex IS NOT NULL").select("vertex", F.col("n_shingles").alias("n"), "s0", "s1", "tokens", "nodes").dropDuplicates(["vertex"]), "vertices",
         )
+        profile = self._only(profile.select("doc_id", "n_shingles", "vertex"), "rows", "profiles")
         placed = self._crowded(self.vertices.select("vertex", "n", "s0", "s1", F.explode("nodes").alias("node")), "1")
-        stars = self._stars(placed)
-        reached = smallest_reachable(self._confirm(stars, "stars"))
+        reached = smallest_reachable(self._confirm(self.scratch.store(self._stars(placed), "stars"), "stars"))
         self.labels = self.scratch.store(reached.select(F.col("node").alias("vertex"), F.col("component").alias("label")), "labels")
         links = self.labels.select(F.col("label").alias("a"), F.col("vertex").alias("b"))
         pairs, confirmed = self._below(placed)
+        levels = [f"{name}-{level}" for name in ("level", "mixed", "pairs") for level in range(1, DEPTH + 1)]
+        pairs = self._only(pairs, "pairs", "vertices", *levels)
         links = links.unionByName(self._confirm(pairs, "pairs"))
         if confirmed is not None:
             links = links.unionByName(confirmed)
@@ -149,6 +151,13 @@ class Join:
         component = F.when(F.col("vertex").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
+    def _only(self, df: DataFrame, name: str, *done: str) -> DataFrame:
+        """Store a table and delete those that were needed for it and no more, so that they do not add up on disk."""
+        stored = self.scratch.store(df, name)
+        for other in done:
+            self.scratch.drop(other)
+        return stored
+
     def _crowded(self, rows: DataFrame, level: str) -> DataFrame:
         """Rows of nodes with more than one vertex, with the node's size."""
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -177,7 +186,7 @@ class Join:
             large = rows.where(F.col("size") > SMALL)
             more = not large.isEmpty()
             if level == DEPTH and more:
-                confirmed = self.scratch.store(self._grid(large), "grid-links")
+                confirmed = self._grid(large)
             pairs = self.scratch.store(pairs, f"pairs-{level}")
             found = pairs if found is None else found.unionByName(pairs)
             if not more:
@@ -284,7 +293,8 @@ class Join:
 
         rest = rows.where("label <> main")
         again = rows.sparkSession.read.schema(rows.schema).parquet(f"{self.scratch.path}/member-rows")
-        return block_cogroup(rest, again, ["main"], compare, "a binary, b binary", ["vertex"], ["vertex"], GRID_ROWS, GRID_ROWS).distinct()
+        links = block_cogroup(rest, again, ["main"], compare, "a binary, b binary", ["vertex"], ["vertex"], GRID_ROWS, GRID_ROWS).distinct()
+        return self._only(links, "grid-links", "members", "members-ends", "members-sets", "member-rows")
 
     def _sets(self, vertices: DataFrame, name: str) -> DataFrame:
         """``vertex, shingles``: the full sets, ascending, from one text of each vertex."""
@@ -301,8 +311,7 @@ class Join:
         return self.scratch.store(map_rows(texts, sets, schema, "vertex binary, shingles binary").dropDuplicates(["vertex"]), f"{name}-sets")
 
     def _confirm(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs whose full sets reach the threshold."""
-        pairs = self.scratch.store(pairs, f"{name}-pairs")
+        """Pairs, a stored table, whose full sets reach the threshold."""
         percent = self.percent
         ends = pairs.select(F.col("a").alias("vertex")).unionByName(pairs.select(F.col("b").alias("vertex"))).distinct()
         full = self._sets(ends, name)
@@ -319,7 +328,8 @@ class Join:
             return out
 
         schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-        return self.scratch.store(map_rows(both.select("a", "b", "set_a", "set_b"), linked, schema, "a binary, b binary"), f"{name}-links")
+        found = map_rows(both.select("a", "b", "set_a", "set_b"), linked, schema, "a binary, b binary")
+        return self._only(found, f"{name}-links", f"{name}-sets", f"{name}-ends")
 
 
 def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
