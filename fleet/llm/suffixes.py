@@ -505,5 +505,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     def keep(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else cut(t, s)[1].decode("utf-8", "ignore") for t, s in zip(texts, spans)], dtype=object)
 
-    text = F.when(F.col("_fl_spans").isNull(), F.col("text")).otherwise(keep("text", "_fl_spans"))
+    # As a fixed result it is computed once, not again in every filter on it, which would take a worker each.
+    text = F.when(F.col("_fl_spans").isNull(), F.col("text")).otherwise(keep.asNondeterministic()("text", "_fl_spans"))
     return joined.withColumn("text", text).select(*docs.columns)
