@@ -61,3 +61,16 @@ def test_cuts_keep_the_weight():
     assert len(found[0]) <= 100 and all((a == b).all() for a, b in zip(found, again))
     joined = sketch.join([found, (values, np.ones(5_000))], 64)
     assert np.isclose(joined[1].sum(), found[1].sum() + 5_000) and (np.diff(joined[0]) >= 0).all()
+
+
+def test_check_of_the_edges_moves_no_rows_and_skips_missing_values(spark, tmp_path):
+    from fleet.queries.training import sketched_edges
+
+    lines = spark.range(20_000).select(
+        "id", F.lit(1).alias("l_linenumber"), F.lit("A").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.when(F.col("id") % 3 > 0, F.rand(1)).alias("l_quantity"), *[F.rand(i).alias(c) for i, c in enumerate(("l_extendedprice", "l_discount", "l_tax"))],
+    ).withColumnRenamed("id", "l_orderkey")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = sketched_edges(spark, str(tmp_path))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in found.collect()} == {(i, 255, True) for i in range(4)}
