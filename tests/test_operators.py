@@ -139,6 +139,24 @@ def test_map_takes_groups_of_any_size(spark):
     assert found["big"]["n"] == 100_000 and found["one"]["n"] == 1 and found["big"]["error"] is None
 
 
+def _sums_of_many(pdf, made):
+    made.add(1)
+    if (pdf["x"] < 0).any():
+        raise ValueError("negative")
+    return pdf.groupby("k", as_index=False, dropna=False)["x"].agg(n="size", s="sum")
+
+
+def test_map_takes_many_small_groups_in_a_call(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") % 10_000 > 0, F.col("id") % 10_000).alias("k"), F.lit(1.0).alias("x"))
+    bad = spark.createDataFrame([(-5, -1.0)], "k long, x double")
+    calls = spark.sparkContext.accumulator(0)
+    found = grouped_map(df, ["k"], _sums_of_many, "k long, n long, s double", rows_per_call=1_000, made=calls).toPandas()
+    assert calls.value <= 31 and len(found) == 10_000 and (found.n == 3).all() and (found.s == 3.0).all() and found.error.isna().all()
+    found = grouped_map(df.unionByName(bad), ["k"], _sums_of_many, "k long, n long, s double", rows_per_call=1_000, made=calls).toPandas()
+    assert len(found) == 10_001 and found.k.isna().sum() == 1 and (found.n[found.k != -5] == 3).all() and found.error.isna().sum() == 10_000
+    assert found.error[found.k == -5].str.contains("negative").all()
+
+
 def _running_sums(frames):
     total = 0.0
     for pdf in frames:
