@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark import AccumulatorParam
 from pyspark.sql import functions as F
 
 from fleet.functions.draws import integer_between, loguniform_between, uniform
@@ -173,6 +174,34 @@ def test_stream_holds_no_group(spark):
     assert found["bad"]["s"] is None and "bad group" in found["bad"]["error"]
 
 
+def _part_sums(frames, most):
+    n, total, key = 0, 0.0, None
+    for pdf in frames:
+        if (pdf["x"] < 0).any():
+            raise ValueError("negative")
+        n, total, key = n + len(pdf), total + pdf["x"].sum(), pdf["k"].iloc[0]
+    most.add(n)
+    yield pd.DataFrame({"k": [key], "n": [n], "s": [total]})
+
+
+def test_stream_in_parts_bounds_the_rows_of_a_sort(spark):
+    class Most(AccumulatorParam):
+        def zero(self, value):
+            return 0
+
+        def addInPlace(self, a, b):
+            return max(a, b)
+
+    most = spark.sparkContext.accumulator(0, Most())
+    df = spark.range(40_000).select(F.when(F.col("id") % 40 == 0, None).otherwise("big").alias("k"), F.lit(1.0).alias("x"))
+    bad = spark.createDataFrame([("bad", 1.0), ("bad", -1.0)], "k string, x double")
+    merge = [F.sum("n").alias("n"), F.sum("s").alias("s")]
+    found = grouped_stream(df.unionByName(bad), ["k"], _part_sums, "k string, n long, s double", merge=merge, rows_per_part=5_000, most=most)
+    found = {r["k"]: r for r in found.collect()}
+    assert found["big"]["n"] == found["big"]["s"] == 39_000 and found[None]["n"] == 1_000 and found["big"]["error"] is None
+    assert 0 < most.value < 6_000 and "negative" in found["bad"]["error"]
+
+
 @pytest.mark.parametrize("limit", [64 << 20, 0])
 def test_routing_keeps_all_rows(spark, skewed, limit):
     models = spark.createDataFrame([("hot", "2"), (None, "3")], "k string, model string")
