@@ -2,10 +2,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
-from pyspark import AccumulatorParam
+from pyspark import AccumulatorParam, TaskContext
 from pyspark.sql import functions as F
 
 from fleet.functions.draws import integer_between, loguniform_between, uniform
+from fleet.operators import groups
 from fleet.operators.groups import grouped_fold, grouped_map, grouped_stream, route_predict
 from fleet.operators.history import best_trial, early_stop
 from fleet.operators.keys import block_cogroup, group_key_check, join_on, key_product, with_blocks
@@ -134,6 +135,17 @@ def test_fold_and_map_agree_and_isolate_failures(spark, skewed):
         assert folded[k]["n"] == mapped[k]["n"] and folded[k]["s"] == mapped[k]["s"] and folded[k]["error"] is None
 
 
+def test_fold_deals_a_large_group_to_tasks_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(groups, "ROWS_PER_TASK", 1_000, raising=False)
+    place = lambda pdf: pd.DataFrame({"k": ["big"], "n": [len(pdf)], "task": [TaskContext.get().partitionId()]})
+    df = spark.range(20_000).select("id", F.lit("big").alias("k"))
+    merge = [F.sum("n").alias("n"), F.collect_list(F.struct("task", "n")).alias("tasks")]
+    found = grouped_fold(df, ["k"], place, "k string, n long, task int", merge, ["id"], rows_per_block=50)
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    row = found.first()
+    assert row["n"] == 20_000 and len({t["task"] for t in row["tasks"]}) > 15
+
+
 def test_map_takes_groups_of_any_size(spark):
     df = spark.range(100_001).select(F.when(F.col("id") < 100_000, "big").otherwise("one").alias("k"), F.col("id").cast("double").alias("x"))
     found = {r["k"]: r for r in grouped_map(df, ["k"], _sums, "k string, n long, s double").collect()}
