@@ -13,8 +13,11 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from fleet.operators.history import best_trial
 from fleet.operators.keys import join_on
@@ -24,6 +27,7 @@ from fleet.plans.boost import HISTORY_COLUMNS, METRICS, MODEL_COLUMNS, BoostPara
 from fleet.plans.tune import TuneResult, sample_trials
 from fleet.scratch import Scratch
 
+RUN_BITS = 18
 REPORTS = "trial_id int, rung int, reported long, value double, seen long, better long, goes_on boolean"
 
 
@@ -63,24 +67,58 @@ class AsyncHalving:
             return goes_on
 
 
+def better_before(ranks: np.ndarray) -> np.ndarray:
+    """For each place, how many places before it have a smaller rank.
+
+    From the highest bit of the place down: the rows of a block lie in the order of their ranks, its left half is counted
+    as it comes, and the halves become the blocks of the next bit.
+    """
+    n = len(ranks)
+    at = np.lexsort((-np.arange(n), ranks))  # equal ranks: later places first, so they count for none
+    found = np.zeros(n, np.int64)
+    for bit in reversed(range(max(n - 1, 0).bit_length())):
+        left = (at >> bit) & 1 == 0
+        upto = np.concatenate([[0], np.cumsum(left)])
+        start = at >> (bit + 1) << (bit + 1)
+        lefts = upto[1:] - upto[start]
+        found[at[~left]] += lefts[~left]
+        place = np.where(left, start + lefts - 1, start + (1 << bit) + np.arange(n) - start - lefts)
+        halved = np.empty_like(at)
+        halved[place] = at
+        at = halved
+    return found
+
+
 def earlier_better(df: DataFrame, by: list[str], order: list[str | Column], value: str, mode: str = "min") -> DataFrame:
     """Add ``seen``, the rows of the group up to this one in ``order``, and ``better``, how many of those are strictly better.
 
-    Rows get their number in the group. The rows before number i are the left siblings of the blocks that its set bits
-    close, one per bit, so for each bit a running count of left rows in the order of value gives the better ones in that
-    block: n rows take n log n cells and one distributed scan, however many of them are of one group.
+    Rows get their number in the group. Each run of 2 ** ``RUN_BITS`` numbers is counted in a task. The runs before run r
+    are the left siblings of the blocks that its set bits close, one per bit, so for each bit a running count of left rows
+    in the order of value gives the better ones in that block: n rows in m runs take n log m cells and one distributed
+    scan, however many of them are of one group.
     """
     numbered = Scratch(df.sparkSession).store(global_ordinal(df, order, "_i", by), "numbered")
-    last = numbered.agg(F.max("_i")).first()[0] or 0
-    bits = F.explode(F.sequence(F.lit(0), F.lit(max(last.bit_length() - 1, 0))))
-    signed = F.col(value) if mode == "min" else -F.col(value)
-    cells = numbered.select(*by, "_i", signed.alias("_v"), bits.alias("_bit")).select(
-        *by, "_i", "_v", "_bit", F.expr("shiftright(_i, _bit + 1)").alias("_block"), F.expr("1 - (shiftright(_i, _bit) & 1)").alias("_left"),
-    )
-    counted = running(cells, [*by, "_bit", "_block"], ["_v", "_left"], {"_n": ("sum", "_left")})  # equal values: right rows first
-    sums = counted.where("_left = 0").groupBy(*by, "_i").agg(F.sum("_n").alias("_better"))
-    joined = join_on(numbered, sums, [*by, "_i"], "left")
-    return joined.withColumns({"seen": F.col("_i") + 1, "better": F.coalesce("_better", F.lit(0).cast("long"))}).drop("_i", "_better")
+    last = (numbered.agg(F.max("_i")).first()[0] or 0) >> RUN_BITS
+    run = F.shiftright("_i", RUN_BITS)
+    direction = "ascending" if mode == "min" else "descending"
+
+    def within(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_i").drop_columns("_run")
+        ranks = pc.rank(rows[value].combine_chunks(), direction, tiebreaker="dense").to_numpy().astype(np.int64)
+        return rows.append_column("_better", pa.array(better_before(ranks)))
+
+    kind = T.StructType([*numbered.schema.fields, T.StructField("_better", T.LongType())])
+    counted = numbered.withColumn("_run", run).groupBy(*by, "_run").applyInArrow(within, kind)
+    if last:
+        bits = F.explode(F.sequence(F.lit(0), F.lit(last.bit_length() - 1)))
+        signed = F.col(value) if mode == "min" else -F.col(value)
+        cells = numbered.select(*by, "_i", run.alias("_run"), signed.alias("_v"), bits.alias("_bit")).select(
+            *by, "_i", "_v", "_bit", F.expr("shiftright(_run, _bit + 1)").alias("_block"), F.expr("1 - (shiftright(_run, _bit) & 1)").alias("_left"),
+        )
+        sums = running(cells, [*by, "_bit", "_block"], ["_v", "_left"], {"_n": ("sum", "_left")})  # equal values: right rows first
+        sums = sums.where("_left = 0").groupBy(*by, "_i").agg(F.sum("_n").alias("_n"))
+        counted = join_on(counted, sums, [*by, "_i"], "left").withColumn("_better", F.col("_better") + F.coalesce("_n", F.lit(0))).drop("_n")
+    return counted.withColumns({"seen": F.col("_i") + 1, "better": F.col("_better")}).drop("_i", "_better")
 
 
 def replay_async(

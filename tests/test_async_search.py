@@ -3,6 +3,7 @@
 import threading
 import time
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -143,3 +144,20 @@ def test_trials_overlap_up_to_the_limit_and_fail_alone(spark, wide, monkeypatch)
 def test_a_table_without_rows_gives_errors(spark, wide):
     found = tune_concurrent(wide.where("false"), FEATURES, "target", SPACE, 2, BASE, F.lit(False), max_bin=8)
     assert all(r.error and r.value is None for r in found.trials.collect()) and found.best.count() == 1
+
+
+@pytest.mark.parametrize("bits, cells", [(18, 0), (4, 6 * 700 + 6 * 100), (0, 10 * 800)])
+@pytest.mark.parametrize("mode", ["min", "max"])
+def test_runs_are_counted_in_tasks_and_cells_only_between_them(spark, monkeypatch, mode, bits, cells):
+    made, real = [], async_search.running
+    monkeypatch.setattr(async_search, "RUN_BITS", bits, raising=False)
+    monkeypatch.setattr(async_search, "running", lambda df, *rest: made.append(df.count()) or real(df, *rest))
+    draws = np.random.default_rng(3).integers(0, 40, 800)
+    rows = [("big" if i < 700 else None, i, int(v)) for i, v in enumerate(draws)]
+    df = spark.createDataFrame(rows, "g string, at long, v long").repartition(5)
+    found = {r["at"]: (r["seen"], r["better"]) for r in async_search.earlier_better(df, ["g"], ["at"], "v", mode).collect()}
+    sign = 1 if mode == "min" else -1
+    for i, v in enumerate(draws):
+        before = draws[(0 if i < 700 else 700) : i]
+        assert found[i] == (len(before) + 1, int((sign * before < sign * v).sum()))
+    assert sum(made) == cells
