@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleet.functions.metrics import log_loss
+from fleet.plans.bins import BinnedTable
 from fleet.plans.boost import BoostParams, boost, boost_many, held_out
 from fleet.plans.tree_models import model_margin, model_predict, predict
 from fleet.plans.forecast import _design, _penalty, fit_groups, forecast_groups, forecast_linear_seasonal
@@ -376,3 +377,14 @@ def test_sampled_trees_do_not_depend_on_the_layout(wide):
     params = [BoostParams(num_class=3, num_estimators=3, max_depth=2, subsample=0.4), BoostParams(num_class=3, num_estimators=3, max_depth=2, subsample=0.3, sampling_method="gradient_based")]
     a, b = (boost_many(wide.repartition(n), FEATURES, "target", params, validation=held_out(["id"]), max_bin=16, exact_bins=True).models.orderBy("trial_id").collect() for n in (1, 7))
     assert [_shape(r["model"]) for r in a] == [_shape(r["model"]) for r in b]
+
+
+def test_training_rows_are_held_in_packs_that_lose_none(spark):
+    df = spark.range(30_000).select((F.col("id") % 3).alias("g"), "id", F.rand(1).alias("x"), F.rand(2).alias("y"))
+    table = BinnedTable(df, ["x"], "y", ["g"], held_out(["id"]), 8)
+    wave = table.wave(0)
+    packs = wave.rows.select("_g", "_val", *[F.octet_length(c).alias(c) for c in ("_row", "_y", "_bins", "_m")]).collect()
+    assert len(packs) <= 2 * (len(wave.members) + wave.rows.rdd.getNumPartitions())
+    assert all(p["_row"] == p["_y"] == 8 * p["_bins"] and p["_m"] == 0 for p in packs) and sum(p["_bins"] for p in packs) == 30_000
+    assert {(p["_g"], p["_val"]) for p in packs} == {(g, side) for g in range(3) for side in (False, True)}
+    table.close()
