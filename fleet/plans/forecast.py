@@ -11,14 +11,18 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from fleet.operators.groups import grouped_map
 from fleet.operators.keys import ROWS_PER_BLOCK, join_on
 from fleet.operators.series import future_frame
+from fleet.plans.sketch import key_places
 from fleet.scratch import Scratch
 
 HORIZON = 14
+#: Rows of whole small groups that are passed to Python at once; a call costs more than a fit.
+ROWS_PER_CALL = 20_000
 
 
 def forecast_linear_seasonal(
@@ -114,12 +118,16 @@ def _penalty() -> np.ndarray:
     return 1.0 / np.square(scales)
 
 
-def _moments(pdf: pd.DataFrame) -> np.ndarray:
+def _columns_in(mask: int) -> np.ndarray:
+    """The flags of the design's columns from their bits."""
+    return (int(mask) >> np.arange(_WIDTH) & 1).astype(float)
+
+
+def _moments(times: tuple[np.ndarray, ...], first: float, last: float, scale: float, mask: int) -> np.ndarray:
     """X'WX, X'Wy, y'Wy and the weight of distinct times with counts, as one vector."""
-    x = _design(pdf["_t"].to_numpy(float), pdf["_first"].iloc[0], pdf["_last"].iloc[0], np.asarray(pdf["_active"].iloc[0], float))
-    scale = pdf["_scale"].iloc[0]
-    n, sy, syy = pdf["_n"].to_numpy(float), pdf["_sy"].to_numpy(float) / scale, pdf["_syy"].to_numpy(float) / scale**2
-    return np.concatenate([(x.T @ (x * n[:, None])).ravel(), x.T @ sy, [syy.sum(), n.sum()]])
+    t, n, sy, syy = (np.asarray(x, float) for x in times)
+    x = _design(t, first, last, _columns_in(mask))
+    return np.concatenate([(x.T @ (x * n[:, None])).ravel(), x.T @ (sy / scale), [(syy / scale**2).sum(), n.sum()]])
 
 
 def _solve(moments: np.ndarray) -> tuple[np.ndarray, float]:
@@ -144,7 +152,7 @@ def fit_groups(
     daily data) are left out, so that they cannot take a share of the level.
 
     Rows are first reduced to one per group and time. Small groups are then fitted
-    in one task each; of larger ones each block of times gives its normal equations,
+    whole, some of them in each call; of larger ones each block of times gives its normal equations,
     which Spark adds up before they are solved.
     """
     rows = df.where(F.col(y).isNotNull() & F.col(ds).isNotNull())
@@ -168,7 +176,10 @@ def fit_groups(
         ],
     )
     spans = scratch.store(_with_active(spans, by, least_history), "spans")
-    placed = join_on(times.drop("_top"), spans, by)
+    # The flags go to the rows as the bits of one number: an array in every row costs more than the fit.
+    bits = F.aggregate("_active", F.lit(0).cast("long"), lambda mask, flag: F.shiftleft(mask, 1) + flag.cast("long"))
+    masked = spans.withColumn("_active", F.reverse("_active")).withColumn("_mask", bits).drop("_active")
+    placed = join_on(times.drop("_top"), masked, by)
 
     names = [f.name for f in df.select(*by).schema]
     key_fields = df.select(*by).schema.fields
@@ -176,40 +187,52 @@ def fit_groups(
         "first double, last double, scale double, active array<double>, sigma double, beta array<double>, error string"
     ).fields])
 
-    def finish(key: tuple, first: float, last: float, scale: float, active: np.ndarray, moments: np.ndarray) -> pd.DataFrame:
-        row = dict(zip(names, key), first=first, last=last, scale=scale, active=list(active))
+    def finish(key: tuple, first: float, last: float, scale: float, mask: int, moments: np.ndarray) -> dict:
+        row = dict(zip(names, key), first=first, last=last, scale=scale, active=list(_columns_in(mask)))
         try:
             beta, sigma = _solve(moments)
             row.update(sigma=sigma * scale, beta=list(beta * scale), error=None)
         except Exception as failure:
             row.update(sigma=None, beta=None, error=str(failure))
-        return pd.DataFrame([row], columns=model_schema.names)
-
-    def whole(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return finish(key, *pdf[_SPAN].iloc[0], _moments(pdf))
+        return row
+
+    def whole(rows: pa.Table) -> pa.Table:
+        numbers = {c: rows[c].to_numpy() for c in (*_TIMES, *_SPAN)}
+        keys, found, first = [rows[k].combine_chunks() for k in by], [], []
+        for _, at in key_places(keys, rows.num_rows):
+            span = [numbers[c][at[0]] for c in _SPAN]
+            found.append(finish((), *span, _moments(tuple(numbers[c][at] for c in _TIMES), *span)))
+            first.append(at[0])
+        rest = [pa.array([row[f.name] for row in found], _ARROW[f.dataType.simpleString()]) for f in model_schema.fields[len(names) :]]
+        return pa.Table.from_arrays([*(k.take(pa.array(first)) for k in keys), *rest], names=model_schema.names)
 
     def block(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = _moments(pdf)
+        span = list(pdf[_SPAN].iloc[0])
+        parts = _moments(tuple(pdf[c] for c in _TIMES), *span)
         out = pd.DataFrame({"_pos": np.arange(len(parts)), "_part": parts})
-        for name, value in zip([*names, *_SPAN], [*key[: len(names)], *pdf[_SPAN].iloc[0]]):
+        for name, value in zip([*names, *_SPAN], [*key[: len(names)], *span]):
             out[name] = [value] * len(out)
         return out[[*names, *_SPAN, "_pos", "_part"]]
 
     def merged(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         ordered = pdf.sort_values("_pos")
-        return finish(key, *pdf[_SPAN].iloc[0], ordered["_part"].to_numpy(float))
+        return pd.DataFrame([finish(key, *pdf[_SPAN].iloc[0], ordered["_part"].to_numpy(float))], columns=model_schema.names)
 
-    small = placed.where(F.col("_blocks") == 1).groupBy(*by).applyInPandas(whole, model_schema)
+    calls = max(1, -(-times.count() // ROWS_PER_CALL))
+    small = placed.where(F.col("_blocks") == 1).withColumn("_call", F.pmod(F.xxhash64(*by), F.lit(calls)))
+    small = small.groupBy("_call").applyInArrow(whole, model_schema)
     large = placed.where(F.col("_blocks") > 1).withColumn("_block", F.pmod(F.xxhash64("_t"), F.col("_blocks")))
     part_schema = T.StructType([*key_fields, *T.StructType.fromDDL(
-        "_first double, _last double, _scale double, _active array<double>, _pos int, _part double"
+        "_first double, _last double, _scale double, _mask long, _pos int, _part double"
     ).fields])
     parts = large.repartition(*by, "_block").groupBy(*by, "_block").applyInPandas(block, part_schema)
     sums = parts.groupBy(*by, *_SPAN, "_pos").agg(F.sum("_part").alias("_part"))
     return small.unionByName(sums.groupBy(*by).applyInPandas(merged, model_schema))
 
 
-_SPAN = ["_first", "_last", "_scale", "_active"]
+_SPAN = ["_first", "_last", "_scale", "_mask"]
+_TIMES = ["_t", "_n", "_sy", "_syy"]
+_ARROW = {"double": pa.float64(), "array<double>": pa.list_(pa.float64()), "string": pa.string()}
 
 
 def _with_active(spans: DataFrame, by: list[str], history: tuple[float, float, float]) -> DataFrame:

@@ -388,3 +388,14 @@ def test_training_rows_are_held_in_packs_that_lose_none(spark):
     assert all(p["_row"] == p["_y"] == 8 * p["_bins"] and p["_m"] == 0 for p in packs) and sum(p["_bins"] for p in packs) == 30_000
     assert {(p["_g"], p["_val"]) for p in packs} == {(g, side) for g in range(3) for side in (False, True)}
     table.close()
+
+
+def test_small_groups_are_fitted_many_in_a_call(spark):
+    day = F.expr("date_add(DATE '2024-01-01', cast(id % 30 as int))")
+    df = spark.range(9_000).select(F.when(F.col("id") % 300 > 0, F.col("id") % 300).alias("g"), day.alias("ds"), F.rand(1).alias("y"))
+    models = fit_groups(df, ["g"], "ds", "y")
+    assert "_call" in models._jdf.queryExecution().executedPlan().toString()
+    found = models.toPandas()
+    assert len(found) == 300 and found.g.isna().sum() == 1 and found.error.isna().all()
+    one = fit_groups(df.where("g = 7"), ["g"], "ds", "y").first()
+    assert np.allclose(found[found.g == 7].beta.iloc[0], one["beta"]) and list(found[found.g == 7].active.iloc[0]) == one["active"]
