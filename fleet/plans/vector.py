@@ -28,7 +28,8 @@ CODES = 256
 VECTOR_ROWS = 20_000
 QUERY_ROWS = 20_000
 PAIR_STEP = 1 << 16  # pairs whose differences are held at a time
-QUERY_STEP = 256  # queries of a block that are compared at a time
+QUERY_STEP = 256  # queries of a block that are compared at a time, at most
+STEP_BYTES = 8 << 20  # of their distances to the block
 BROADCAST_BYTES = 32 << 20
 #: Version of the rows that an index is built from.
 LEAST_VERSION = -(1 << 63)
@@ -75,12 +76,18 @@ def _distances(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
     return (queries**2).sum(1)[:, None] - 2.0 * (queries @ vectors.T) + (vectors**2).sum(1)[None, :]
 
 
+def _step(vectors: int, most: int = QUERY_STEP) -> int:
+    """Queries whose distances to a block of vectors take ``STEP_BYTES`` or less."""
+    return max(1, min(most, STEP_BYTES // (8 * max(vectors, 1))))
+
+
 def _nearest(query_ids, queries, ids, vectors, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Exact best ``k`` of a block per query: a product narrows the block, differences decide."""
     found = []
     slack = 1e-9 * (1.0 + (vectors**2).sum(1).max(initial=0.0))
-    for start in range(0, len(queries), QUERY_STEP):
-        part = queries[start : start + QUERY_STEP]
+    step = _step(len(vectors))
+    for start in range(0, len(queries), step):
+        part = queries[start : start + step]
         rough = _distances(vectors, part)
         kth = np.partition(rough, min(k, rough.shape[1]) - 1, axis=1)[:, min(k, rough.shape[1]) - 1]
         row, near = np.nonzero(rough <= (kth + slack + 1e-9 * (part**2).sum(1))[:, None])
@@ -379,8 +386,9 @@ def ivf_search(
         codes = _matrix(left["codes"]).astype(np.int64)
         query_ids, targets = _ints(right["query_id"]), _matrix(right["query"])
         found = []
-        for start in range(0, len(targets), QUERY_STEP // 4):
-            step = slice(start, start + QUERY_STEP // 4)
+        size = _step(len(ids), QUERY_STEP // 4)
+        for start in range(0, len(targets), size):
+            step = slice(start, start + size)
             rough = np.zeros((len(targets[step]), len(ids)))
             for s in range(len(tables)):
                 part = targets[step, s * tables.shape[2] : (s + 1) * tables.shape[2]]

@@ -154,3 +154,18 @@ def test_crowded_cell_and_shard_are_written_by_even_tasks(spark, tmp_path):
         assert spark.read.parquet(str(tmp_path / "shards")).count() == 40_000
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+
+
+def test_a_block_is_searched_in_bounded_memory():
+    import tracemalloc
+
+    draws = np.random.default_rng(1)
+    vectors, queries = draws.normal(size=(20_000, 16)), draws.normal(size=(600, 16))
+    tracemalloc.start()
+    found = module._nearest(np.arange(600), queries, np.arange(20_000), vectors, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20
+    for q in (0, 599):
+        gaps = ((vectors - queries[q]) ** 2).sum(1)
+        assert list(found[1][found[0] == q]) == list(np.argsort(gaps, kind="stable")[:5])
