@@ -399,3 +399,51 @@ def test_small_groups_are_fitted_many_in_a_call(spark):
     assert len(found) == 300 and found.g.isna().sum() == 1 and found.error.isna().all()
     one = fit_groups(df.where("g = 7"), ["g"], "ds", "y").first()
     assert np.allclose(found[found.g == 7].beta.iloc[0], one["beta"]) and list(found[found.g == 7].active.iloc[0]) == one["active"]
+
+
+def test_rows_leave_the_tasks_that_read_them_in_packs(spark):
+    df = spark.range(30_000).select((F.col("id") % 3).alias("g"), "id", F.rand(1).alias("x"), F.rand(2).alias("y"))
+    table = BinnedTable(df, ["x"], "y", ["g"], held_out(["id"]), 8)
+    wave = table.wave(0)
+    stored = spark.read.parquet(f"{table.scratch.path}/wave0")
+    assert stored.count() < 300 and stored.agg(F.sum(F.octet_length("_bins"))).first()[0] == 30_000
+    means = df.where(~held_out(["id"])).groupBy("g").agg(F.avg("y").alias("m")).collect()
+    assert np.allclose([wave.means[g] for g, _ in sorted(wave.members.items())], [r["m"] for r in sorted(means)])
+    table.close()
+
+
+def test_level_jobs_read_only_the_rows_of_the_sample(wide, monkeypatch):
+    import fleet.plans.boost as module
+
+    params = BoostParams(num_class=3, num_estimators=2, max_depth=3, subsample=0.1, sampling_method="gradient_based")
+    real, read, histories = module._Trainer.histogram, [], []
+
+    def watched(trainer, pack, current):
+        state = trainer.state if getattr(trainer, "sample", None) is None else trainer.sample
+        read.append(state.where("NOT _val").agg(F.sum(F.octet_length("_y")) / 8).first()[0])
+        return real(trainer, pack, current)
+
+    monkeypatch.setattr(module._Trainer, "histogram", watched)
+    for share in (0.5, 0.0):
+        monkeypatch.setattr(module, "SAMPLE_SHARE", share, raising=False)
+        found = boost_many(wide, FEATURES, "target", [params], ["group_id"], held_out(["id"]), 32).history
+        histories.append(found.orderBy("group_id", "round").toPandas())
+    assert len(read) == 12 and max(read[:6]) < 300 and min(read[6:]) > 1_000
+    assert len(histories[0]) == 4 and np.allclose(histories[0].value, histories[1].value)
+
+
+@pytest.mark.parametrize("splits", [0, 3, 20])
+def test_both_walks_of_a_tree_end_in_the_same_leaves(monkeypatch, splits):
+    import fleet.plans.boost as module
+
+    rng = np.random.default_rng(splits)
+    tree = {k: [-1] for k in ("feature", "bin", "left", "right")}
+    for _ in range(splits):
+        at = int(rng.choice([i for i, f in enumerate(tree["feature"]) if f < 0]))
+        tree["feature"][at], tree["bin"][at], tree["left"][at], tree["right"][at] = rng.integers(3), rng.integers(255), len(tree["bin"]), len(tree["bin"]) + 1
+        for values in tree.values():
+            values += [-1, -1]
+    tree, codes = {k: np.array(v, np.int32) for k, v in tree.items()}, rng.integers(0, 256, (4_000, 3)).astype(np.uint8)
+    found = module._leaf_of(tree, codes)
+    monkeypatch.setattr(module, "FEW_SPLITS", -1)
+    assert (found == module._leaf_of(tree, codes)).all() and (tree["feature"][found] < 0).all()
