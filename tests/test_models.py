@@ -447,3 +447,49 @@ def test_both_walks_of_a_tree_end_in_the_same_leaves(monkeypatch, splits):
     found = module._leaf_of(tree, codes)
     monkeypatch.setattr(module, "FEW_SPLITS", -1)
     assert (found == module._leaf_of(tree, codes)).all() and (tree["feature"][found] < 0).all()
+
+
+def test_metrics_and_sample_scores_are_taken_with_the_margins(wide, monkeypatch):
+    """The packs that a metric is taken from hold the sums of its round, and it is the loss of the model that is returned."""
+    import fleet.plans.boost as module
+
+    params = [
+        BoostParams(num_class=3, num_estimators=3, max_depth=2, subsample=0.3, sampling_method="gradient_based"),
+        BoostParams(num_class=3, num_estimators=2, max_depth=1),
+    ]
+    sums, added, evaluate = [], module._Work.added, module._Trainer._evaluate
+
+    def local(trainer, active):
+        walked = trainer.state.where("_val").select("_g", "_sums").toArrow().to_batches()
+        found = added(trainer._work(active).value, iter(walked), (2,))
+        sums.append({k: float(v[0] / v[1]) for k, v in found.items()})
+        return evaluate(trainer, active)
+
+    monkeypatch.setattr(module._Trainer, "_evaluate", local)
+    found = boost_many(wide, FEATURES, "target", params, ["group_id"], held_out(["id"]), 32)
+    history = found.history.toPandas().set_index(["group_id", "trial_id", "round"]).value
+    assert len(history) == 10 and len(sums) == 3 and len(sums[2]) == 2
+    for round_, by_model in enumerate(sums):
+        for (g, t), value in by_model.items():
+            assert abs(history[sorted(history.index.levels[0])[g], t, round_] - value) < 1e-9
+    scored = wide.where(held_out(["id"]))
+    for row in found.models.collect():
+        part = scored.where(F.col("group_id") == row["group_id"]).toPandas()
+        margin = model_margin(row["model"], part)
+        shares = np.exp(margin) / np.exp(margin).sum(1, keepdims=True)
+        assert abs(-np.log(shares[np.arange(len(part)), part.target.astype(int)]).mean() - row["value"]) < 1e-9
+
+
+def test_rows_without_a_sample_are_held_without_their_ids(wide, monkeypatch):
+    import fleet.plans.boost as module
+
+    held, real = [], module._Trainer._evaluate
+
+    def watched(trainer, active):
+        held.append(trainer.state.agg(F.sum(F.octet_length("_row")), F.sum(F.octet_length("_y"))).first())
+        return real(trainer, active)
+
+    monkeypatch.setattr(module._Trainer, "_evaluate", watched)
+    for share in (1.0, 0.9):
+        boost_many(wide, FEATURES, "target", [BoostParams(num_class=3, num_estimators=1, max_depth=1, subsample=share)], validation=held_out(["id"]), max_bin=16)
+    assert [h[0] for h in held] == [0, 12_000] and held[0][1] == held[1][1] == 12_000
