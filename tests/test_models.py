@@ -231,6 +231,63 @@ def test_tpe_beats_random_on_a_quadratic(spark):
     assert proposed.groupby("g").value.mean().mean() < 0.3 * random.groupby("g").value.mean().mean()
 
 
+def _finished(spark, groups, rows):
+    """Trials of every group from (settings, value)."""
+    made = [(g, i, {k: float(v) for k, v in settings.items()}, float(value)) for g in groups for i, (settings, value) in enumerate(rows)]
+    return spark.createDataFrame(made, "g string, trial_id int, params map<string,double>, value double")
+
+
+def test_proposals_are_drawn_near_the_good_trials(spark):
+    """Good trials in a five-hundredth of the range: candidates from the whole range rarely come near it."""
+    groups = spark.createDataFrame([(f"s{i}",) for i in range(6)], "g string")
+    space = {"x": draw_uniform(0.0, 1000.0), "lr": draw_loguniform(1e-6, 1.0), "depth": draw_randint(1, 200), "kind": "hist", "gamma": 0.5}
+    good = [({"x": 700 + 2 * i / 60, "lr": 1e-3 * (1 + i / 600), "depth": 40 + i % 2}, i) for i in range(60)]
+    rest = [({"x": i * 1000 / 180, "lr": 10 ** (-6 * i / 180), "depth": 1 + i}, 100 + i) for i in range(180)]
+    seen = _finished(spark, [f"s{i}" for i in range(6)], good + rest)
+    found = tpe_propose(seen, groups, space, 30, seed=3, start=7).toPandas().sort_values(["g", "trial_id"])
+    assert len(found) == 180 and sorted(found[found.g == "s0"].trial_id) == list(range(7, 37))
+    values = pd.DataFrame(found.params.tolist())
+    assert (values.x - 701).abs().max() < 40 and values.x.nunique() > 100
+    assert np.log10(values.lr / 1e-3).abs().max() < 0.4 and (values.depth - 40.5).abs().max() < 12
+    assert (values.depth % 1 == 0).all() and set(values.gamma) == {0.5} and found.settings.iloc[0] == {"kind": "hist"}
+    again = tpe_propose(seen.repartition(5), groups.repartition(3), space, 30, seed=3, start=7).toPandas().sort_values(["g", "trial_id"])
+    same = pd.DataFrame(again.params.tolist())
+    assert np.allclose(same.x, values.x) and np.allclose(same.lr, values.lr) and same.depth.equals(values.depth)
+
+
+def test_proposals_stay_in_space_and_few_trials_do_not_bind_them(spark):
+    """Good trials at the ends, one good trial only, a failed trial, and a group without any."""
+    groups = spark.createDataFrame([("low",), ("high",), ("one",), ("failed",), ("none",), (None,)], "g string")
+    space = {"x": draw_uniform(2.0, 3.0), "lr": draw_loguniform(1e-4, 1e-2), "depth": draw_randint(2, 4)}
+    at = lambda x, lr, depth: {"x": x, "lr": lr, "depth": depth}
+    low, high = at(2.0, 1e-4, 2), at(2.999, 9.99e-3, 3)
+    seen = _finished(spark, ["low", None], [(low, i) for i in range(4)] + [(high, 9)] * 12)
+    seen = seen.unionByName(_finished(spark, ["high"], [(high, i) for i in range(4)] + [(low, 9)] * 12))
+    seen = seen.unionByName(_finished(spark, ["one"], [(at(2.5, 1e-3, 3), 1), (low, 2)]))
+    seen = seen.unionByName(_finished(spark, ["failed"], [(low, 0)]).withColumn("value", F.lit(None).cast("double")))
+    found = tpe_propose(seen, groups, space, 40, seed=1, start=20).toPandas()
+    assert found.groupby("g", dropna=False).size().tolist() == [40] * 6
+    values = pd.DataFrame(found.params.tolist()).assign(g=found.g.fillna("null").to_numpy())
+    assert values.x.between(2.0, 3.0).all() and values.lr.between(1e-4 * (1 - 1e-9), 1e-2 * (1 + 1e-9)).all() and set(values.depth) == {2.0, 3.0}
+    by = values.groupby("g")
+    assert by.x.mean()["low"] < 2.35 and by.x.mean()["null"] < 2.35 and by.x.mean()["high"] > 2.65
+    assert 2.6 < by.x.mean()["one"] < 2.9  # past the good trial, away from the other: the highest ratio is at 2.77
+    assert by.x.std()["none"] > 0.2
+
+
+def test_tune_groups_keeps_a_model_of_all_rows(spark, folder):
+    """The best settings of each group are trained again on all of its rows, and the model is in the result."""
+    from fleet.queries.training import _orders, tune_groups
+
+    found = {r["o_orderpriority"]: r for r in tune_groups(spark, folder).collect()}
+    means = {r[0]: r[1] for r in _orders(spark, folder).groupBy("o_orderpriority").agg(F.avg("y")).collect()}
+    assert set(found) == set(means) and all(r["value"] > 0 and r["trial_id"] in range(4) for r in found.values())
+    for g, row in found.items():
+        model = json.loads(row["model"])
+        assert abs(model["base"] - means[g]) < 1e-6 * means[g]
+        assert 1 <= len(model["rounds"]) <= row["params"]["num_estimators"] and any(f >= 0 for f in model["rounds"][0][0]["feature"])
+
+
 def test_halving_cut(spark):
     df = spark.createDataFrame([(i, float(i)) for i in range(16)], "trial_id int, value double")
     assert {r["trial_id"] for r in halving_cut(df, "value", 4).collect()} == {0, 1, 2, 3}
